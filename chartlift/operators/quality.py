@@ -182,8 +182,7 @@ def nonnull_coverage(df: DataFrame) -> DataFrame:
                 yield from leaves(f"{prefix}.{child.name}", column[child.name], child.dataType)
         elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
             for child in kind.elementType.fields:
-                part = F.transform(column, lambda item, n=child.name: item[n])
-                some = F.exists(part, lambda value: value.isNotNull())
+                some = F.exists(column[child.name], lambda value: value.isNotNull())
                 yield f"{prefix}[].{child.name}", F.when(some, 1)
         else:
             yield prefix, column

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["sources", "relational"]
+MODULES = ["sources", "relational", "scalar", "records"]
 
 
 def load_all() -> None:

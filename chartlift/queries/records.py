@@ -25,33 +25,33 @@ LINE_KEY_SQL = "l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' ||
 
 @query("g1_emit_obs", f"""
     WITH l AS (SELECT *, {LINE_KEY_SQL} AS k FROM lineitem)
-    SELECT 'lines/' || k || '/0' AS obs_key, l_orderkey AS source_encounter_id, 'PIH:QUANTITY' AS concept, l_quantity AS value_numeric, NULL::VARCHAR AS value_coded FROM l
-    UNION ALL SELECT 'lines/' || k || '/1', l_orderkey, 'PIH:DISCOUNT', nullif(l_discount, 0), NULL FROM l WHERE nullif(l_discount, 0) IS NOT NULL
-    UNION ALL SELECT 'lines/' || k || '/2', l_orderkey, 'PIH:RETURNED', NULL, 'PIH:YES' FROM l WHERE l_returnflag = 'R'
+    SELECT 'lines/' || k || '/0' AS obs_key, l_orderkey AS source_encounter_id, 'LOCAL:QUANTITY' AS concept, l_quantity AS value_numeric, NULL::VARCHAR AS value_coded FROM l
+    UNION ALL SELECT 'lines/' || k || '/1', l_orderkey, 'LOCAL:DISCOUNT', nullif(l_discount, 0), NULL FROM l WHERE nullif(l_discount, 0) IS NOT NULL
+    UNION ALL SELECT 'lines/' || k || '/2', l_orderkey, 'LOCAL:RETURNED', NULL, 'LOCAL:YES' FROM l WHERE l_returnflag = 'R'
 """)
 def emit_obs(t):
     drafts = eav.emit_obs(
         line_key(t), "lines", ["line_key"], "l_orderkey",
         [
-            eav.numeric("PIH:QUANTITY", "l_quantity"),
-            eav.numeric("PIH:DISCOUNT", F.nullif(F.col("l_discount"), F.lit(0.0))),
-            eav.coded("PIH:RETURNED", "PIH:YES", when=F.col("l_returnflag") == "R"),
+            eav.numeric("LOCAL:QUANTITY", "l_quantity"),
+            eav.numeric("LOCAL:DISCOUNT", F.nullif(F.col("l_discount"), F.lit(0.0))),
+            eav.coded("LOCAL:RETURNED", "LOCAL:YES", when=F.col("l_returnflag") == "R"),
         ],
     )
     return drafts.select("obs_key", "source_encounter_id", "concept", "value_numeric", "value_coded")
 
 
 @query("g2_emit_obs_group", """
-    SELECT 'orders/' || o_orderkey || '/0' AS obs_key, NULL::VARCHAR AS group_key, o_orderkey AS source_encounter_id, 'PIH:CONSTRUCT' AS concept,
+    SELECT 'orders/' || o_orderkey || '/0' AS obs_key, NULL::VARCHAR AS group_key, o_orderkey AS source_encounter_id, 'LOCAL:CONSTRUCT' AS concept,
         NULL::DOUBLE AS value_numeric, NULL::VARCHAR AS value_text FROM orders WHERE o_orderstatus <> 'F'
-    UNION ALL SELECT 'orders/' || o_orderkey || '/0/0', 'orders/' || o_orderkey || '/0', o_orderkey, 'PIH:PRICE', o_totalprice, NULL FROM orders WHERE o_orderstatus <> 'F'
-    UNION ALL SELECT 'orders/' || o_orderkey || '/0/1', 'orders/' || o_orderkey || '/0', o_orderkey, 'PIH:PRIORITY', NULL, o_orderpriority FROM orders
+    UNION ALL SELECT 'orders/' || o_orderkey || '/0/0', 'orders/' || o_orderkey || '/0', o_orderkey, 'LOCAL:PRICE', o_totalprice, NULL FROM orders WHERE o_orderstatus <> 'F'
+    UNION ALL SELECT 'orders/' || o_orderkey || '/0/1', 'orders/' || o_orderkey || '/0', o_orderkey, 'LOCAL:PRIORITY', NULL, o_orderpriority FROM orders
         WHERE o_orderstatus <> 'F' AND o_orderpriority <> '5-LOW'
 """)
 def emit_obs_group(t):
     group = eav.Group(
-        "PIH:CONSTRUCT",
-        [eav.numeric("PIH:PRICE", "o_totalprice"), eav.text("PIH:PRIORITY", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")))],
+        "LOCAL:CONSTRUCT",
+        [eav.numeric("LOCAL:PRICE", "o_totalprice"), eav.text("LOCAL:PRIORITY", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")))],
         when=F.col("o_orderstatus") != "F",
     )
     drafts = eav.emit_obs_group(t.orders, "orders", ["o_orderkey"], "o_orderkey", group)

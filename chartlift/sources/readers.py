@@ -125,3 +125,9 @@ def user_view(
             "last_name", "password", "salt", "member_state",
         )
     )
+
+
+def coded_by(df: DataFrame, column: str, codes: dict[str, str], alias: str) -> DataFrame:
+    """Add the code of a column's value from a table written in the program; unknown values get null."""
+    mapping = inline_mapping(df.sparkSession, codes.items(), f"{column} string, {alias} string")
+    return df.join(mapping, column, "left")

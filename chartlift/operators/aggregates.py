@@ -128,11 +128,10 @@ def pick_per_key(
     return df.groupBy(*keys).agg(best.alias("_row")).select(*keys, *[F.col("_row")[c].alias(c) for c in columns])
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], date: str, spread: Sequence[str] | None = None) -> DataFrame:
+def latest_per_key(df: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
     """Rows at the greatest date of their key, ties kept."""
-    top = df.groupBy(*keys).agg(F.max(date).alias("_top"), F.count(F.lit(1)).alias("_rows"))
-    joined = attach(df, top, keys, rows="_rows", spread=spread)
-    return joined.filter(F.col(date) == F.col("_top")).drop("_top", "_rows")
+    top = df.groupBy(*keys).agg(F.max(date).alias("_top"))
+    return attach(df, top, keys).filter(F.col(date) == F.col("_top")).drop("_top")
 
 
 def earliest_on_or_before(

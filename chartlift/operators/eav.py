@@ -46,6 +46,7 @@ class Fact:
     at: Column | None = None
     comments: Column | None = None
     accession: Column | None = None
+    answer: Column | None = None  # the coded answer that goes with a drug
     keep_null: bool = False
     tag: str = ""
 
@@ -112,7 +113,7 @@ def _fact_struct(fact: Fact, key: Column, name: str, encounter: Column, parent:
         KINDS[fact.kind]: fact.value,
     }
     optional = {"group_key": parent, "obs_datetime": fact.at, "comments": fact.comments,
-                "accession_number": fact.accession}
+                "accession_number": fact.accession, "value_coded": fact.answer}
     return _draft(values | {name: column for name, column in optional.items() if column is not None})
 
 

@@ -7,48 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chartlift.runtime import hot_key_rows
 
+def attach(facts: DataFrame, summary: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join facts to a summary that was grouped from them by ``on``, with hot keys split.
 
-NULL_KEY_SLOTS = 4096
-
-
-def spread_slot(columns: Sequence[str], keys: Sequence[str]) -> Column:
-    """The slot of a fact whose key is spread over ``_fan`` tasks (null where the key is not hot).
-
-    The number of the input partition is part of the hash, so identical copies of one row spread too,
-    and it is the same when a lost task runs again. Rows without a key match nothing and go anywhere.
-    """
-    dealt = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in columns])
-    keyless = F.lit(False)
-    for key in keys:
-        keyless = keyless | F.col(key).isNull()
-    fan = F.when(keyless, NULL_KEY_SLOTS).otherwise(F.coalesce("_fan", F.lit(1)))
-    return F.pmod(dealt, fan).cast("int")
-
-
-def attach(
-    facts: DataFrame,
-    summary: DataFrame,
-    on: Sequence[str],
-    rows: str,
-    spread: Sequence[str] | None = None,
-    how: str = "inner",
-) -> DataFrame:
-    """Join facts to a summary that was grouped from them by ``on``.
-
-    ``rows`` names the summary's count of facts per key. A key above the hot limit is spread over
-    ``rows / limit`` tasks: its summary row is repeated and its facts are dealt out by a hash of the
-    ``spread`` columns. The list of such keys holds at most (all facts / limit) rows, hence the broadcast.
+    A grouped side is already placed by its keys, so a plain join would send all facts of one key to one
+    task, and adaptive execution, which splits only shuffled sides, could not help. The extra join key
+    ``_part`` is 0 for every row but not known to be constant: both sides are shuffled for the join, and
+    adaptive execution splits the hot partitions of the facts and repeats the summary's few rows for them.
+    A summary below the broadcast threshold is broadcast instead, as in any join.
     """
-    limit = hot_key_rows(facts.sparkSession)
-    keys = list(on)
-    fan = F.ceil(F.col(rows) / F.lit(limit)).cast("int")
-    hot = F.broadcast(summary.filter(F.col(rows) > limit).select(*keys, fan.alias("_fan")))
-    dealt = facts.join(hot, keys, "left")
-    dealt = dealt.withColumn("_slot", spread_slot(spread or facts.columns, keys)).drop("_fan")
-    copies = summary.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.greatest(fan - 1, F.lit(0)))))
-    return dealt.join(copies, [*keys, "_slot"], how).drop("_slot")
+    part = F.pmod(F.xxhash64(*[F.col(k) for k in on]), F.lit(1))
+    left, right = facts.withColumn("_part", part), summary.withColumn("_part", part)
+    return left.join(right, [*on, "_part"], how).drop("_part")
 
 
 def duplicate_groups(df: DataFrame, keys: Sequence[str], id_column: str) -> DataFrame:
@@ -62,7 +33,7 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str], id_column: str) -> Data
         .agg(F.count(F.lit(1)).alias("_rows"), F.min(id_column).alias("lowest_id"), F.max(id_column).alias("highest_id"))
         .filter(F.col("_rows") > 1)
     )
-    rows = attach(df.select(*keys, id_column), groups, keys, rows="_rows", spread=[id_column])
+    rows = attach(df.select(*keys, id_column), groups, keys)
     return rows.withColumn("partners", F.col("_rows") - 1).drop("_rows")
 
 
@@ -141,14 +112,11 @@ def asof_join(
             key, (_bucket(F.col(event_time), bucket_days) * sign).alias("_bucket"),
             (_epoch(F.col(event_time)) * sign).alias("_t"),
         )
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    tagged = points.select(
-        key, "_bucket", "_t", F.struct("_t", "_state").alias("_found"), F.lit(1).alias("_turn"),
-        F.lit(None).cast("long").alias("_rows"),
+        .agg(F.lit(0).alias("_turn"))
     )
+    tagged = points.select(key, "_bucket", "_t", F.struct("_t", "_state").alias("_found"), F.lit(1).alias("_turn"))
     nothing = F.lit(None).cast(tagged.schema["_found"].dataType).alias("_found")
-    tagged = tagged.unionByName(probes.select(key, "_bucket", "_t", nothing, F.lit(0).alias("_turn"), "_rows"))
+    tagged = tagged.unionByName(probes.select(key, "_bucket", "_t", nothing, "_turn"))
     # a probe sorts before a state of the same instant, which makes the match strict
     inside = Window.partitionBy(key, "_bucket").orderBy("_t", "_turn").rowsBetween(Window.unboundedPreceding, 0)
     within = tagged.withColumn("_near", F.last("_found", ignorenulls=True).over(inside)).filter("_turn = 0")
@@ -157,14 +125,14 @@ def asof_join(
     across = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = per_bucket.withColumn("_carry", F.last("_last", ignorenulls=True).over(across)).drop("_last")
     found = within.join(carried, [key, "_bucket"], "left").select(
-        key, "_t", "_rows", F.coalesce("_near", "_carry").alias("_match")
+        key, "_t", F.coalesce("_near", "_carry").alias("_match")
     )
     keyed = events.withColumn("_t", _epoch(F.col(event_time)) * sign)
-    result = attach(keyed, found, [key, "_t"], rows="_rows", spread=events.columns, how="left")
+    result = attach(keyed, found, [key, "_t"], "left")
     for name in columns:
         result = result.withColumn(name, F.col("_match")["_state"][name])
     matched_at = F.timestamp_micros((F.col("_match")["_t"] * sign).cast("long"))
-    return result.withColumn("matched_at", matched_at).drop("_t", "_match", "_rows")
+    return result.withColumn("matched_at", matched_at).drop("_t", "_match")
 
 
 def interval_join(
@@ -175,18 +143,19 @@ def interval_join(
     start: str,
     end: str,
     bucket_days: int = 30,
-    horizon: str | Column | None = None,
+    horizon=None,
 ) -> DataFrame:
     """Events with the intervals of the same key that hold their time; bounds inclusive, end open if null.
 
     Each interval is laid out over the time buckets it touches, so the join is an equality on (key,
     bucket) with the bounds checked inside: a key with many rows spreads over its buckets. ``horizon``
-    is a time no event exceeds; an open interval is laid out up to it.
+    is a time that no event exceeds, up to which an open interval is laid out; without it the greatest
+    event time is looked up first (one value comes to the driver).
     """
-    last = F.lit("2100-01-01 00:00:00").cast("timestamp") if horizon is None else (
-        horizon.cast("timestamp") if isinstance(horizon, Column) else F.lit(horizon).cast("timestamp")
-    )
-    stop = F.coalesce(F.col(end).cast("timestamp"), F.greatest(last, F.col(start).cast("timestamp")))
+    if horizon is None:
+        horizon = events.agg(F.max(event_time)).first()[0]
+    last = F.lit(horizon).cast("timestamp")
+    stop = F.coalesce(F.col(end).cast("timestamp"), last)
     laid_out = (
         intervals.filter(F.col(start).isNotNull() & (stop >= F.col(start)))
         .withColumn("_bucket", F.explode(F.sequence(_bucket(F.col(start), bucket_days), _bucket(stop, bucket_days))))

@@ -140,20 +140,13 @@ def dispensed_meds_obs(meds: DataFrame) -> DataFrame:
     rows = meds.join(drugs, "source_product_name", "left")
     category = F.coalesce(filters.case_map("source_medication_category", MEDICATION_CATEGORIES), F.lit(PROPHYLAXIS_CATEGORY))
     drug_order = "3cd9491e-26fe-102b-80cb-0017a47871b2"
-    drafts = eav.emit(rows, "dispensed", ["med_id"], "source_encounter_id", [
+    return eav.emit(rows, "dispensed", ["med_id"], "source_encounter_id", [
         eav.Group("cef4a703-8521-4c2d-9932-d1429a57e684", [
             eav.coded("3cdbc4b4-26fe-102b-80cb-0017a47871b2", category, when=F.col("source_medication_category").isNotNull()),
-            # a drug answer carries both the drug and its concept; the concept is filled in below
-            eav.Fact(drug_order, "drug", F.col("drug")),
+            eav.Fact(drug_order, "drug", F.col("drug"), answer=F.col("drug_concept")),
             eav.numeric("95d216d3-8683-4582-97bd-b3ca5131e18d", "quantity"),
         ]),
     ])
-    concepts = inline_mapping(
-        meds.sparkSession, {(drug, concept) for _, drug, concept in DISPENSED_DRUGS}, "value_drug string, _concept string"
-    )
-    return drafts.join(concepts, "value_drug", "left").withColumn(
-        "value_coded", F.coalesce("value_coded", "_concept")
-    ).select(*drafts.columns)
 
 
 def dispensing_warnings(meds: DataFrame, patients: DataFrame) -> DataFrame:
@@ -585,6 +578,6 @@ def helper_name_obs(patients: DataFrame, encounters: DataFrame) -> DataFrame:
     visits = encounters.filter(F.col("source_encounter_type").isin(EXTRA_TYPES) & F.col("encounter_date").isNotNull()).select(
         "source_patient_id", "source_encounter_id", "encounter_date"
     )
-    latest = aggregates.latest_per_key(visits, ["source_patient_id"], "encounter_date", ["source_encounter_id"])
+    latest = aggregates.latest_per_key(visits, ["source_patient_id"], "encounter_date")
     rows = latest.join(patients.select("source_patient_id", "accompagnateur_name"), "source_patient_id")
     return eav.emit(rows, "helper", ["source_encounter_id"], "source_encounter_id", [eav.text("CIEL:164141", "accompagnateur_name")])

@@ -186,19 +186,14 @@ def locate_by_visit(
     unknown: str | int = UNKNOWN_LOCATION,
 ) -> DataFrame:
     """Encounters with the day's visit; one at an unknown place takes the visit's known place."""
-    places = visit_rows.select(
-        "patient_id", "day", F.col("location_id").alias("visit_location_id"), F.col("encounters").alias("_rows")
-    )
-    linked = joins.attach(
-        encounters.withColumn("day", F.to_date("encounter_datetime")), places, ["patient_id", "day"], rows="_rows",
-        spread=["encounter_id"], how="left",
-    )
+    places = visit_rows.select("patient_id", "day", F.col("location_id").alias("visit_location_id"))
+    linked = joins.attach(encounters.withColumn("day", F.to_date("encounter_datetime")), places, ["patient_id", "day"], "left")
     visit_place = F.when(~F.col("encounter_type").isin(list(unlinked_types)), F.col("visit_location_id"))
     is_unknown = F.col("location_id") == F.lit(unknown)
     return linked.withColumns({
         "visit_location_id": visit_place,
         "location_id": F.when(is_unknown & visit_place.isNotNull(), visit_place).otherwise(F.col("location_id")),
-    }).drop("_rows")
+    })
 
 
 def visits_before_birth(visit_rows: DataFrame, persons: DataFrame, as_of) -> DataFrame:
@@ -225,8 +220,9 @@ def resolve_unknown_locations(
     """Place of encounters at an unknown location: the active enrolment, else the latest one completed
     before, else the earliest one started after, else the patient's site, else still unknown.
 
-    Returns all encounters with ``location_id`` and ``resolved_by``. Each level looks only at what the one
-    before left open; all lookups are linear in the rows of a patient.
+    Returns all encounters with ``location_id`` and ``resolved_by``. The lookups do not wait for one another:
+    they run side by side on the encounters at an unknown place, linear in the rows of a patient, and the
+    first level that knows a place decides.
     """
     open_ones = encounters.filter(F.col("location_id") == F.lit(unknown)).select("encounter_id", "patient_id", "encounter_datetime")
     enrolled = enrolments.filter(F.col("location_id").isNotNull())
@@ -234,13 +230,14 @@ def resolve_unknown_locations(
         open_ones, enrolled, "patient_id", "encounter_id", "encounter_datetime", "date_enrolled", "date_completed",
         "location_id", bucket_days=bucket_days, horizon=horizon,
     ).withColumnRenamed("location_id", "_active")
-    rest = open_ones.join(active, "encounter_id", "left_anti")
-    before = joins.asof_join(rest, enrolled, "patient_id", "encounter_datetime", "date_completed", ["location_id"],
-                             "backward", bucket_days).select("encounter_id", F.col("location_id").alias("_before"))
-    before = before.filter("_before IS NOT NULL")
-    rest = rest.join(before, "encounter_id", "left_anti")
-    after = joins.asof_join(rest, enrolled, "patient_id", "encounter_datetime", "date_enrolled", ["location_id"],
-                            "forward", bucket_days).select("encounter_id", F.col("location_id").alias("_after"))
+
+    def nearest(state_time: str, direction: str, alias: str) -> DataFrame:
+        found = joins.asof_join(open_ones, enrolled, "patient_id", "encounter_datetime", state_time, ["location_id"],
+                                direction, bucket_days)
+        return found.filter("location_id IS NOT NULL").select("encounter_id", F.col("location_id").alias(alias))
+
+    before = nearest("date_completed", "backward", "_before")
+    after = nearest("date_enrolled", "forward", "_after")
     site = patient_sites.groupBy("patient_id").agg(F.min("location_id").alias("_site"))
     joined = (
         encounters.join(active, "encounter_id", "left").join(before, "encounter_id", "left")
@@ -323,7 +320,7 @@ def void_duplicates(
         "encounter_id", "patient_id", F.to_date("encounter_datetime").alias("day"), "encounter_type"
     )
     crowded = eligible.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
-    members = joins.attach(eligible, crowded, group, rows="_rows", spread=["encounter_id"]).drop("_rows")
+    members = joins.attach(eligible, crowded.select(*group), group)
 
     columns = ["concept_id", *value_columns]
     item = F.struct(*[F.col(c) for c in columns])
@@ -341,10 +338,8 @@ def void_duplicates(
     profiled = members.join(prints, "encounter_id", "left").withColumns({
         "_size": F.coalesce("_size", F.lit(0)), "_s1": F.coalesce("_s1", zero), "_s2": F.coalesce("_s2", zero),
     })
-    contents = profiled.groupBy(*group, *content).agg(
-        F.max("encounter_id").alias("_keeper"), F.count(F.lit(1)).alias("_rows")
-    )
-    holders = joins.attach(profiled, contents, [*group, *content], rows="_rows", spread=["encounter_id"])
+    contents = profiled.groupBy(*group, *content).agg(F.max("encounter_id").alias("_keeper"))
+    holders = joins.attach(profiled, contents, [*group, *content])
     copies = holders.filter(F.col("encounter_id") != F.col("_keeper")).select(
         "encounter_id", F.lit("exact copy").alias("reason")
     )

@@ -148,7 +148,7 @@ def drug_orders(
     dosing = text.dosing_text("ddd", "dwd", {
         "morning": F.col("morning_dose"), "noon": F.col("noon_dose"), "evening": F.col("evening_dose"), "night": F.col("night_dose"),
     })
-    orders = located.drop("start_date").withColumn("_o", action).select(
+    orders = located.withColumn("_o", action).select(
         "source_regime_id", "patient_id", F.col("_o.action").alias("order_action"), F.col("_o.encounter_id").alias("encounter_id"),
         F.col("_o.start_date").alias("start_date"), F.col("_o.auto_expire_date").alias("auto_expire_date"),
         F.col("_o.date_stopped").alias("date_stopped"),
@@ -166,17 +166,15 @@ def drug_orders(
         "order_number": F.concat(F.lit(number_prefix), F.col("source_regime_id").cast("string")),
     })
 
-    by_encounter = orders.filter(F.col("encounter_id").isNotNull()).groupBy("encounter_id").agg(
-        F.min("start_date").alias("_first"), F.count(F.lit(1)).alias("_rows")
-    )
-    dated = joins.attach(orders, by_encounter, ["encounter_id"], rows="_rows", spread=["order_uuid"], how="left")
-    dated = dated.withColumn("date_activated", F.coalesce("_first", "start_date")).drop("_first", "_rows")
+    by_encounter = orders.filter(F.col("encounter_id").isNotNull()).groupBy("encounter_id").agg(F.min("start_date").alias("_first"))
+    dated = joins.attach(orders, by_encounter, ["encounter_id"], "left")
+    dated = dated.withColumn("date_activated", F.coalesce("_first", "start_date")).drop("_first")
     dated = dated.withColumn(
         "urgency", F.when(F.col("date_activated") == F.col("start_date"), "ROUTINE").otherwise("ON_SCHEDULED_DATE")
     )
     on = ["patient_id", "date_activated"]
-    offered = dated.groupBy(*on).agg(F.min("encounter_id").alias("_offered"), F.count(F.lit(1)).alias("_rows"))
-    matched = joins.attach(dated, offered, on, rows="_rows", spread=["order_uuid"], how="left").drop("_rows")
+    offered = dated.filter(F.col("encounter_id").isNotNull()).groupBy(*on).agg(F.min("encounter_id").alias("_offered"))
+    matched = joins.attach(dated, offered, on, "left")
     encounter = F.coalesce("encounter_id", "_offered")
     fresh = F.concat_ws("/", "patient_id", dates.day_text("date_activated"))
     return matched.withColumns({

@@ -467,7 +467,7 @@ def last_wins_map(t):
 """)
 def latest_per_key(t):
     rows = t.orders.select("o_custkey", "o_orderkey", "o_orderdate")
-    return aggregates.latest_per_key(rows, ["o_custkey"], "o_orderdate", ["o_orderkey"]).select("o_custkey", "o_orderkey")
+    return aggregates.latest_per_key(rows, ["o_custkey"], "o_orderdate").select("o_custkey", "o_orderkey")
 
 
 @query("e2_earliest_before", """

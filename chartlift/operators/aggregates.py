@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from chartlift.functions.columns import ColumnLike, as_column
 from chartlift.operators.joins import attach
-from chartlift.runtime import hot_key_rows
+from chartlift.runtime import list_part_rows
 
 
 def count_if(condition: Column) -> Column:
@@ -72,30 +72,31 @@ def member_counts(parents: DataFrame, children: DataFrame, parent_id: str, paren
     return parents.join(counts, parent_id, "left").withColumn("members", F.coalesce("members", F.lit(0)))
 
 
+def crowded_keys(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+    """Keys with more than ``limit`` rows and the number of parts they need: at most (all rows / limit) keys."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
+    return counts.select(*keys, F.ceil(F.col("_rows") / F.lit(limit)).cast("int").alias("_fan"))
+
+
 def collect_nested(
-    df: DataFrame,
-    keys: Sequence[str],
-    columns: Sequence[str],
-    alias: str,
-    part_rows: int | None = None,
-    spread: Sequence[str] | None = None,
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], alias: str, part_rows: int | None = None
 ) -> DataFrame:
     """Child rows folded to a sorted ``array<struct>`` per key, with a ``part`` number.
 
-    A key with more children than ``part_rows`` comes as several rows (part 0, 1, …), its children dealt
-    out by a hash of ``spread``: the result is whole, and no task has to hold one huge list.
+    A key with more children than ``part_rows`` comes as several rows (part 0, 1, …) with each child in one
+    of them: the result is whole, and no task has to hold one huge list. Children are dealt out by a hash of
+    their content and their input partition, so that copies of one row spread as well. Null keys drop out.
     """
-    limit = part_rows or hot_key_rows(df.sparkSession)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    fan = F.ceil(F.col("_rows") / F.lit(limit)).cast("int")
-    hot = F.broadcast(counts.filter(F.col("_rows") > limit).select(*keys, fan.alias("_fan")))
-    part = F.pmod(F.xxhash64(*(spread or df.columns)), F.coalesce("_fan", F.lit(1))).cast("int")
+    limit = part_rows or list_part_rows(df.sparkSession)
+    crowded = F.broadcast(crowded_keys(df, keys, limit))
+    dealt = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
+    part = F.pmod(dealt, F.coalesce("_fan", F.lit(1))).cast("int")
     present = df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    dealt = present.join(hot, list(keys), "left").select(
+    placed = present.join(crowded, list(keys), "left").select(
         *keys, *[c for c in columns if c not in keys], part.alias("part")
     )
     folded = F.sort_array(F.collect_list(F.struct(*columns)))
-    return dealt.groupBy(*keys, "part").agg(folded.alias(alias))
+    return placed.groupBy(*keys, "part").agg(folded.alias(alias))
 
 
 def unique_map(df: DataFrame, key: str, value: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from chartlift.functions.columns import ColumnLike, as_column
 from chartlift.functions.numbers import is_whole
-from chartlift.operators.aggregates import member_counts, string_agg
+from chartlift.operators.aggregates import member_counts
 from chartlift.operators.eav import VALUE_COLUMNS
 
 WARNING_TYPES = {
@@ -105,12 +105,17 @@ def unmapped_codes(df: DataFrame, column: str, dictionary: DataFrame, key: str)
     )
 
 
-def conflicting_duplicates(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
-    """Merged groups that had more than one distinct value, with all their values sorted."""
-    conflicts = df.groupBy(*keys).agg(F.countDistinct(column).alias("values")).filter("values > 1")
-    listed = string_agg(df, keys, column, "listed")
-    same = reduce(lambda a, b: a & b, [conflicts[k].eqNullSafe(listed[k]) for k in keys])
-    return conflicts.join(listed, same).select(*[conflicts[k] for k in keys], "values", "listed")
+def conflicting_duplicates(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Groups that were merged although a column had more than one distinct value: (keys, field, values,
+    listed), with all values sorted. All columns share one scan; equal values travel once with their count."""
+    cells = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("_v")) for c in columns])
+    values = df.select(*keys, F.explode(cells).alias("_cell")).select(*keys, "_cell.*").filter("_v IS NOT NULL")
+    counted = values.groupBy(*keys, "field", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    packed = counted.groupBy(*keys, "field").agg(
+        F.count(F.lit(1)).alias("values"), F.array_sort(F.collect_list(F.struct("_v", "_n"))).alias("_items")
+    )
+    repeated = F.flatten(F.transform("_items", lambda x: F.array_repeat(x["_v"], x["_n"].cast("int"))))
+    return packed.filter("values > 1").select(*keys, "field", "values", F.array_join(repeated, ", ").alias("listed"))
 
 
 def orphans(df: DataFrame, parents: DataFrame, on: str) -> DataFrame:

@@ -154,19 +154,15 @@ def contacts_obs(staged: DataFrame) -> DataFrame:
 
 def contact_warnings(contacts: DataFrame, staged: DataFrame, patients: DataFrame) -> DataFrame:
     """Merged contacts whose rows disagreed, with all values and the one that was kept."""
-    kept = staged.select("source_patient_id", "contact_name", "relation_ref", F.col("age").cast("string").alias("age"), "death_ref", "status_ref")
     fields = {"relationship": "relation_ref", "birth_date": "age", "deceased_p": "death_ref", "hiv_status": "status_ref"}
-    found = []
-    for field, shown in fields.items():
-        conflicts = quality.conflicting_duplicates(contacts, ["source_patient_id", "contact_name"], field)
-        rows = conflicts.join(kept, ["source_patient_id", "contact_name"]).join(
-            patients.select("source_patient_id", "person_id"), "source_patient_id"
-        )
-        details = F.concat(F.lit("For contact with name "), F.coalesce("contact_name", F.lit("''")),
-                           F.lit(". Migrated as "), F.col(shown))
-        found.append(quality.warn(rows, "Duplicate contact information with discrepancies", patient="person_id", field=field,
-                                  value="listed", details=details))
-    return quality.all_warnings(*found)
+    conflicts = quality.conflicting_duplicates(contacts, ["source_patient_id", "contact_name"], list(fields))
+    rows = conflicts.join(staged, ["source_patient_id", "contact_name"]).join(
+        patients.select("source_patient_id", "person_id"), "source_patient_id"
+    )
+    shown = F.coalesce(*[F.when(F.col("field") == field, F.col(column).cast("string")) for field, column in fields.items()])
+    details = F.concat(F.lit("For contact with name "), F.coalesce("contact_name", F.lit("''")), F.lit(". Migrated as "), shown)
+    return quality.warn(rows, "Duplicate contact information with discrepancies", patient="person_id", field=F.col("field"),
+                        value="listed", details=details)
 
 
 # ---- previous exposures

@@ -267,7 +267,7 @@ def warn_date_order(t):
     FROM lineitem GROUP BY 1, 2 HAVING count(DISTINCT l_returnflag) > 1
 """)
 def warn_conflicting_duplicates(t):
-    return quality.conflicting_duplicates(t.lineitem, ["l_orderkey", "l_linenumber"], "l_returnflag")
+    return quality.conflicting_duplicates(t.lineitem, ["l_orderkey", "l_linenumber"], ["l_returnflag"]).drop("field")
 
 
 @query("j8_warn_orphan_encounter", """
@@ -340,7 +340,7 @@ def assert_nonnull_coverage(t):
         "o_custkey", "o_orderkey", F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("y")).alias("urgent"), F.lit(None).cast("string").alias("never")
     )
     return quality.nonnull_coverage(
-        aggregates.collect_nested(rows, ["o_custkey"], ["o_orderkey", "urgent", "never"], "orders", spread=["o_orderkey"])
+        aggregates.collect_nested(rows, ["o_custkey"], ["o_orderkey", "urgent", "never"], "orders")
     )
 
 

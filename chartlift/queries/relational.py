@@ -435,7 +435,7 @@ def group_members_count(t):
 """)
 def collect_nested(t):
     nested = aggregates.collect_nested(
-        t.orders, ["o_custkey"], ["o_orderkey", "o_orderstatus"], "orders", spread=["o_orderkey"]
+        t.orders, ["o_custkey"], ["o_orderkey", "o_orderstatus"], "orders"
     )
     return nested.select("o_custkey", F.explode("orders").alias("o"), F.size("orders").cast("long").alias("size")).select(
         "o_custkey", "o.o_orderkey", "o.o_orderstatus", "size"

@@ -326,3 +326,17 @@ def sql_functions(t):
         "SELECT c_custkey, uuid_name('user', cast(c_custkey AS string)) AS uuid, substring_before(c_name, '#') AS stem FROM {customer}",
         customer=t.customer,
     )
+
+
+@query("n5_concept_lookup", """
+    SELECT p_partkey, n_nationkey + 500 AS concept_id, n_name AS concept_name FROM part LEFT JOIN nation ON 'SRC:' || p_size = 'SRC:' || n_nationkey
+""")
+def concept_lookup(t):
+    """A concept by its mapping (source and code), and its name by its id."""
+    from chartlift.operators.joins import lookup
+
+    mapping = t.nation.select(F.concat_ws(":", F.lit("SRC"), F.col("n_nationkey").cast("string")).alias("ref"), (F.col("n_nationkey") + 500).alias("id"))
+    names = t.nation.select((F.col("n_nationkey") + 500).alias("id"), "n_name")
+    rows = t.part.withColumn("ref", F.concat_ws(":", F.lit("SRC"), F.col("p_size").cast("string")))
+    coded = lookup(rows, mapping, "ref", "ref", "id", "concept_id")
+    return lookup(coded, names, "concept_id", "id", "n_name", "concept_name").select("p_partkey", "concept_id", "concept_name")

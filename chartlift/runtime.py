@@ -1,4 +1,4 @@
-"""Session helpers: where durable data goes, and the sizes that decide how hot keys are treated."""
+"""Session helpers: where durable data goes, and the size above which a nested list is split."""
 
 from __future__ import annotations
 
@@ -7,9 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Rows of one key that a single task may hold before the key is spread over several tasks.
-HOT_KEY_ROWS = 1_000_000
-HOT_KEY_ROWS_CONF = "spark.chartlift.hotKeyRows"
+# Rows of one key that may be folded into one nested list; a larger key comes in several parts.
+LIST_PART_ROWS = 100_000
+LIST_PART_ROWS_CONF = "spark.chartlift.listPartRows"
 
 
 def build_session(cpus: int | str = 8, app: str = "chartlift", **conf: str) -> SparkSession:
@@ -31,8 +31,8 @@ def build_session(cpus: int | str = 8, app: str = "chartlift", **conf: str) -> S
     return spark
 
 
-def hot_key_rows(spark: SparkSession) -> int:
-    return int(spark.conf.get(HOT_KEY_ROWS_CONF, str(HOT_KEY_ROWS)))
+def list_part_rows(spark: SparkSession) -> int:
+    return int(spark.conf.get(LIST_PART_ROWS_CONF, str(LIST_PART_ROWS)))
 
 
 def durable_root(spark: SparkSession) -> str:

@@ -19,19 +19,14 @@ def try_fix_date(value: ColumnLike) -> Column:
     """Repair ``yyyy-mm-dd`` text: day too large gives the first of the next month, month above 12
     gives the first of December; anything else that is no date gives null."""
     text = as_column(value)
-    well_formed = text.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$")
-    parts = F.split(text, "-")
-    year = F.when(well_formed, parts[0].cast("int"))
-    month = F.when(well_formed, parts[1].cast("int"))
-    day = F.when(well_formed, parts[2].cast("int"))
-    month_start = F.make_date(year, F.least(F.greatest(month, F.lit(1)), F.lit(12)), F.lit(1))
-    last_day = F.dayofmonth(F.last_day(month_start))
-    return (
-        F.when(month > 12, F.make_date(year, F.lit(12), F.lit(1)))
-        .when((month < 1) | (day < 1) | (day > 31), F.lit(None).cast("date"))
-        .when(day > last_day, F.add_months(month_start, 1))
-        .otherwise(F.make_date(year, F.least(F.greatest(month, F.lit(1)), F.lit(12)),
-                               F.least(F.greatest(day, F.lit(1)), last_day)))
+    as_it_is = F.try_to_date(text, "yyyy-M-d")
+    month_start = F.try_to_date(F.concat(F.substring_index(text, "-", 2), F.lit("-1")), "yyyy-M-d")
+    day_too_large = text.rlike("-(29|30|31)$")
+    month_too_large = text.rlike("^[0-9]{4}-(1[3-9]|[2-9][0-9])-[0-9]{1,2}$")
+    return F.coalesce(
+        as_it_is,
+        F.when(day_too_large, F.add_months(month_start, 1)),
+        F.when(month_too_large, F.try_to_date(F.concat(F.substring(text, 1, 4), F.lit("-12-1")), "yyyy-M-d")),
     )
 
 

@@ -82,23 +82,15 @@ def parse_kv_map(value: ColumnLike, pair_separator: str = ",", key_separator: st
     """``k=v,k=v`` to a map. Empty pairs are ignored, a value may hold the key separator, and the
     last value of a key wins."""
     pairs = F.filter(F.split(as_column(value), f"\\Q{pair_separator}\\E"), lambda pair: pair != "")
-    entries = F.transform(
-        pairs,
-        lambda pair: F.struct(
-            F.substring_index(pair, key_separator, 1).alias("key"),
-            F.when(
-                F.locate(key_separator, pair) > 0,
-                pair.substr(F.locate(key_separator, pair) + len(key_separator), F.length(pair)),
-            ).alias("value"),
-        ),
-    )
-    last_only = F.filter(
-        entries,
-        lambda entry, i: ~F.exists(
-            F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == entry["key"]
-        ),
-    )
-    return F.map_from_entries(last_only)
+    nothing = F.create_map().cast("map<string,string>")
+
+    def add(known: Column, pair: Column) -> Column:
+        key = F.substring_index(pair, key_separator, 1)
+        at = F.locate(key_separator, pair)
+        value = F.when(at > 0, pair.substr(at + len(key_separator), F.length(pair)))
+        return F.map_concat(F.map_filter(known, lambda k, _: k != key), F.create_map(key, value))
+
+    return F.aggregate(pairs, nothing, add)
 
 
 def dosing_text(daily: ColumnLike, weekly: ColumnLike, parts: dict[str, ColumnLike]) -> Column:

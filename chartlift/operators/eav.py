@@ -117,6 +117,13 @@ def _fact_struct(fact: Fact, key: Column, name: str, encounter: Column, parent:
     return _draft(values | {name: column for name, column in optional.items() if column is not None})
 
 
+def explode_present(df: DataFrame, structs: Sequence[Column], keep: Sequence[str] = ()) -> DataFrame:
+    """One row per struct that is not null. The structs are dropped after the explode, not inside the array:
+    that keeps the whole expression in generated code, where a lambda over the array would not be."""
+    exploded = df.select(*keep, F.explode(F.array(*structs)).alias("_item"))
+    return exploded.filter(F.col("_item").isNotNull()).select(*keep, "_item.*")
+
+
 def emit(
     df: DataFrame, job: str, key: Sequence[ColumnLike], encounter: ColumnLike, items: Sequence[Fact | Group]
 ) -> DataFrame:
@@ -144,8 +151,7 @@ def emit(
         for j, (child, condition) in enumerate(zip(item.children, conditions)):
             struct = _fact_struct(child, parent_key, child.tag or str(j), visit, parent_key)
             candidates.append(F.when(condition, struct))
-    present = F.filter(F.array(*candidates), lambda draft: draft.isNotNull())
-    return df.select(F.explode(present).alias("_draft")).select("_draft.*")
+    return explode_present(df, candidates)
 
 
 def emit_obs(df: DataFrame, job: str, key: Sequence[ColumnLike], encounter: ColumnLike, facts: Sequence[Fact]) -> DataFrame:
@@ -166,8 +172,7 @@ def split_rows(df: DataFrame, variants: Sequence[tuple[Column, dict[str, Column]
         F.when(F.coalesce(condition, F.lit(False)), F.struct(*[c.alias(n) for n, c in columns.items()]))
         for condition, columns in variants
     ]
-    present = F.filter(F.array(*structs), lambda variant: variant.isNotNull())
-    return df.select(F.explode(present).alias("_variant")).select("_variant.*")
+    return explode_present(df, structs)
 
 
 def eav_pivot(

@@ -85,7 +85,7 @@ def warn_out_of_range(obs: DataFrame, limits: DataFrame) -> DataFrame:
                F.struct(F.lit(kind).alias("kind"), details.cast("string").alias("details")))
         for condition, kind, details in findings
     ]
-    found = joined.withColumn("_w", F.explode(F.filter(F.array(*structs), lambda w: w.isNotNull())))
+    found = joined.withColumn("_w", F.explode(F.array(*structs))).filter(F.col("_w").isNotNull())
     return warn(found, F.col("_w.kind"), patient="person_id", encounter="encounter_id",
                 field=F.col("concept_id").cast("string"), value=value.cast("string"), details=F.col("_w.details"))
 

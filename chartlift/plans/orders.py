@@ -128,15 +128,12 @@ def drug_orders(
     located = located.join(products, "product_name", "left")
 
     stopped = F.col("cleaned_close_date")
-    action = F.explode(F.filter(
-        F.array(
-            F.struct(F.lit("NEW").alias("action"), F.col("_opened").alias("encounter_id"), F.to_date("start_date").alias("start_date"),
-                     F.col("cleaned_end_date").alias("auto_expire_date"), stopped.alias("date_stopped")),
-            F.when(stopped.isNotNull(), F.struct(
-                F.lit("DISCONTINUE").alias("action"), F.col("_closed").alias("encounter_id"), stopped.alias("start_date"),
-                stopped.alias("auto_expire_date"), F.lit(None).cast("date").alias("date_stopped"))),
-        ),
-        lambda order: order.isNotNull(),
+    actions = F.explode(F.array(
+        F.struct(F.lit("NEW").alias("action"), F.col("_opened").alias("encounter_id"), F.to_date("start_date").alias("start_date"),
+                 F.col("cleaned_end_date").alias("auto_expire_date"), stopped.alias("date_stopped")),
+        F.when(stopped.isNotNull(), F.struct(
+            F.lit("DISCONTINUE").alias("action"), F.col("_closed").alias("encounter_id"), stopped.alias("start_date"),
+            stopped.alias("auto_expire_date"), F.lit(None).cast("date").alias("date_stopped"))),
     ))
     drug = blank_to_null("_drug")
     product_type, regime_type, closure = F.col("product_type"), F.col("regime_type"), F.col("reason_for_closure")
@@ -148,7 +145,7 @@ def drug_orders(
     dosing = text.dosing_text("ddd", "dwd", {
         "morning": F.col("morning_dose"), "noon": F.col("noon_dose"), "evening": F.col("evening_dose"), "night": F.col("night_dose"),
     })
-    orders = located.withColumn("_o", action).select(
+    orders = located.withColumn("_o", actions).filter(F.col("_o").isNotNull()).select(
         "source_regime_id", "patient_id", F.col("_o.action").alias("order_action"), F.col("_o.encounter_id").alias("encounter_id"),
         F.col("_o.start_date").alias("start_date"), F.col("_o.auto_expire_date").alias("auto_expire_date"),
         F.col("_o.date_stopped").alias("date_stopped"),

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartlift.functions import dates, text
-from chartlift.functions.clinical import decode_flag
 from chartlift.functions.columns import blank_to_null
 from chartlift.functions.dates import as_of_column
 from chartlift.functions.ids import modulo_pick, uuid_hash, uuid_name
@@ -219,19 +218,20 @@ def patient_addresses(staged_addresses: DataFrame, staged: DataFrame, country: s
     )
 
 
+def _identifier_rows(people: DataFrame, kinds: dict[str, Column]) -> DataFrame:
+    """One row per person and identifier that is present."""
+    structs = [F.struct(F.lit(kind).alias("kind"), value.alias("identifier")) for kind, value in kinds.items()]
+    rows = eav.explode_present(people, structs, keep=["person_id"])
+    return rows.filter(F.col("identifier").isNotNull())
+
+
 def patient_identifiers(staged: DataFrame, pool_ids: DataFrame | None = None) -> DataFrame:
     """One row per present identifier of a patient: kinds source_id, dossier, national, fiscal, and the
     ready-made preferred id of ``pool_ids(person_id, identifier)``."""
-    candidates = F.array(
-        F.struct(F.lit("source_id").alias("kind"), F.col("source_patient_id").cast("string").alias("identifier")),
-        F.struct(F.lit("dossier").alias("kind"), F.col("dossier_id").alias("identifier")),
-        F.struct(F.lit("national").alias("kind"), blank_to_null("national_id").alias("identifier")),
-        F.struct(F.lit("fiscal").alias("kind"), blank_to_null("nif_id").alias("identifier")),
-    )
-    present = F.filter(candidates, lambda c: c["identifier"].isNotNull())
-    own = staged.select("person_id", F.explode(present).alias("_i")).select(
-        "person_id", "_i.kind", "_i.identifier", F.lit(False).alias("preferred")
-    )
+    own = _identifier_rows(staged, {
+        "source_id": F.col("source_patient_id").cast("string"), "dossier": F.col("dossier_id"),
+        "national": blank_to_null("national_id"), "fiscal": blank_to_null("nif_id"),
+    }).withColumn("preferred", F.lit(False))
     if pool_ids is None:
         return own
     pooled = pool_ids.join(staged.select("person_id"), "person_id", "left_semi").select(
@@ -352,12 +352,9 @@ def infant_relationships(staged: DataFrame, patients: DataFrame) -> DataFrame:
 
 
 def infant_identifiers(staged: DataFrame) -> DataFrame:
-    candidates = F.array(
-        F.struct(F.lit("infant_id").alias("kind"), F.col("source_infant_id").cast("string").alias("identifier")),
-        F.struct(F.lit("infant_code").alias("kind"), blank_to_null("infant_code").alias("identifier")),
+    return _identifier_rows(
+        staged, {"infant_id": F.col("source_infant_id").cast("string"), "infant_code": blank_to_null("infant_code")}
     )
-    present = F.filter(candidates, lambda c: c["identifier"].isNotNull())
-    return staged.select("person_id", F.explode(present).alias("_i")).select("person_id", "_i.kind", "_i.identifier")
 
 
 def infant_warnings(raw: DataFrame, staged: DataFrame, as_of) -> DataFrame:

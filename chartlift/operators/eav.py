@@ -86,26 +86,36 @@ def datetime(concept: ColumnLike, column: ColumnLike, **options) -> Fact:
     return Fact(concept, "datetime", as_column(column), **options)
 
 
-def _draft(values: dict[str, Column]) -> Column:
-    return F.struct(
-        *[values.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in DRAFT_TYPES.items()]
-    )
+class _Drafts:
+    """Builds draft structs; the typed nulls are made once, since most columns of a draft are null."""
+
+    def __init__(self):
+        self.nulls = {name: F.lit(None).cast(kind).alias(name) for name, kind in DRAFT_TYPES.items()}
+
+    def struct(self, values: dict[str, Column]) -> Column:
+        cells = [
+            values[name].cast(kind).alias(name) if name in values else self.nulls[name] for name, kind in DRAFT_TYPES.items()
+        ]
+        return F.struct(*cells)
 
 
 def _true(*conditions: Column | None) -> Column:
-    result = F.lit(True)
+    result = None
     for condition in conditions:
         if condition is not None:
-            result = result & F.coalesce(condition, F.lit(False))
-    return result
+            sure = F.coalesce(condition, F.lit(False))
+            result = sure if result is None else result & sure
+    return F.lit(True) if result is None else result
 
 
 def _fact_condition(fact: Fact) -> Column:
-    present = F.lit(True) if fact.keep_null else fact.value.isNotNull()
+    present = None if fact.keep_null else fact.value.isNotNull()
     return _true(present, fact.when)
 
 
-def _fact_struct(fact: Fact, key: Column, name: str, encounter: Column, parent: Column | None) -> Column:
+def _fact_struct(
+    drafts: _Drafts, fact: Fact, key: Column, name: str, encounter: Column, parent: Column | None
+) -> Column:
     values = {
         "obs_key": F.concat_ws("/", key, F.lit(name)),
         "source_encounter_id": encounter,
@@ -114,7 +124,7 @@ def _fact_struct(fact: Fact, key: Column, name: str, encounter: Column, parent:
     }
     optional = {"group_key": parent, "obs_datetime": fact.at, "comments": fact.comments,
                 "accession_number": fact.accession, "value_coded": fact.answer}
-    return _draft(values | {name: column for name, column in optional.items() if column is not None})
+    return drafts.struct(values | {name: column for name, column in optional.items() if column is not None})
 
 
 def explode_present(df: DataFrame, structs: Sequence[Column], keep: Sequence[str] = ()) -> DataFrame:
@@ -130,11 +140,11 @@ def emit(
     """One scan of wide rows to draft observations, groups with their children included."""
     row = F.concat_ws("/", F.lit(job), *[F.coalesce(as_column(k).cast("string"), F.lit("")) for k in key])
     visit = as_column(encounter)
-    candidates = []
+    drafts, candidates = _Drafts(), []
     for i, item in enumerate(items):
         name = item.tag or str(i)
         if isinstance(item, Fact):
-            candidates.append(F.when(_fact_condition(item), _fact_struct(item, row, name, visit, None)))
+            candidates.append(F.when(_fact_condition(item), _fact_struct(drafts, item, row, name, visit, None)))
             continue
         conditions = [_true(item.when, _fact_condition(child)) for child in item.children]
         emitted = _true(item.when)
@@ -147,9 +157,9 @@ def emit(
         parent = {"obs_key": parent_key, "source_encounter_id": visit, "concept": item.concept_column()}
         if item.at is not None:
             parent["obs_datetime"] = item.at
-        candidates.append(F.when(emitted, _draft(parent)))
+        candidates.append(F.when(emitted, drafts.struct(parent)))
         for j, (child, condition) in enumerate(zip(item.children, conditions)):
-            struct = _fact_struct(child, parent_key, child.tag or str(j), visit, parent_key)
+            struct = _fact_struct(drafts, child, parent_key, child.tag or str(j), visit, parent_key)
             candidates.append(F.when(condition, struct))
     return explode_present(df, candidates)
 

@@ -9,6 +9,7 @@ from chartlift.functions import dates
 from chartlift.functions.dates import as_of_column
 from chartlift.functions.ids import uuid_name
 from chartlift.operators import aggregates, eav, filters, joins, quality
+from chartlift.runtime import settle
 from chartlift.sources.readers import stage_table
 
 UNKNOWN_LOCATION = 1
@@ -322,31 +323,26 @@ def void_duplicates(
     crowded = eligible.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
     members = joins.attach(eligible, crowded.select(*group), group)
 
-    columns = ["concept_id", *value_columns]
-    item = F.struct(*[F.col(c) for c in columns])
-    facts = (
-        obs.select("encounter_id", F.xxhash64(item).alias("_h1"), F.xxhash64(F.lit(42), item).alias("_h2"))
-        .join(members.select("encounter_id"), "encounter_id", "left_semi")
-        .distinct()
-    )
+    # a hash passes over nulls, so each value goes with a mark that tells whether it is there
+    cells = [part for c in ("concept_id", *value_columns) for part in (F.col(c).isNull(), F.col(c))]
+    hashed = obs.select("encounter_id", F.xxhash64(*cells).alias("_h1"), F.xxhash64(F.lit(42), *cells).alias("_h2"))
+    # read five times below, so it is written once
+    facts = settle(hashed.join(members.select("encounter_id"), "encounter_id", "left_semi").distinct())
     prints = facts.groupBy("encounter_id").agg(
         F.count(F.lit(1)).alias("_size"),
         F.sum(F.col("_h1").cast("decimal(38,0)")).alias("_s1"), F.sum(F.col("_h2").cast("decimal(38,0)")).alias("_s2"),
     )
     content = ["_size", "_s1", "_s2"]
     zero = F.lit(0).cast("decimal(38,0)")
-    profiled = members.join(prints, "encounter_id", "left").withColumns({
+    profiled = settle(members.join(prints, "encounter_id", "left").withColumns({
         "_size": F.coalesce("_size", F.lit(0)), "_s1": F.coalesce("_s1", zero), "_s2": F.coalesce("_s2", zero),
-    })
+    }))
     contents = profiled.groupBy(*group, *content).agg(F.max("encounter_id").alias("_keeper"))
     holders = joins.attach(profiled, contents, [*group, *content])
-    copies = holders.filter(F.col("encounter_id") != F.col("_keeper")).select(
-        "encounter_id", F.lit("exact copy").alias("reason")
-    )
 
     several = contents.groupBy(*group).agg(F.count(F.lit(1)).alias("_contents")).filter("_contents > 1")
     rivals = contents.join(several, group).select(*group, "_size", "_keeper")
-    keeper_facts = facts.join(rivals.select(*group, F.col("_keeper").alias("encounter_id"), "_size"), "encounter_id")
+    keeper_facts = settle(facts.join(rivals.select(*group, F.col("_keeper").alias("encounter_id"), "_size"), "encounter_id"))
     spread = keeper_facts.groupBy(*group, "_h1", "_h2").agg(F.count(F.lit(1)).alias("_holders"))
     rarest = (
         keeper_facts.join(spread, [*group, "_h1", "_h2"])
@@ -370,11 +366,10 @@ def void_duplicates(
         .select(F.col("_small").alias("_keeper")).distinct()
     )
     empty = rivals.filter("_size = 0").select("_keeper")
-    subsumed = contained.unionByName(empty)
-    subsets = holders.filter(F.col("encounter_id") == F.col("_keeper")).join(subsumed, "_keeper", "left_semi").select(
-        "encounter_id", F.lit("subset").alias("reason")
-    )
-    return copies.unionByName(subsets)
+    subsumed = contained.unionByName(empty).withColumn("_subsumed", F.lit(True))
+    reason = F.when(F.col("encounter_id") != F.col("_keeper"), "exact copy").when(F.col("_subsumed"), "subset")
+    judged = holders.join(subsumed, "_keeper", "left").select("encounter_id", reason.alias("reason"))
+    return judged.filter(F.col("reason").isNotNull())
 
 
 def keep_unvoided(df: DataFrame, voided: DataFrame) -> DataFrame:

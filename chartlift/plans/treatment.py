@@ -100,9 +100,10 @@ def prophylaxis_plan_obs(observations: DataFrame, ordered: DataFrame) -> DataFra
     some = like_any("ordered", ["tmp_smx_prophylaxis%", "inh_prophylaxis%", "fluconazole%", "mosquito_net%", "other_prophylaxis%"])
     needed = eav.emit(ordered, "prophylaxis_yes", ["ordered_id"], "source_encounter_id", [eav.coded("LOCAL:2740", TRUE, when=some)])
 
-    known = {name + suffix: (name, suffix) for name in ORDERED_PROPHYLAXES for suffix in PLAN_SUFFIXES}
-    base = filters.case_map("ordered", {full: name for full, (name, _) in known.items()})
-    suffix = filters.case_map("ordered", {full: part for full, (_, part) in known.items()})
+    pattern = f"^({'|'.join(ORDERED_PROPHYLAXES)})({'|'.join(PLAN_SUFFIXES)})$"
+    fits = F.col("ordered").rlike(pattern)
+    base = F.when(fits, F.regexp_extract("ordered", pattern, 1))
+    suffix = F.regexp_extract("ordered", pattern, 2)
     rows = ordered.select("source_encounter_id", "comments", base.alias("base"), suffix.alias("suffix")).filter("base IS NOT NULL")
 
     def has(part: str) -> Column:

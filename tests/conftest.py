@@ -10,7 +10,7 @@ from chartlift.runtime import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session(8, "tests")
+    session = build_session(8, "tests", **{"spark.sql.shuffle.partitions": "4"})
     yield session
     session.stop()
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,9 +51,6 @@ class Fact:
     keep_null: bool = False
     tag: str = ""
 
-    def concept_column(self) -> Column:
-        return F.lit(self.concept) if isinstance(self.concept, str) else self.concept
-
 
 @dataclass(frozen=True)
 class Group:
@@ -65,9 +63,6 @@ class Group:
     any_child: bool = False  # emit the parent only if a child is emitted
     tag: str = ""
 
-    def concept_column(self) -> Column:
-        return F.lit(self.concept) if isinstance(self.concept, str) else self.concept
-
 
 def coded(concept: ColumnLike, value: ColumnLike | str, **options) -> Fact:
     """A coded fact; a text value is a fixed answer."""
@@ -86,19 +81,6 @@ def datetime(concept: ColumnLike, column: ColumnLike, **options) -> Fact:
     return Fact(concept, "datetime", as_column(column), **options)
 
 
-class _Drafts:
-    """Builds draft structs; the typed nulls are made once, since most columns of a draft are null."""
-
-    def __init__(self):
-        self.nulls = {name: F.lit(None).cast(kind).alias(name) for name, kind in DRAFT_TYPES.items()}
-
-    def struct(self, values: dict[str, Column]) -> Column:
-        cells = [
-            values[name].cast(kind).alias(name) if name in values else self.nulls[name] for name, kind in DRAFT_TYPES.items()
-        ]
-        return F.struct(*cells)
-
-
 def _true(*conditions: Column | None) -> Column:
     result = None
     for condition in conditions:
@@ -113,18 +95,41 @@ def _fact_condition(fact: Fact) -> Column:
     return _true(present, fact.when)
 
 
-def _fact_struct(
-    drafts: _Drafts, fact: Fact, key: Column, name: str, encounter: Column, parent: Column | None
-) -> Column:
-    values = {
-        "obs_key": F.concat_ws("/", key, F.lit(name)),
-        "source_encounter_id": encounter,
-        "concept": fact.concept_column(),
-        KINDS[fact.kind]: fact.value,
-    }
-    optional = {"group_key": parent, "obs_datetime": fact.at, "comments": fact.comments,
-                "accession_number": fact.accession, "value_coded": fact.answer}
-    return drafts.struct(values | {name: column for name, column in optional.items() if column is not None})
+@dataclass(frozen=True)
+class _Candidate:
+    """An observation that a row may give: when, under which name and parent, and its columns."""
+
+    condition: Column
+    name: str
+    parent: str | None
+    concept: ColumnLike
+    columns: dict[str, Column]
+
+
+def _fact_candidate(fact: Fact, condition: Column, name: str, parent: str | None) -> _Candidate:
+    columns = {KINDS[fact.kind]: fact.value, "obs_datetime": fact.at, "comments": fact.comments,
+               "accession_number": fact.accession}
+    if fact.answer is not None:
+        columns["value_coded"] = fact.answer
+    return _Candidate(condition, name, parent, fact.concept, {n: c for n, c in columns.items() if c is not None})
+
+
+def _candidates(items: Sequence[Fact | Group]) -> list[_Candidate]:
+    found = []
+    for i, item in enumerate(items):
+        name = item.tag or str(i)
+        if isinstance(item, Fact):
+            found.append(_fact_candidate(item, _fact_condition(item), name, None))
+            continue
+        conditions = [_true(item.when, _fact_condition(child)) for child in item.children]
+        emitted = _true(item.when)
+        if item.any_child:
+            emitted = emitted & reduce(lambda a, b: a | b, conditions)
+        at = {} if item.at is None else {"obs_datetime": item.at}
+        found.append(_Candidate(emitted, name, None, item.concept, at))
+        for j, (child, condition) in enumerate(zip(item.children, conditions)):
+            found.append(_fact_candidate(child, condition, f"{name}/{child.tag or j}", name))
+    return found
 
 
 def explode_present(df: DataFrame, structs: Sequence[Column], keep: Sequence[str] = ()) -> DataFrame:
@@ -137,31 +142,45 @@ def explode_present(df: DataFrame, structs: Sequence[Column], keep: Sequence[str
 def emit(
     df: DataFrame, job: str, key: Sequence[ColumnLike], encounter: ColumnLike, items: Sequence[Fact | Group]
 ) -> DataFrame:
-    """One scan of wide rows to draft observations, groups with their children included."""
+    """One scan of wide rows to draft observations, groups with their children included.
+
+    Each row is repeated for the candidates whose condition holds, by number; the columns are then chosen by
+    that number, so only what is emitted is computed.
+    """
+    candidates = _candidates(items)
+    turn = F.col("_turn")
+
+    def fixed(values: Sequence[str | None]) -> Column:
+        """The text of the candidate whose turn it is."""
+        return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), turn + 1)
+
+    def chosen(name: str) -> Column:
+        """The column of the candidate whose turn it is; most candidates fill one or two columns."""
+        chain = None
+        for i, candidate in enumerate(candidates):
+            value = candidate.columns.get(name)
+            if value is not None:
+                chain = F.when(turn == i, value) if chain is None else chain.when(turn == i, value)
+        return F.lit(None) if chain is None else chain
+
+    def concept() -> Column:
+        plain = fixed([c.concept if isinstance(c.concept, str) else None for c in candidates])
+        chain = None
+        for i, candidate in enumerate(candidates):
+            if not isinstance(candidate.concept, str):
+                chain = F.when(turn == i, candidate.concept) if chain is None else chain.when(turn == i, candidate.concept)
+        return plain if chain is None else F.coalesce(chain, plain)
+
     row = F.concat_ws("/", F.lit(job), *[F.coalesce(as_column(k).cast("string"), F.lit("")) for k in key])
-    visit = as_column(encounter)
-    drafts, candidates = _Drafts(), []
-    for i, item in enumerate(items):
-        name = item.tag or str(i)
-        if isinstance(item, Fact):
-            candidates.append(F.when(_fact_condition(item), _fact_struct(drafts, item, row, name, visit, None)))
-            continue
-        conditions = [_true(item.when, _fact_condition(child)) for child in item.children]
-        emitted = _true(item.when)
-        if item.any_child:
-            some = F.lit(False)
-            for condition in conditions:
-                some = some | condition
-            emitted = emitted & some
-        parent_key = F.concat_ws("/", row, F.lit(name))
-        parent = {"obs_key": parent_key, "source_encounter_id": visit, "concept": item.concept_column()}
-        if item.at is not None:
-            parent["obs_datetime"] = item.at
-        candidates.append(F.when(emitted, drafts.struct(parent)))
-        for j, (child, condition) in enumerate(zip(item.children, conditions)):
-            struct = _fact_struct(drafts, child, parent_key, child.tag or str(j), visit, parent_key)
-            candidates.append(F.when(condition, struct))
-    return explode_present(df, candidates)
+    turns = F.array(*[F.when(c.condition, F.lit(i)) for i, c in enumerate(candidates)])
+    columns = {
+        "obs_key": F.concat(row, F.lit("/"), fixed([c.name for c in candidates])),
+        "group_key": F.concat(row, F.lit("/"), fixed([c.parent for c in candidates])),
+        "source_encounter_id": as_column(encounter),
+        "concept": concept(),
+    }
+    emitted = df.withColumn("_turn", F.explode(turns)).filter(turn.isNotNull())
+    return emitted.select(*[columns.get(n, chosen(n)).cast(kind).alias(n) for n, kind in DRAFT_TYPES.items()])
 
 
 def emit_obs(df: DataFrame, job: str, key: Sequence[ColumnLike], encounter: ColumnLike, facts: Sequence[Fact]) -> DataFrame:

@@ -140,7 +140,7 @@ def earliest_on_or_before(
 ) -> DataFrame:
     """The earliest fact date of the key, if it is not after the anchor."""
     first = facts.groupBy(key).agg(F.min(fact_date).alias("_first"))
-    joined = anchors.join(first, key, "left")
+    joined = attach(anchors, first, [key], "left")
     return joined.withColumn(alias, F.when(F.col("_first") <= F.col(anchor_date), F.col("_first"))).drop("_first")
 
 

@@ -61,7 +61,7 @@ def join_update(target: DataFrame, source: DataFrame, on: Sequence[str], columns
     ``source`` must hold one row per key; reduce it by an explicit order first.
     """
     new = source.select(*on, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_matched"))
-    joined = target.join(new, list(on), "left")
+    joined = attach(target, new, on, "left")
     for name in columns:
         old = F.col(name) if name in target.columns else F.lit(None)
         fresh = F.col(f"_new_{name}")
@@ -190,4 +190,4 @@ def pattern_map(value: str, patterns: Sequence[tuple[str, str]], default=None) -
 def lookup(df: DataFrame, dictionary: DataFrame, on: str, key: str, value: str, alias: str) -> DataFrame:
     """A scalar subquery on a dictionary: null where the key is unknown, the lowest value if repeated."""
     unique = dictionary.groupBy(F.col(key).alias(on)).agg(F.min(value).alias(alias))
-    return df.join(unique, on, "left")
+    return attach(df, unique, [on], "left")

@@ -12,6 +12,7 @@ from chartlift.functions.columns import ColumnLike, as_column
 from chartlift.functions.numbers import is_whole
 from chartlift.operators.aggregates import member_counts
 from chartlift.operators.eav import VALUE_COLUMNS
+from chartlift.operators.joins import attach
 
 WARNING_TYPES = {
     "patient_id": "long",
@@ -101,7 +102,7 @@ def warn_null_values(obs: DataFrame) -> DataFrame:
 def unmapped_codes(df: DataFrame, column: str, dictionary: DataFrame, key: str) -> DataFrame:
     """Rows whose code is present but not in the dictionary."""
     return df.filter(F.col(column).isNotNull()).join(
-        dictionary.select(F.col(key).alias(column)).distinct(), column, "left_anti"
+        dictionary.select(F.col(key).alias(column)), column, "left_anti"
     )
 
 
@@ -120,7 +121,7 @@ def conflicting_duplicates(df: DataFrame, keys: Sequence[str], columns: Sequence
 
 def orphans(df: DataFrame, parents: DataFrame, on: str) -> DataFrame:
     """Rows whose parent was not migrated."""
-    return df.join(parents.select(on).distinct(), on, "left_anti")
+    return df.join(parents.select(on), on, "left_anti")
 
 
 def enrich_warnings(warnings: DataFrame, lookups: Sequence[tuple[DataFrame, str, str, str]]) -> DataFrame:
@@ -128,7 +129,7 @@ def enrich_warnings(warnings: DataFrame, lookups: Sequence[tuple[DataFrame, str,
     result = warnings
     for dictionary, column, key, value in lookups:
         one_each = dictionary.groupBy(F.col(key).alias(column)).agg(F.min(value).alias(value))
-        result = result.join(one_each, column, "left")
+        result = attach(result, one_each, [column], "left")
     return result
 
 

@@ -64,7 +64,7 @@ def stage_all(tables: dict[str, DataFrame], scope: DataFrame, encounters: DataFr
 
 def load_observations(observations: DataFrame, encounters: DataFrame, scope: DataFrame) -> DataFrame:
     """The raw named observations of encounters in scope."""
-    in_scope = encounters.join(scope.select("source_patient_id").distinct(), "source_patient_id", "left_semi")
+    in_scope = encounters.join(scope.select("source_patient_id"), "source_patient_id", "left_semi")
     return observations.join(in_scope.select("source_encounter_id"), "source_encounter_id", "left_semi")
 
 
@@ -240,10 +240,8 @@ def resolve_unknown_locations(
     before = nearest("date_completed", "backward", "_before")
     after = nearest("date_enrolled", "forward", "_after")
     site = patient_sites.groupBy("patient_id").agg(F.min("location_id").alias("_site"))
-    joined = (
-        encounters.join(active, "encounter_id", "left").join(before, "encounter_id", "left")
-        .join(after, "encounter_id", "left").join(site, "patient_id", "left")
-    )
+    joined = encounters.join(active, "encounter_id", "left").join(before, "encounter_id", "left").join(after, "encounter_id", "left")
+    joined = joins.attach(joined, site, ["patient_id"], "left")
     is_unknown = F.col("location_id") == F.lit(unknown)
     steps = [("_active", "current enrolment"), ("_before", "previous enrolment"), ("_after", "next enrolment"),
              ("_site", "patient site")]
@@ -327,7 +325,7 @@ def void_duplicates(
     cells = [part for c in ("concept_id", *value_columns) for part in (F.col(c).isNull(), F.col(c))]
     hashed = obs.select("encounter_id", F.xxhash64(*cells).alias("_h1"), F.xxhash64(F.lit(42), *cells).alias("_h2"))
     # read five times below, so it is written once
-    facts = settle(hashed.join(members.select("encounter_id"), "encounter_id", "left_semi").distinct())
+    facts = settle(joins.attach(hashed, members.select("encounter_id"), ["encounter_id"], "left_semi").distinct())
     prints = facts.groupBy("encounter_id").agg(
         F.count(F.lit(1)).alias("_size"),
         F.sum(F.col("_h1").cast("decimal(38,0)")).alias("_s1"), F.sum(F.col("_h2").cast("decimal(38,0)")).alias("_s2"),
@@ -345,7 +343,7 @@ def void_duplicates(
     keeper_facts = settle(facts.join(rivals.select(*group, F.col("_keeper").alias("encounter_id"), "_size"), "encounter_id"))
     spread = keeper_facts.groupBy(*group, "_h1", "_h2").agg(F.count(F.lit(1)).alias("_holders"))
     rarest = (
-        keeper_facts.join(spread, [*group, "_h1", "_h2"])
+        joins.attach(keeper_facts, spread, [*group, "_h1", "_h2"])
         .groupBy(*group, "encounter_id", "_size")
         .agg(F.min(F.struct("_holders", "_h1", "_h2")).alias("_rare"))
         .filter("_rare._holders > 1")

@@ -9,6 +9,7 @@ from chartlift.functions import dates, text
 from chartlift.functions.columns import blank_to_null
 from chartlift.functions.ids import uuid_name
 from chartlift.operators import aggregates, eav, filters, quality
+from chartlift.operators.joins import attach
 from chartlift.sources.readers import inline_mapping
 
 YES, NO = "LOCAL:YES", "LOCAL:NO"
@@ -55,7 +56,7 @@ def socioeconomic_encounters(patients: DataFrame, socio: DataFrame, extra: DataF
     told = socio.filter(F.coalesce(*[F.col(c).cast("string") for c in facts]).isNotNull()).select("source_patient_id")
     told = told.unionByName(extra.filter(F.coalesce(*extra_facts).isNotNull()).select("source_patient_id"))
     intakes = encounters.filter("source_encounter_type = 'intake'")
-    return intakes.join(told.distinct(), "source_patient_id", "left_semi").join(
+    return intakes.join(told, "source_patient_id", "left_semi").join(
         patients.select("source_patient_id", "person_id"), "source_patient_id"
     ).select(
         "source_patient_id", "person_id", F.col("source_encounter_id").alias("intake_encounter_id"),
@@ -72,7 +73,7 @@ def socioeconomics_obs(socio: DataFrame, extra: DataFrame, encounters: DataFrame
     def yes_no(column):
         return filters.case_map(column, {"t": YES, "f": NO})
 
-    home = eav.emit(socio.join(intake, "source_patient_id"), "socio", ["source_patient_id"], "source_encounter_id", [
+    home = eav.emit(attach(socio, intake, ["source_patient_id"]), "socio", ["source_patient_id"], "source_encounter_id", [
         eav.numeric("CIEL:1474", "num_people_in_house"),
         eav.numeric("CIEL:1475", "num_rooms_in_house"),
         eav.coded("LOCAL:ROOF MATERIAL", filters.case_map("type_of_roof", ROOFS), when=F.col("type_of_roof").isNotNull(), keep_null=True),
@@ -88,7 +89,7 @@ def socioeconomics_obs(socio: DataFrame, extra: DataFrame, encounters: DataFrame
         some = some | F.coalesce(amount > 0, F.lit(False))
     total = sum((F.coalesce(d, F.lit(0.0)) for d in drinks), F.lit(0.0))
     told = F.coalesce("wine_per_day", "beer_per_day", "drinks_per_day").isNotNull()
-    rows = extra.join(intake, "source_patient_id")
+    rows = attach(extra, intake, ["source_patient_id"])
     travel = F.coalesce("time_of_transport", "walking_time_to_clinic")
     habits = eav.emit(rows, "habits", ["source_patient_id"], "source_encounter_id", [
         eav.coded("CIEL:163731", filters.case_map("smokes_p", {"t": "LOCAL:CURRENTLY", "f": NO})),
@@ -132,7 +133,7 @@ def stage_contacts(contacts: DataFrame, encounters: DataFrame) -> DataFrame:
         code = F.when(relation.rlike(pattern), ref) if code is None else code.when(relation.rlike(pattern), ref)
     code = code.when(relation.isNotNull(), "LOCAL:OTHER RELATIVE")
     intake = _one_intake(encounters, ("encounter_date",))
-    return merged.join(intake, "source_patient_id").select(
+    return attach(merged, intake, ["source_patient_id"]).select(
         "source_patient_id", "source_encounter_id", "contact_name", text.first_names("contact_name").alias("first_name"),
         text.last_name("contact_name").alias("last_name"), "relationship", code.alias("relation_ref"),
         dates.full_years("birth_date", "encounter_date").alias("age"),
@@ -356,7 +357,7 @@ def allergies_obs(allergies: DataFrame, encounters: DataFrame) -> DataFrame:
 
     The source joined allergies to intakes without the patient; the patient is the key here.
     """
-    rows = allergies.join(_one_intake(encounters), "source_patient_id")
+    rows = attach(allergies, _one_intake(encounters), ["source_patient_id"])
     reaction = F.col("type_of_reaction")
     code = F.coalesce(filters.case_map(reaction, REACTIONS), F.lit("CIEL:5622"))
     group = "LOCAL:ADVERSE EFFECT CONSTRUCT"

@@ -10,6 +10,7 @@ from chartlift.functions.columns import blank_to_null
 from chartlift.functions.dates import as_of_column
 from chartlift.functions.ids import uuid_name
 from chartlift.operators import joins, quality
+from chartlift.runtime import settle
 
 DRUG_ORDER_TYPE = "drug order"
 OTHER_CONCEPT = "3cee7fb4-26fe-102b-80cb-0017a47871b2"
@@ -86,7 +87,7 @@ def regimen_warnings(regimens: DataFrame, patients: DataFrame, as_of) -> DataFra
 
 def unmapped_drug_warnings(regimens: DataFrame, patients: DataFrame, product_map: DataFrame) -> DataFrame:
     """Regimens whose product is mapped to the catch-all concept."""
-    other = product_map.filter(F.col("concept") == OTHER_CONCEPT).select("product_name").distinct()
+    other = product_map.filter(F.col("concept") == OTHER_CONCEPT).select("product_name")
     rows = regimens.join(other, "product_name", "left_semi").join(patients.select("source_patient_id", "person_id"), "source_patient_id")
     details = F.concat(F.lit("Drug: "), "product_name", F.lit(" is mapped to other non-coded concept"))
     return quality.warn(rows, "Missing concept mapping for drug", patient="person_id", field="concept",
@@ -119,7 +120,8 @@ def drug_orders(
     )
     opened = visit_ids.select(F.col("source_encounter_id").alias("encounter_opened_by"), F.col("encounter_id").alias("_opened"))
     closed = visit_ids.select(F.col("source_encounter_id").alias("encounter_closed_by"), F.col("encounter_id").alias("_closed"))
-    located = with_patient.join(opened, "encounter_opened_by", "left").join(closed, "encounter_closed_by", "left")
+    located = joins.attach(with_patient, opened, ["encounter_opened_by"], "left")
+    located = joins.attach(located, closed, ["encounter_closed_by"], "left")
 
     products = product_map.groupBy("product_name").agg(
         F.min("concept").alias("_concept"), F.min("drug").alias("_drug"), F.min("drug_concept").alias("_drug_concept"),
@@ -156,7 +158,8 @@ def drug_orders(
         F.coalesce("prn", F.lit(False)).alias("as_needed"), dosing.alias("dosing_instructions"),
     )
     key = F.concat_ws("/", "source_regime_id", "order_action")
-    orders = orders.withColumns({
+    # the encounter of an order depends on the orders around it: they are read four times below
+    orders = settle(orders).withColumns({
         "order_uuid": uuid_name("drug_order", key),
         "previous_order_uuid": F.when(F.col("order_action") == "DISCONTINUE",
                                       uuid_name("drug_order", F.concat_ws("/", "source_regime_id", F.lit("NEW")))),
@@ -261,7 +264,7 @@ def regimen_comments(comments: DataFrame, encounters: DataFrame, patients: DataF
     same_day = encounters.filter(F.col("encounter_type") == DRUG_ORDER_TYPE).groupBy(
         "patient_id", F.to_date("encounter_datetime").alias("day")
     ).agg(F.min("encounter_id").alias("encounter_id"))
-    linked = rows.join(users, "entered_by", "left").join(same_day, ["patient_id", "day"], "left")
+    linked = joins.attach(rows.join(users, "entered_by", "left"), same_day, ["patient_id", "day"], "left")
     fresh = uuid_name("comment_encounter", F.concat_ws("/", "patient_id", dates.day_text("day")))
     return linked.select(
         "comment_id", "patient_id", "day", "encounter_id", F.when(F.col("encounter_id").isNull(), fresh).alias("new_encounter_uuid"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from chartlift.functions import dates
 from chartlift.functions.dates import as_of_column
 from chartlift.operators import aggregates, eav, filters, quality
+from chartlift.operators.joins import attach
 
 # Place of testing.
 TEST_LOCATIONS = {
@@ -83,10 +84,9 @@ def hiv_status_at_intake(encounters: DataFrame, status: DataFrame) -> DataFrame:
     place = aggregates.last_wins_map(placed, ["source_patient_id"], ["test_location", "test_location_other"], order).select(
         "source_patient_id", F.col("test_location").alias("_place"), F.col("test_location_other").alias("_place_other")
     )
-    joined = (
-        _intakes(encounters).join(linked, "source_encounter_id", "left").join(first, "source_patient_id", "left")
-        .join(place, "source_patient_id", "left")
-    )
+    joined = _intakes(encounters).join(linked, "source_encounter_id", "left")
+    for side in (first, place):
+        joined = attach(joined, side, ["source_patient_id"], "left")
     best = F.coalesce(*[
         F.when(F.col(alias) <= F.col("intake_date"), F.struct(F.lit(sign).alias("sign"), F.col(alias).alias("at")))
         for sign, alias in signs.items()
@@ -137,7 +137,7 @@ def tb_status_at_intake(encounters: DataFrame, status: DataFrame, overrides: lis
              F.col("extrapulmonary_p").alias("_o_extrapulmonary_p"), F.col("drug_resistant_p").alias("_o_drug_resistant_p"))
     joined = _intakes(encounters).join(linked, "source_encounter_id", "left")
     for side in (folded, comments, override):
-        joined = joined.join(side, "source_patient_id", "left")
+        joined = attach(joined, side, ["source_patient_id"], "left")
     on_encounter = F.coalesce("_on_encounter", F.lit(False))
 
     def choose(column: str, derived):

@@ -201,7 +201,7 @@ def tb_state_obs(observations: DataFrame) -> DataFrame:
         eav.coded("CIEL:1111", known, when=other & value.isin(TB_OTHER_KNOWN)),
         eav.text("LOCAL:Anti TB free text", value, when=other & ~value.isin(TB_OTHER_KNOWN)),
     ])
-    answered = observations.filter(regular).select("source_encounter_id").distinct()
+    answered = observations.filter(regular).select("source_encounter_id")
     only_other = observations.filter(other).join(answered, "source_encounter_id", "left_anti")
     implied = eav.emit(only_other, "tb_state_other", ["source_observation_id"], "source_encounter_id", [eav.coded("CIEL:159798", YES)])
     return each.unionByName(implied)

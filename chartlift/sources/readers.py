@@ -83,7 +83,7 @@ def stage_table(
     staged = df.select(*columns)
     if scope is None:
         return staged
-    keys = scope.select("source_patient_id").distinct()
+    keys = scope.select("source_patient_id")
     if "source_patient_id" in staged.columns:
         return staged.join(keys, "source_patient_id", "left_semi")
     if "source_encounter_id" in staged.columns:

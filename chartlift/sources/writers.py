@@ -47,4 +47,4 @@ def overwrite_stage(df: DataFrame, path: str, run: str, partition: str = "run")
 
 def revert_run(target: DataFrame, stage: DataFrame, key: str) -> DataFrame:
     """The target without the rows that a stage produced."""
-    return target.join(stage.select(key).distinct(), key, "left_anti")
+    return target.join(stage.select(key), key, "left_anti")

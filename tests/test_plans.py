@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the given tables are not here")
 
 # not planned here: they run a stream or write files while they are built
-EAGER = ("a4", "a5", "a10_overwrite", "m1", "m2", "m3", "i1", "i2", "i3", "k42", "l14", "k4_patients")
+EAGER = ("a4", "a5", "a10_overwrite", "m1", "m2", "m3", "i1", "i2", "i3", "k42", "k8", "l14", "k4_patients")
 
 
 def plan(frame):

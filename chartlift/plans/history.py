@@ -312,8 +312,8 @@ AID_STATES = {"recommended": "Recommandé", "already_receiving": "Reçu"}
 def assistance_obs(ordered: DataFrame, intake_forms: DataFrame, followup_forms: DataFrame) -> DataFrame:
     """Transport and food aid as coded facts, other aid as one text per encounter.
 
-    Rows count if a form of another version than 3 holds them, or their comment does not say no; the
-    names of other aid apply to every row (the source's OR without brackets let other rows in).
+    Rows count if a form of another version than 3 holds them, or if their comment does not say no. The list
+    of other aid restricts every row; without brackets around OR the source let rows of other kinds in.
     """
     joined = ordered
     for name, forms in (("_intake", intake_forms), ("_followup", followup_forms)):

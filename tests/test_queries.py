@@ -7,11 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from chartlift.queries.registry import ORACLES, QUERIES
 from tools.check_queries import SPARK_TO_DUCKDB, table_of
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the given tables are not here")
-ORACLES = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -23,12 +23,14 @@ def oracle():
 
 
 def test_every_query_has_a_check():
-    assert set(entry.queries()) == set(ORACLES)
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.keys() <= entry.queries().keys()
+    assert ORACLES.keys() <= entry.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, oracle, name):
-    frame = entry.queries()[name](spark, FOLDER)
+    frame = QUERIES[name](spark, FOLDER)
     result = oracle.execute(ORACLES[name])
     columns = [d[0] for d in result.description]
     assert sorted(frame.columns) == sorted(columns)

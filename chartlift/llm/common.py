@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose texts together stay below PIECE_CHARS, so that memory is bounded."""
     for batch in batches:
         start, chars = 0, 0
-        lengths = pa.compute.binary_length(batch.column("text")).to_pylist()
+        lengths = pc.binary_length(batch.column("text")).to_pylist()
         for row, length in enumerate(lengths):
             length = length or 0
             if row > start and chars + length > PIECE_CHARS:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chartlift.llm import bpe_codec, token_counts
+from chartlift.llm import bpe_codec, decontaminate, line_dedup, oracles, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,3 +34,14 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_bpe_codec")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_codec.encode_decode(table(spark, folder, "documents"))
+
+
+@query("op4_decontaminate", oracles.DECONTAMINATE)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    documents, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return decontaminate.find_contamination(documents, benchmark, with_spans=False)
+
+
+@query("op7_line_dedup", oracles.LINES)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, folder, "documents"), with_text=False)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chartlift.llm import bpe_codec, decontaminate, line_dedup, oracles, token_counts
+from chartlift.llm import bpe_codec, decontaminate, line_dedup, minhash_dedup, oracles, quality_rules, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,3 +45,13 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_line_dedup", oracles.LINES)
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, folder, "documents"), with_text=False)
+
+
+@query("op9_quality_rules", oracles.quality_rules())
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.apply_rules(table(spark, folder, "documents")).drop("char_divergence", "word_divergence")
+
+
+@query("op10_minhash_dedup", oracles.NEAR_DUPLICATES)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, folder, "documents"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chartlift.llm import bpe_codec, decontaminate, line_dedup, minhash_dedup, oracles, quality_rules, token_counts
+from chartlift.llm import bpe_codec, decontaminate, line_dedup, minhash_dedup, oracles, quality_rules, suffix_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,3 +55,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_minhash_dedup", oracles.NEAR_DUPLICATES)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op3_suffix_dedup")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents")).drop("spans")

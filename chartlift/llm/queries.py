@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chartlift.llm import bpe_codec, decontaminate, line_dedup, minhash_dedup, oracles, quality_rules, suffix_dedup, token_counts
+from chartlift.llm import bpe_codec, decontaminate, line_dedup, minhash_dedup, oracles, quality_model, quality_rules, suffix_dedup, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,3 +60,13 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_suffix_dedup")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, folder, "documents")).drop("spans")
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op6_quality_model")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_model.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))

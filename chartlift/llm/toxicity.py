@@ -11,7 +11,8 @@ those of them that look most toxic. Landmarks are words of both kinds; the Nystr
 feeds a linear machine with squared hinge loss. As the kernel is a product of subsequence counts, the trained machine
 folds into one weight for each hashed subsequence, which is all that is broadcast (2 ** HASH_BITS numbers).
 
-A document's score is a logistic function, fitted on training documents kept apart, of its highest word score.
+A document's score is a logistic function, fitted on training documents kept apart, of its highest word score and of
+the logarithm of its number of different words that score above 0.
 Null and empty texts, and texts without letters, have the score of no evidence; without labels of both kinds every
 score is 0; repeated rows are scored each; an empty table gives an empty result.
 """
@@ -83,8 +84,7 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Model:
     weights: np.ndarray  # of hashed subsequences
     bias: float
-    slope: float
-    offset: float
+    curve: np.ndarray  # of the highest score, the number of toxic words, and 1
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         if not words:
@@ -92,8 +92,12 @@ class Model:
         number, key, weight = subsequences(words)
         return np.bincount(number, weights=weight * self.weights[key], minlength=len(words)) + self.bias
 
-    def probability(self, best: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * best + self.offset, -50, 50)))
+    def evidence(self, scores: np.ndarray) -> tuple[float, float, float]:
+        """What a document's word scores say about it."""
+        return (float(scores.max()), float(np.log1p((scores > 0).sum())), 1.0) if len(scores) else (self.bias, 0.0, 1.0)
+
+    def probability(self, evidence: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(evidence @ self.curve, -50, 50)))
 
 
 def _landmark_map(landmarks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -135,28 +139,32 @@ def _squared_hinge(features: np.ndarray, target: np.ndarray, importance: np.ndar
     return w[:-1], w[-1]
 
 
-def _logistic(best: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, slightly ridged, with both labels weighing alike."""
-    x = np.stack([best, np.ones(len(best))], axis=1)
-    importance = np.where(label == 1, 0.5 / max(1, (label == 1).sum()), 0.5 / max(1, (label == 0).sum())) * len(best)
-    w = np.zeros(2)
+def _logistic(x: np.ndarray, label: np.ndarray, share: float) -> np.ndarray:
+    """Coefficients of a logistic curve, slightly ridged; label 1 weighs its share of all labelled rows. Evidence never
+    counts against itself.
+    """
+    importance = np.where(label == 1, share / max(1, (label == 1).sum()), (1 - share) / max(1, (label == 0).sum())) * len(x)
+    w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
         gradient = x.T @ (importance * (p - label)) + 0.01 * w
-        hessian = (x * (importance * p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(2)
+        hessian = (x * (importance * p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(len(w))
         step = np.linalg.solve(hessian, gradient)
         w = w - step
         if np.abs(step).max() < 1e-8:
             break
-    return float(max(w[0], 1e-3)), float(w[1])
+    w[:2] = np.maximum(w[:2], [1e-3, 0])
+    return w
 
 
 def _top_words(documents: list[np.ndarray], scores: np.ndarray, each: int) -> np.ndarray:
     return np.concatenate([d[np.argsort(-scores[d], kind="stable")[:each]] for d in documents]) if documents else np.zeros(0, dtype=np.int64)
 
 
-def train(rows: list[tuple[int, list[str]]], landmarks: int = LANDMARKS, rounds: int = ROUNDS) -> Model | None:
-    """``rows``: (label, distinct plain words) of sampled documents, in an order that does not depend on the labels."""
+def train(rows: list[tuple[int, list[str]]], share: float = 0.5, landmarks: int = LANDMARKS, rounds: int = ROUNDS) -> Model | None:
+    """``rows``: (label, distinct plain words) of sampled documents, in an order that does not depend on the labels;
+    ``share``: that of label 1 among all labelled rows.
+    """
     vocabulary: dict[str, int] = {}
     documents = [(label, np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words], dtype=np.int64)) for label, words in rows if words]
     words = list(vocabulary)
@@ -169,7 +177,8 @@ def train(rows: list[tuple[int, list[str]]], landmarks: int = LANDMARKS, rounds:
     in_clean = np.bincount(np.concatenate(clean), minlength=len(words))
     shuffled = np.random.default_rng(7).permutation(np.flatnonzero(in_clean))[:NEGATIVE_WORDS]
     scores = in_toxic / len(toxic) - 4 * in_clean / len(clean)
-    telling = in_toxic * len(clean) > 5 * in_clean * len(toxic)  # only words that toxic documents have far more often can be to blame
+    # Only words that toxic documents have far more often, and more than one of them, can be to blame.
+    telling = (in_toxic * len(clean) > 5 * in_clean * len(toxic)) & (in_toxic >= min(2, len(toxic)))
     model, hard = None, np.zeros(0, dtype=np.int64)
     for turn in range(rounds):
         positive = _top_words(toxic, np.where(telling, scores, -np.inf), 1 if turn == 0 else 2)
@@ -191,18 +200,17 @@ def train(rows: list[tuple[int, list[str]]], landmarks: int = LANDMARKS, rounds:
         w, bias = _squared_hinge(_nystroem([words[i] for i in index], used, table, root), target, importance, COST)
         weights = np.zeros(1 << HASH_BITS)
         weights[used] = table @ (root @ w)
-        model = Model(weights, float(bias), 1.0, 0.0)
+        model = Model(weights, float(bias), np.array([1.0, 0.0, 0.0]))
         scores = np.concatenate([model.word_scores(words[i : i + 50_000]) for i in range(0, len(words), 50_000)])
-    best = np.array([scores[d].max() for n, (_, d) in enumerate(documents) if n in apart])
+    evidence = np.array([model.evidence(scores[d]) for n, (_, d) in enumerate(documents) if n in apart])
     label = np.array([y for n, (y, _) in enumerate(documents) if n in apart])
     if len(set(label.tolist())) == 2:
-        model.slope, model.offset = _logistic(best, label)
+        model.curve = _logistic(evidence, label, share)
     return model
 
 
-def sample_rows(docs: DataFrame, labels: DataFrame, sample: int, label_col: str = "toxic") -> list[tuple[int, list[str]]]:
+def sample_rows(docs: DataFrame, known: DataFrame, sample: int) -> list[tuple[int, list[str]]]:
     """The distinct plain words of at most ``sample`` training documents of each label, chosen by a hash of their ids."""
-    known = training_labels(labels, label_col)
     order = F.xxhash64("doc_id")
     parts = [known.where(F.col("label") == y).orderBy(order, "doc_id").limit(sample) for y in (0, 1)]
     chosen = parts[0].unionByName(parts[1]).select("doc_id", "label")
@@ -225,7 +233,9 @@ def sample_rows(docs: DataFrame, labels: DataFrame, sample: int, label_col: str
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label_col: str = "toxic") -> Model | None:
-    return train(sample_rows(texts_of(docs), labels, sample, label_col))
+    known = training_labels(labels, label_col)
+    share = known.agg(F.avg("label")).first()[0]
+    return train(sample_rows(texts_of(docs), known, sample), share) if share else None
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -250,8 +260,8 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
                 some = long[start : start + 50_000]
                 scores = machine.word_scores([plains[i] for i in some]).tolist()
                 known.update((missing[i], s) for i, s in zip(some, scores, strict=True))
-            best = np.array([max(map(known.__getitem__, bag), default=machine.bias) for bag in bags])
-            return {"doc_id": ids, "score": machine.probability(best)}
+            evidence = [machine.evidence(np.fromiter(map(known.__getitem__, bag), dtype=float, count=len(bag))) for bag in bags]
+            return {"doc_id": ids, "score": machine.probability(np.array(evidence).reshape(-1, 3))}
 
         return handle
 

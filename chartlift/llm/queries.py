@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chartlift.llm import bpe_codec, decontaminate, line_dedup, minhash_dedup, oracles, quality_model, quality_rules, suffix_dedup, token_counts, toxicity
+from chartlift.llm import bpe_codec, chat_format, decontaminate, line_dedup, minhash_dedup, oracles, quality_model, quality_rules, suffix_dedup, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,3 +70,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_quality_model")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return quality_model.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op8_chat_format")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return chat_format.format_chats(table(spark, folder, "conversations"))

@@ -179,11 +179,12 @@ class Codec:
         return out
 
 
-def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, digests: bool = True) -> DataFrame:
-    """Every text's tokens, in one pass without a shuffle.
+def encode_decode(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, with_ids: bool = False, with_text: bool = False
+) -> DataFrame:
+    """doc_id, n_tokens and the sha256 digests of ids and decoded text, in one pass without a shuffle.
 
-    doc_id, n_tokens, and either the sha256 digests of ids and decoded text or (``digests=False``) the ids as an
-    array and the decoded text themselves.
+    ``with_ids`` and ``with_text`` add the ids as an array and the decoded text.
     """
     path = path or vocabulary_path(VOCABULARY)
 
@@ -192,16 +193,18 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
         def handle(ids, texts):
             pairs = codec.run(texts)
-            columns = {"doc_id": ids, "n_tokens": [len(a) // 4 for a, _ in pairs]}
-            if digests:
-                columns["ids_sha256"] = [hashlib.sha256(a).hexdigest() for a, _ in pairs]
-                columns["decoded_sha256"] = [hashlib.sha256(b.encode()).hexdigest() for _, b in pairs]
-            else:
-                columns["ids"] = [np.frombuffer(a, dtype="<u4").tolist() for a, _ in pairs]
+            columns = {
+                "doc_id": ids, "n_tokens": [len(a) // 4 for a, _ in pairs], "ids_sha256": [hashlib.sha256(a).hexdigest() for a, _ in pairs],
+                "decoded_sha256": [hashlib.sha256(b.encode()).hexdigest() for _, b in pairs],
+            }
+            if with_ids:
+                columns["ids"] = [np.frombuffer(a, dtype="<i4") for a, _ in pairs]
+            if with_text:
                 columns["decoded"] = [b for _, b in pairs]
             return columns
 
         return handle
 
-    tail = "ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string"
-    return map_texts(texts_of(docs, id_col, text_col), make, f"doc_id long, n_tokens long, {tail}")
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema += (", ids array<int>" if with_ids else "") + (", decoded string" if with_text else "")
+    return map_texts(texts_of(docs, id_col, text_col), make, schema)

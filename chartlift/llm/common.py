@@ -18,11 +18,11 @@ def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterable[pa.RecordBatch], text_col: str = "text") -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose texts together stay below PIECE_CHARS, so that memory is bounded."""
     for batch in batches:
         start, chars = 0, 0
-        lengths = pc.binary_length(batch.column("text")).to_pylist()
+        lengths = pc.binary_length(batch.column(text_col)).to_pylist()
         for row, length in enumerate(lengths):
             length = length or 0
             if row > start and chars + length > PIECE_CHARS:
@@ -48,6 +48,28 @@ def map_texts(df: DataFrame, make: Callable[[], Callable[[list, list], dict]], s
     return df.mapInArrow(run, schema)
 
 
+def rewrite_texts(df: DataFrame, make: Callable[[], Callable[[list], list]], text_col: str = "text", extra: str | None = None) -> DataFrame:
+    """Rows as they are, with ``make()(texts)`` as new texts; False instead of a text drops the row.
+
+    With ``extra``, a column after those of ``df``'s result, ``make()(texts, extras)`` is called and the column is dropped.
+    """
+    schema = df.drop(extra).schema if extra else df.schema
+    place = schema.names.index(text_col)
+
+    def run(batches):
+        handle = make()
+        for batch in pieces(batches, text_col):
+            texts = batch.column(text_col).to_pylist()
+            new = handle(texts, batch.column(extra).to_pylist()) if extra else handle(texts)
+            if extra:
+                batch = batch.select(schema.names)
+            stay = pa.array([t is not False for t in new], pa.bool_())
+            texts = pa.array([None if t is False else t for t in new], batch.schema.field(place).type)
+            yield batch.set_column(place, batch.schema.field(place), texts).filter(stay)
+
+    return df.mapInArrow(run, schema)
+
+
 def _fields(schema: str) -> list[str]:
     parts, depth, current = [], 0, ""
     for character in schema:

@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartlift.llm.common import pieces, texts_of
+from chartlift.llm.common import pieces, rewrite_texts, texts_of
 
 WINDOW = 10
 BLOCK_WORDS = 500_000
@@ -72,9 +72,14 @@ def build(block: list[tuple[int, list[bytes]]], window: int) -> ahocorasick.Auto
     return automaton
 
 
+def line_of(words: list[bytes]) -> str:
+    """Words between single spaces, one character for each byte."""
+    return (b" " + b" ".join(words) + b" ").decode("latin-1")
+
+
 def scan(automaton: ahocorasick.Automaton, words: list[bytes]) -> tuple[list[int], set[int]]:
     """Word ranges [first, last + 1) that occurrences cover, flat and merged, and the items they belong to."""
-    line = (b" " + b" ".join(words) + b" ").decode("latin-1")
+    line = line_of(words)
     ranges: list[list[int]] = []
     items: set[int] = set()
     for end, (length, owners) in automaton.iter(line):
@@ -137,12 +142,40 @@ def spans_in_text(text: str, hits: list[int]) -> list[tuple[int, int]]:
     return [(places[a][0], places[b - 1][1]) for a, b in zip(hits[::2], hits[1::2], strict=True)]
 
 
+def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    return benchmark.select(F.col(item_col).cast("long"), text_col).where(F.col(item_col).isNotNull() & F.col(text_col).isNotNull())
+
+
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+    window: int = WINDOW, block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """The rows without any occurrence of a benchmark window, with all their columns."""
+    context = docs.sparkSession.sparkContext
+
+    def keeper(block):
+        def make():
+            automaton = build(block.value, window)
+
+            def clean(text: str | None) -> bool:
+                words = words_of(text or "")
+                return not words or next(automaton.iter(line_of(words)), None) is None
+
+            return lambda texts: [t if clean(t) else False for t in texts]
+
+        return make
+
+    for block in item_blocks(_items(benchmark, item_col, item_text_col), window, block_words):
+        docs = rewrite_texts(docs, keeper(context.broadcast(block)), text_col)
+    return docs
+
+
 def find_contamination(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
     item_text_col: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS, with_spans: bool = True,
 ) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated and, if wanted, the spans hit in the original text."""
-    items = benchmark.select(F.col(item_col).cast("long"), item_text_col).where(F.col(item_col).isNotNull() & F.col(item_text_col).isNotNull())
+    items = _items(benchmark, item_col, item_text_col)
     spark = docs.sparkSession
     rows = texts_of(docs, id_col, text_col)
     rows = rows.select(

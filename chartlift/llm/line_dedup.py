@@ -25,7 +25,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartlift.llm.common import pieces, texts_of
+from chartlift.llm.common import pieces, rewrite_texts, texts_of
+from chartlift.operators.joins import attach
 from chartlift.runtime import settle
 
 MIN_CHARS = 20
@@ -143,39 +144,56 @@ def lines_to_drop(
     suspects = settle(_suspects(docs, filter_, min_chars, filter_bits))
     repeated = suspects.groupBy("line").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("keeper"))
     repeated = repeated.where((F.col("docs") >= min_docs) & F.col("keeper").isNotNull()).select("line", "keeper")
-    lost = suspects.join(repeated, "line").where(F.col("doc_id").isNull() | (F.col("doc_id") < F.col("keeper")))
+    lost = attach(suspects, repeated, ["line"]).where(F.col("doc_id").isNull() | (F.col("doc_id") < F.col("keeper")))
     return lost.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))  # bounded by the document's own lines
 
 
+def without_lines(text: str, lost: list[bytes] | None, min_chars: int) -> tuple[str, int, int]:
+    """(text without the lines whose keys are lost, lines before, lines dropped)."""
+    lines = text.split("\n")
+    if not lost:
+        return text, len(lines), 0
+    gone = set(lost)
+    keys = [line_key(line, min_chars) for line in lines]
+    kept = [x for x, k in zip(lines, keys, strict=True) if k is None or hashlib.blake2b(k, digest_size=16).digest() not in gone]
+    return "\n".join(kept), len(lines), len(lines) - len(kept)
+
+
+def _with_losses(docs: DataFrame, id_col: str, drops: DataFrame) -> DataFrame:
+    drops = drops.select(F.col("doc_id").alias("_lines_id"), F.col("lines").alias("_lines"))
+    return docs.join(drops, docs[id_col].cast("long").eqNullSafe(F.col("_lines_id")), "left").drop("_lines_id")
+
+
+def drop_repeated_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
+    filter_bits: int = FILTER_BITS,
+) -> DataFrame:
+    """The rows with all their columns, their texts without repeated lines (a null text stays null)."""
+    rows = texts_of(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
+    joined = _with_losses(docs, id_col, lines_to_drop(rows, min_chars, min_docs, filter_bits))
+
+    def make():
+        return lambda texts, lost: [t and without_lines(t, x, min_chars)[0] for t, x in zip(texts, lost, strict=True)]
+
+    return rewrite_texts(joined, make, text_col, "_lines")
+
+
 def dedup_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
     filter_bits: int = FILTER_BITS, with_text: bool = True,
 ) -> DataFrame:
     """doc_id, n_lines (before), n_dropped, kept_sha256 and, if wanted, the text that is kept."""
     rows = texts_of(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    drops = lines_to_drop(rows, min_chars, min_docs, filter_bits).withColumnRenamed("doc_id", "_id")
-    joined = rows.join(drops, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select("doc_id", "text", "lines")
+    joined = _with_losses(rows, "doc_id", lines_to_drop(rows, min_chars, min_docs, filter_bits))
 
     def cut(batches):
         for batch in pieces(batches):
-            counts, dropped, kept = [], [], []
-            for text, lost in zip(batch.column("text").to_pylist(), batch.column("lines").to_pylist(), strict=True):
-                lines = text.split("\n")
-                counts.append(len(lines))
-                if lost:
-                    gone = set(lost)
-                    keys = [line_key(line, min_chars) for line in lines]
-                    stay = [k is None or hashlib.blake2b(k, digest_size=16).digest() not in gone for k in keys]
-                    dropped.append(stay.count(False))
-                    text = "\n".join([line for line, s in zip(lines, stay, strict=True) if s])
-                else:
-                    dropped.append(0)
-                kept.append(text)
-            columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(dropped, pa.int64())]
-            columns.append(pa.array([hashlib.sha256(t.encode()).hexdigest() for t in kept], pa.string()))
+            found = [without_lines(t, x, min_chars) for t, x in zip(batch.column("text").to_pylist(), batch.column("_lines").to_pylist(), strict=True)]
+            columns = [batch.column("doc_id"), pa.array([f[1] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.int64())]
+            columns.append(pa.array([hashlib.sha256(f[0].encode()).hexdigest() for f in found], pa.string()))
             names = ["doc_id", "n_lines", "n_dropped", "kept_sha256"]
             if with_text:
-                columns.append(pa.array(kept, pa.string()))
+                columns.append(pa.array([f[0] for f in found], pa.string()))
                 names.append("kept_text")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 

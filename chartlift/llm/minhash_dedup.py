@@ -180,3 +180,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "first", "doc_id")).alias("component_id")
     found = named.select("doc_id", "n_shingles", component)
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document (the smallest id) of each group, with all its columns; rows that share an id stay or go together."""
+    gone = near_duplicates(docs, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs[id_col].cast("long") == F.col("_gone"), "left_anti")

@@ -75,3 +75,10 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_chat_format")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.format_chats(table(spark, folder, "conversations"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)

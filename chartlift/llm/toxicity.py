@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartlift.llm.common import map_texts, texts_of
+from chartlift.llm.common import map_texts, rewrite_texts, texts_of
 from chartlift.llm.labels import held_out, training_labels
 
 SAMPLE = 1500  # documents of each label that training reads at most
@@ -38,6 +38,7 @@ SPAN = 6
 NEGATIVE_WORDS = 12_000
 COST = 4.0
 KNOWN_WORDS = 400_000
+CUT = 0.5
 
 _PATTERNS = [(j, k, m) for m in range(3, SPAN) for k in range(2, m) for j in range(1, k)]
 _SENTENCE = re.compile(r"[.!?\n]+")
@@ -238,38 +239,56 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label_col: str
     return train(sample_rows(texts_of(docs), known, sample), share) if share else None
 
 
+class Scorer:
+    """Probabilities of texts; the scores of words met before are remembered, up to a bound."""
+
+    def __init__(self, model: Model | None):
+        self.model = model
+        self.known: dict[str, float] = {}
+
+    def __call__(self, texts: list[str | None]) -> np.ndarray:
+        machine, known = self.model, self.known
+        if machine is None:
+            return np.zeros(len(texts))
+        bags = [set(words_of(t or "")) for t in texts]
+        if len(known) > KNOWN_WORDS:
+            known.clear()
+        missing = list(set().union(*bags).difference(known))
+        plains = [plain(w) for w in missing]
+        long = [i for i, p in enumerate(plains) if len(p) > 3]
+        known.update(dict.fromkeys(missing, machine.bias))
+        for start in range(0, len(long), 50_000):
+            some = long[start : start + 50_000]
+            scores = machine.word_scores([plains[i] for i in some]).tolist()
+            known.update((missing[i], s) for i, s in zip(some, scores, strict=True))
+        evidence = [machine.evidence(np.fromiter(map(known.__getitem__, bag), dtype=float, count=len(bag))) for bag in bags]
+        return machine.probability(np.array(evidence).reshape(-1, 3))
+
+
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted for every text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        machine = shared.value
-        known: dict[str, float] = {}
-
-        def handle(ids, texts):
-            if machine is None:
-                return {"doc_id": ids, "score": [0.0] * len(ids)}
-            bags = [set(words_of(t)) for t in texts]
-            if len(known) > KNOWN_WORDS:
-                known.clear()
-            missing = list(set().union(*bags).difference(known))
-            plains = [plain(w) for w in missing]
-            long = [i for i, p in enumerate(plains) if len(p) > 3]
-            known.update(dict.fromkeys(missing, machine.bias))
-            for start in range(0, len(long), 50_000):
-                some = long[start : start + 50_000]
-                scores = machine.word_scores([plains[i] for i in some]).tolist()
-                known.update((missing[i], s) for i, s in zip(some, scores, strict=True))
-            evidence = [machine.evidence(np.fromiter(map(known.__getitem__, bag), dtype=float, count=len(bag))) for bag in bags]
-            return {"doc_id": ids, "score": machine.probability(np.array(evidence).reshape(-1, 3))}
-
-        return handle
+        scorer = Scorer(shared.value)
+        return lambda ids, texts: {"doc_id": ids, "score": scorer(texts)}
 
     found = map_texts(texts_of(docs, id_col, text_col), make, "doc_id long, score double")
     return found.select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= CUT, 1).otherwise(0).alias("predicted")
     )
 
 
+def without_toxic(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """The rows whose texts are not predicted to be toxic, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def make():
+        scorer = Scorer(shared.value)
+        return lambda texts: [False if p >= CUT else t for t, p in zip(texts, scorer(texts), strict=True)]
+
+    return rewrite_texts(docs, make, text_col)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     return score(docs, fit(docs, labels, sample))

@@ -31,11 +31,12 @@ from pyspark.sql import functions as F
 
 from chartlift.llm.common import pieces, texts_of
 from chartlift.llm.shingles import mix
+from chartlift.operators.joins import attach
 from chartlift.runtime import scratch_path, settle
 
 LENGTH = 200
 ANCHOR = 64
-GROUP_RUNS = 512
+GROUP_WINDOWS = 2_000_000
 MAX_RUN = 1024  # windows of one row; longer runs, which periodic text makes, come as several
 GROUP_BYTES = 400_000
 
@@ -236,7 +237,7 @@ _RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans
 
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, anchor: int = ANCHOR,
-    group_runs: int = GROUP_RUNS,
+    group_windows: int = GROUP_WINDOWS,
 ) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and spans, the byte ranges removed (start, end, start, …)."""
     spark = docs.sparkSession
@@ -246,14 +247,14 @@ def remove_repeats(
     runs = _runs(rows.select("row", "text"), length, anchor)
 
     counted = runs.groupBy("a").agg(F.sum("times").alias("n")).where("n > 1").select("a")
-    repeated = settle(runs.join(counted, "a"))
-    equal = repeated.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "start")).alias("one"))
-    kinds = equal.groupBy("a").agg(F.count(F.lit(1)).alias("kinds"))
+    repeated = settle(attach(runs, counted, ["a"]))
+    equal = repeated.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("windows").alias("own"), F.min(F.struct("row", "start")).alias("one"))
+    kinds = equal.groupBy("a").agg(F.count(F.lit(1)).alias("kinds"), F.sum("own").alias("of_kinds"))
     settled = F.col("n") > 1
-    known = repeated.join(equal, ["a", "b"]).join(kinds, "a")
+    known = attach(attach(repeated, equal, ["a", "b"]), kinds, ["a"])
     one = settled & (F.struct("row", "start") == F.col("one"))
     known = known.select(
-        "row", "start", "windows", "a", settled.alias("settled"), (F.col("kinds") > group_runs).alias("large"),
+        "row", "start", "windows", "a", settled.alias("settled"), (F.col("of_kinds") > group_windows).alias("large"),
         ((F.col("kinds") > 1) & (~settled | one) | ~settled & (F.col("times") > 1)).alias("open"),
     ).where("settled OR open")
     by_row = known.groupBy("row").agg(F.collect_list(F.struct("start", "windows", "a", "settled", "large", "open")).alias("runs"))

@@ -40,12 +40,12 @@ def texts(seed):
     return [*enumerate(rows), (None, base[:60]), (3, base), (7, "x" * 13)]
 
 
-@pytest.mark.parametrize("group_runs", [512, 2])
+@pytest.mark.parametrize("group_windows", [2_000_000, 20])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_against_all_windows(spark, seed, group_runs):
+def test_against_all_windows(spark, seed, group_windows):
     rows = texts(seed)
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], SCHEMA)
-    found = suffix_dedup.remove_repeats(docs, length=12, anchor=4, group_runs=group_runs)
+    found = suffix_dedup.remove_repeats(docs, length=12, anchor=4, group_windows=group_windows)
     ours = sorted((tuple(r)[:5] for r in found.drop("spans").collect()), key=repr)
     assert ours == brute(rows, 12)
 

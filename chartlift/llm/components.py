@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chartlift.operators.joins import attach
 from chartlift.runtime import settle
 
 
@@ -12,14 +13,14 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a vertex is tied to the smallest of its neighbourhood."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m"))
-    joined = both.where("v > u").join(least, "u")
+    joined = attach(both.where("v > u"), least, ["u"])
     return joined.select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every smaller neighbour of a vertex, and the vertex, are tied to the smallest of them (edges point down)."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = attach(edges, least, ["u"]).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 

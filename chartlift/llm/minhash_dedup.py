@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from chartlift.llm.common import map_texts, pieces, texts_of
 from chartlift.llm.components import components
 from chartlift.llm.shingles import GROUP_CHARS, mix, shingle_sets
+from chartlift.operators.joins import attach
 from chartlift.runtime import scratch_path, settle
 
 SHINGLE = 5
@@ -132,7 +133,7 @@ def link(unique: DataFrame, docs: DataFrame) -> DataFrame:
     """(id, component) of classes that are not the smallest id of their component."""
     rows = unique.select("doc_id", "n_shingles", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size >= 2")
-    members = settle(rows.join(shared, "bucket"))
+    members = settle(attach(rows, shared, ["bucket"]))
     weights = members.groupBy("doc_id").agg(F.sum("size").alias("weight"))
     members = settle(members.join(weights, "doc_id"))
     spark = docs.sparkSession
@@ -142,7 +143,7 @@ def link(unique: DataFrame, docs: DataFrame) -> DataFrame:
 
     best = F.max(F.struct(F.col("weight"), (-F.col("doc_id")).alias("id"), F.col("n_shingles").alias("v_size"))).alias("hub")
     hubs = members.groupBy("bucket").agg(best).select("bucket", (-F.col("hub.id")).alias("v"), "hub.v_size")
-    pairs = members.join(hubs, "bucket").where((F.col("doc_id") != F.col("v")) & _alike("n_shingles", "v_size"))
+    pairs = attach(members, hubs, ["bucket"]).where((F.col("doc_id") != F.col("v")) & _alike("n_shingles", "v_size"))
     tested = _confirm(pairs.select(F.col("doc_id").alias("u"), "v").distinct(), texts)
     used = None
     while True:
@@ -151,7 +152,7 @@ def link(unique: DataFrame, docs: DataFrame) -> DataFrame:
         placed = placed.withColumn("component", F.coalesce("component", "doc_id"))
         rank = F.struct(F.col("weight"), (-F.col("doc_id")).alias("id"))
         mixed = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max_by("component", rank).alias("main"))
-        open_ = settle(placed.join(mixed.where("lo < hi").select("bucket", "main"), "bucket"))
+        open_ = settle(attach(placed, mixed.where("lo < hi").select("bucket", "main"), ["bucket"]))
         outside = open_.where("component != main")
         if used is not None:
             outside = outside.join(used, ["bucket", "doc_id"], "left_anti")
@@ -175,7 +176,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = sketched.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first"))
     firsts = sketched.where("digest IS NOT NULL AND doc_id IS NOT NULL").join(classes, "digest").where(F.col("doc_id") == F.col("first"))
     labels = link(firsts.dropDuplicates(["doc_id", "digest"]), known)
-    named = sketched.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
+    named = attach(sketched.select("doc_id", "n_shingles", "digest"), classes, ["digest"], "left")
     named = named.join(labels.withColumnRenamed("id", "first"), "first", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "first", "doc_id")).alias("component_id")
     found = named.select("doc_id", "n_shingles", component)

@@ -25,8 +25,9 @@ from chartlift.llm.merges import Cutter, Merges, load, narrow, vocabulary_path
 VOCABULARY = "word_bpe_49k.json"
 # The pattern of the vocabulary, a fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
-# Small forms of capitals that Unicode 16 added.
-NEW_CASES = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B} | {0x10D50 + i: 0x10D70 + i for i in range(22)}
+# Small forms of capitals that Unicode 16 and 17 added.
+NEW_CASES = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
+NEW_CASES |= {0x10D50 + i: 0x10D70 + i for i in range(22)} | {0x16EA0 + i: 0x16EBB + i for i in range(25)}
 LEAF = 48
 KNOWN_WORDS = 250_000  # remembered words; once there are more, the table starts anew
 KNOWN_PAIRS = 100_000

@@ -26,7 +26,7 @@ from chartlift.llm.common import pieces, rewrite_texts, texts_of
 
 WINDOW = 10
 BLOCK_WORDS = 500_000
-WORD = regex.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+WORD = regex.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")  # before lower-casing
 
 _KEPT = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
 _NORMAL = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b in _KEPT else 0x20 for b in range(256))

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from chartlift.functions.columns import ColumnLike, as_column
+from chartlift.functions.dates import day_part
 
 # Spellings of truth in the source.
 TRUE_WORDS = ["t", "T", "true"]
@@ -20,9 +21,10 @@ TEXT_TESTS = [
     "abdominal_ultrasound", "chest_xray", "culture", "cxr", "cxr0", "cxr1", "cxr2", "hanging_drop", "other",
     "other_radiology", "other_std", "other_test", "stool", "urinalysis", "vaginal_smear",
 ]
-BLOOD_TYPES = [
-    "AB_NEGATIVE", "AB_POSITIVE", "B_NEGATIVE", "B_POSITIVE", "O_NEGATIVE", "O_POSITIVE", "A_NEGATIVE", "A_POSITIVE",
-]
+BLOOD_TYPES = {
+    "AB_NEGATIVE": ["AB-"], "AB_POSITIVE": ["AB+"], "B_NEGATIVE": ["B-"], "B_POSITIVE": ["B+"], "O_NEGATIVE": ["O-"],
+    "O_POSITIVE": ["O+"], "A_NEGATIVE": ["A-"], "A_POSITIVE": ["A+"],
+}
 CYTOLOGY_RESULTS = ["ASCUS", "HSIL", "LSIL"]
 SENSITIVITY_RESULTS = {
     "PAN_SENSITIVE": ["pan-sensitive:"],
@@ -34,7 +36,7 @@ SMEAR_RESULTS = {
     "NOT_DONE": ["not_done"],
 }
 CODED_TESTS = {
-    "blood_type": {code: [code] for code in BLOOD_TYPES},
+    "blood_type": BLOOD_TYPES,
     "cytology": {code: [code] for code in CYTOLOGY_RESULTS},
     "dst": SENSITIVITY_RESULTS,
     "smear1": SMEAR_RESULTS, "smear2": SMEAR_RESULTS, "smear3": SMEAR_RESULTS, "sputum": SMEAR_RESULTS,
@@ -80,7 +82,7 @@ def parse_typed(value: ColumnLike, kind: str, strict: bool = True) -> Column:
     readers = {
         "int": lambda: F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("int")),
         "double": lambda: parse_double(text),
-        "date": lambda: F.when(text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}"), F.substring(text, 1, 10).try_cast("date")),
+        "date": lambda: day_part(text).try_cast("date"),
         "boolean": lambda: parse_boolean(text),
         "string": lambda: text,
     }
@@ -118,7 +120,7 @@ def lab_result(
 ) -> Column:
     """Route a raw lab result to ``struct<numeric, percent, coded, text, exception>``.
 
-    A value that does not fit the type of its test becomes the exception value.
+    A value that does not fit the type of its test, or whose test is not known, becomes the exception value.
     """
     name, value = F.lower(as_column(test)), as_column(raw)
     number = parse_double(value)
@@ -138,10 +140,8 @@ def lab_result(
     is_ppd = name == "ppd"  # a sign, a size in millimetres, or both as sign:size
 
     coded = F.when(name.isin(SIMPLE_CODED_TESTS), simple)
-    coded_names = list(SIMPLE_CODED_TESTS)
     for other, aliases in CODED_TESTS.items():
         coded = coded.when(name == other, alias_code(value, aliases))
-        coded_names.append(other)
     coded = coded.when(is_ppd & ppd_single, simple).when(is_ppd & ppd_pair, ppd_code)
 
     numeric = (
@@ -151,9 +151,8 @@ def lab_result(
     )
     percent = F.when(as_percent, percent)
     text = F.when(is_text, value)
-    known = is_text | as_percent | as_number | is_ppd | name.isin(coded_names)
     typed = F.coalesce(numeric.cast("string"), percent.cast("string"), coded, text)
-    exception = F.when(known & value.isNotNull() & typed.isNull(), value)
+    exception = F.when(value.isNotNull() & typed.isNull(), value)
     return F.struct(
         numeric.alias("numeric"), percent.alias("percent"), coded.alias("coded"), text.alias("text"),
         exception.alias("exception"),

@@ -15,6 +15,13 @@ def as_of_column(as_of: date | str | Column) -> Column:
     return as_of if isinstance(as_of, Column) else F.to_date(F.lit(str(as_of)))
 
 
+def day_part(value: ColumnLike) -> Column:
+    """The day of a text that is a day, or a day and a time of day, and nothing else; null otherwise."""
+    time_of_day = r"[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?"
+    day = F.regexp_extract(as_column(value), rf"^([0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}})({time_of_day})?$", 1)
+    return F.when(day != "", day)
+
+
 def try_fix_date(value: ColumnLike) -> Column:
     """Repair ``yyyy-mm-dd`` text: day too large gives the first of the next month, month above 12
     gives the first of December; anything else that is no date gives null."""

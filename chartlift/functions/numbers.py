@@ -15,12 +15,12 @@ def is_number(value: ColumnLike) -> Column:
 
 
 def extract_number(value: ColumnLike) -> Column:
-    """The first number in the first 32 characters, as text with a decimal point.
+    """The first number in the text, as text with a decimal point.
 
     Leading zeros and trailing dots go ('0.5' gives '.5'); text without a number gives '0'.
     """
     text = as_column(value)
-    run = F.regexp_extract(F.substring(text, 1, 32), "[0-9.,]+", 0)
+    run = F.regexp_extract(text, "[0-9.,]+", 0)
     trimmed = F.regexp_replace(F.regexp_replace(F.translate(run, ",", "."), "^0+", ""), r"\.+$", "")
     return F.when(text.isNotNull(), F.when(trimmed == "", F.lit("0")).otherwise(trimmed))
 

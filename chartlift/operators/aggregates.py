@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from chartlift.functions.columns import ColumnLike, as_column
 from chartlift.operators.joins import attach
-from chartlift.runtime import list_part_rows
+from chartlift.operators.keys import assign_ids
 
 
 def count_if(condition: Column) -> Column:
@@ -72,31 +72,27 @@ def member_counts(parents: DataFrame, children: DataFrame, parent_id: str, paren
     return parents.join(counts, parent_id, "left").withColumn("members", F.coalesce("members", F.lit(0)))
 
 
-def crowded_keys(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
-    """Keys with more than ``limit`` rows and the number of parts they need: at most (all rows / limit) keys."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
-    return counts.select(*keys, F.ceil(F.col("_rows") / F.lit(limit)).cast("int").alias("_fan"))
+def child_rows(df: DataFrame, keys: Sequence[str], columns: Sequence[str], alias: str = "child") -> DataFrame:
+    """Child rows as a long frame: keys, ``position`` from 1 in the order of the columns, and the child as a struct.
 
+    The form for keys of any size: positions come from consecutive ids over all rows (no task sees a whole key), less
+    the first id of the key. Null keys drop out.
+    """
+    present = df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])).select(*dict.fromkeys([*keys, *columns]))
+    numbered = assign_ids(present, list(dict.fromkeys([*keys, *columns])), "_id")
+    first = numbered.groupBy(*keys).agg(F.min("_id").alias("_first"))
+    position = (F.col("_id") - F.col("_first") + 1).alias("position")
+    return attach(numbered, first, keys).select(*keys, position, F.struct(*columns).alias(alias))
 
-def collect_nested(
-    df: DataFrame, keys: Sequence[str], columns: Sequence[str], alias: str, part_rows: int | None = None
-) -> DataFrame:
-    """Child rows folded to a sorted ``array<struct>`` per key, with a ``part`` number.
 
-    A key with more children than ``part_rows`` comes as several rows (part 0, 1, …) with each child in one
-    of them: the result is whole, and no task has to hold one huge list. Children are dealt out by a hash of
-    their content and their input partition, so that copies of one row spread as well. Null keys drop out.
+def collect_nested(df: DataFrame, keys: Sequence[str], columns: Sequence[str], alias: str) -> DataFrame:
+    """Child rows folded to one sorted ``array<struct>`` per key. Null keys drop out.
+
+    One cell holds all children of its key, as the document that is asked for does; ``child_rows`` is the same
+    result for keys too large for a cell.
     """
-    limit = part_rows or list_part_rows(df.sparkSession)
-    crowded = F.broadcast(crowded_keys(df, keys, limit))
-    dealt = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
-    part = F.pmod(dealt, F.coalesce("_fan", F.lit(1))).cast("int")
     present = df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    placed = present.join(crowded, list(keys), "left").select(
-        *keys, *[c for c in columns if c not in keys], part.alias("part")
-    )
-    folded = F.sort_array(F.collect_list(F.struct(*columns)))
-    return placed.groupBy(*keys, "part").agg(folded.alias(alias))
+    return present.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*columns))).alias(alias))
 
 
 def unique_map(df: DataFrame, key: str, value: str) -> DataFrame:

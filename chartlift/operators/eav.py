@@ -241,7 +241,8 @@ def resolve_obs(
 
     ``encounters``: source_encounter_id, encounter_id, patient_id, encounter_datetime, location_id,
     date_created. An observation without a migrated encounter drops out; time and place default to the
-    encounter's. ``concepts``: ref, concept_id; ``drugs``: ref, drug_id; without them references stay text.
+    encounter's. ``concepts``: ref, concept_id; ``drugs``: ref, drug_id; without them references stay text. A
+    reference with several ids takes the lowest.
     """
     visits = encounters.select(
         "source_encounter_id", "encounter_id", F.col("patient_id").alias("person_id"),
@@ -250,21 +251,21 @@ def resolve_obs(
     joined = drafts.join(visits, "source_encounter_id")
     question, answer, drug = F.col("concept"), F.col("value_coded"), F.col("value_drug")
     if concepts is not None:
-        questions = concepts.select(F.col("ref").alias("concept"), F.col("concept_id").alias("_question"))
-        answers = concepts.select(F.col("ref").alias("value_coded"), F.col("concept_id").alias("_answer"))
+        one_each = concepts.groupBy("ref").agg(F.min("concept_id").alias("concept_id"))
+        questions = one_each.select(F.col("ref").alias("concept"), F.col("concept_id").alias("_question"))
+        answers = one_each.select(F.col("ref").alias("value_coded"), F.col("concept_id").alias("_answer"))
         joined = joined.join(questions, "concept", "left").join(answers, "value_coded", "left")
         question, answer = F.col("_question"), F.col("_answer")
     if drugs is not None:
-        joined = joined.join(
-            drugs.select(F.col("ref").alias("value_drug"), F.col("drug_id").alias("_drug")), "value_drug", "left"
-        )
+        one_each = drugs.groupBy(F.col("ref").alias("value_drug")).agg(F.min("drug_id").alias("_drug"))
+        joined = joined.join(one_each, "value_drug", "left")
         drug = F.col("_drug")
     return joined.select(
         "obs_key", "group_key", "person_id", "encounter_id",
         F.coalesce("obs_datetime", F.col("encounter_datetime").cast("timestamp")).alias("obs_datetime"),
         F.coalesce("location_id", F.lit(unknown_location)).alias("location_id"),
         question.alias("concept_id"), answer.alias("value_coded"), drug.alias("value_drug"),
-        "value_numeric", "value_datetime", "value_text", F.substring("comments", 1, 255).alias("comments"),
+        "value_numeric", "value_datetime", "value_text", "comments",
         "accession_number", F.lit(1).alias("creator"), "date_created", F.lit(False).alias("voided"),
         uuid_name(job_table, "obs_key").alias("uuid"),
     )

@@ -38,11 +38,13 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str], id_column: str) -> Data
 
 
 def anti_not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:
-    """``NOT IN`` with its null rules: a null probe never passes, a null in the list passes nothing."""
+    """``NOT IN`` with its null rules: a null in the list passes nothing, a null probe passes an empty list only."""
     probes = other.select(F.col(other_column).alias("_member"))
     poisoned = probes.filter(F.col("_member").isNull()).limit(1).select(F.lit(True).alias("_poison"))
     kept = df.filter(F.col(column).isNotNull()).join(probes, df[column] == probes["_member"], "left_anti")
-    return kept.join(F.broadcast(poisoned), F.lit(True), "left_anti")
+    some = probes.limit(1).select(F.lit(True).alias("_some"))
+    unknown = df.filter(F.col(column).isNull()).join(F.broadcast(some), F.lit(True), "left_anti")
+    return kept.join(F.broadcast(poisoned), F.lit(True), "left_anti").unionByName(unknown)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:

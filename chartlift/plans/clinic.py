@@ -471,7 +471,7 @@ def symptoms_obs(staged: DataFrame, encounters: DataFrame) -> DataFrame:
     return eav.emit(rows, "symptom", ["symptom_id"], "source_encounter_id", [
         eav.Group("CIEL:1727", [
             eav.coded("CIEL:1728", F.col("_ref"), comments=comment),
-            eav.coded("CIEL:1728", "CIEL:5622", when=symptom == "other", comments=text.truncate_text("symptom_comment", 254)),
+            eav.coded("CIEL:1728", "CIEL:5622", when=symptom == "other", comments=comment),
             eav.coded("CIEL:1729", present),
             eav.numeric("CIEL:1731", "duration", when=timed),
             eav.coded("CIEL:1732", filters.case_map("duration_unit", DURATION_UNITS), when=timed, keep_null=True),

@@ -12,7 +12,6 @@ from chartlift.functions.clinical import lab_result, simple_lab_code
 from chartlift.functions.numbers import height_cm, weight_kg_export
 from chartlift.operators import aggregates, eav
 from chartlift.operators.keys import assign_ids
-from chartlift.runtime import list_part_rows
 
 PATIENT, ENCOUNTER = "source_patient_id", "source_encounter_id"
 
@@ -125,24 +124,17 @@ def user_map(users: DataFrame, parties: DataFrame, persons: DataFrame) -> DataFr
 # ---- documents
 
 
-def nest(base: DataFrame, key: str, lists: dict[str, DataFrame], part_rows: int | None = None) -> DataFrame:
-    """Base rows with one sorted ``array<struct>`` per list of children.
+def list_rows(lists: dict[str, DataFrame], key: str) -> dict[str, DataFrame]:
+    """Each list of children as a long frame (key, position, child), for keys of any number of children."""
+    return {name: aggregates.child_rows(f, [key], [c for c in f.columns if c != key]) for name, f in lists.items()}
 
-    A key with very many children gives several rows (column ``part``); each child is in just one of them.
-    """
-    limit = part_rows or list_part_rows(base.sparkSession)
-    further = None
-    for frame in lists.values():
-        crowded = aggregates.crowded_keys(frame, [key], limit)
-        more = crowded.select(key, F.explode(F.sequence(F.lit(1), F.col("_fan") - 1)).alias("part"))
-        further = more if further is None else further.unionByName(more)
-    rows = base.withColumn("part", F.lit(0))
-    if further is not None:
-        # at most (all children / limit) further parts
-        rows = rows.unionByName(base.join(F.broadcast(further.distinct()), key))
+
+def nest(base: DataFrame, key: str, lists: dict[str, DataFrame]) -> DataFrame:
+    """Base rows, one for each key, with one sorted ``array<struct>`` per list of children (null without any)."""
+    rows = base
     for name, frame in lists.items():
         columns = [c for c in frame.columns if c != key]
-        rows = rows.join(aggregates.collect_nested(frame, [key], columns, name, limit), [key, "part"], "left")
+        rows = rows.join(aggregates.collect_nested(frame, [key], columns, name), key, "left")
     return rows
 
 
@@ -180,7 +172,7 @@ DOCUMENTS = {
 
 def encounter_documents(
     kind: str, encounters: DataFrame, sources: dict[str, DataFrame], observations: DataFrame | None = None,
-    properties: dict[str, Sequence[str] | str] | None = None, part_rows: int | None = None,
+    properties: dict[str, Sequence[str] | str] | None = None,
 ) -> DataFrame:
     """Documents of one kind of encounter: its forms side by side, its lists nested, its named observations
     as columns. ``sources`` maps the names of the shape to frames keyed by ``source_encounter_id``; one that
@@ -199,12 +191,12 @@ def encounter_documents(
         named = observations.join(scope, ENCOUNTER, "left_semi")
         rows = rows.join(eav.eav_pivot(named, [ENCOUNTER], "observation", "value", properties), ENCOUNTER, "left")
     lists = {name: sources[name].join(scope, ENCOUNTER, "left_semi") for name in shape.lists if name in sources}
-    return nest(rows, ENCOUNTER, lists, part_rows) if lists else rows.withColumn("part", F.lit(0))
+    return nest(rows, ENCOUNTER, lists)
 
 
-def patient_documents(patients: DataFrame, lists: dict[str, DataFrame], part_rows: int | None = None) -> DataFrame:
+def patient_documents(patients: DataFrame, lists: dict[str, DataFrame]) -> DataFrame:
     """Patients with all their encounter documents and facts as nested lists."""
-    return nest(patients, PATIENT, lists, part_rows)
+    return nest(patients, PATIENT, lists)
 
 
 # ---- misfiled lab results

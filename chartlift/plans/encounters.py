@@ -161,25 +161,29 @@ def visits(
     encounters: DataFrame,
     excluded_types: tuple[str, ...] = ("registration", "drug order", "comment"),
     unknown: str | int = UNKNOWN_LOCATION,
+    unlinked_types: tuple[str, ...] = ("registration", "drug order"),
 ) -> DataFrame:
     """One visit per patient and day: from the first encounter to the end of the last one's day.
 
-    ``encounters``: patient_id, encounter_datetime, encounter_type, location_id. The place is the most
-    frequent known one, the greater on a tie. A patient's day is folded by counts, so even a day with very
-    many encounters never meets in one task.
+    ``encounters``: patient_id, encounter_datetime, encounter_type, location_id and, where some already have a
+    visit, visit_id; those are left alone. Types in ``excluded_types`` start no visit and do not stretch one, but all
+    that are linked to it (not ``unlinked_types``) vote on its place: the most frequent known one, the greater on a
+    tie. A patient's day is folded by counts, so even a day with very many encounters never meets in one task.
     """
     day = F.to_date("encounter_datetime").alias("day")
-    eligible = encounters.filter(~F.col("encounter_type").isin(list(excluded_types)))
-    per_place = eligible.groupBy("patient_id", day, "location_id").agg(
-        F.min("encounter_datetime").alias("_first"), F.max("encounter_datetime").alias("_last"), F.count(F.lit(1)).alias("_n")
+    free = encounters.filter(F.col("visit_id").isNull()) if "visit_id" in encounters.columns else encounters
+    voters = free.filter(~F.col("encounter_type").isin(list(unlinked_types)))
+    own = F.when(~F.col("encounter_type").isin(list(excluded_types)), F.col("encounter_datetime"))
+    per_place = voters.groupBy("patient_id", day, "location_id").agg(
+        F.min(own).alias("_first"), F.max(own).alias("_last"), F.count(own).alias("_own"), F.count(F.lit(1)).alias("_n")
     )
     ranked = F.when(F.col("location_id") != F.lit(unknown), F.struct("_n", "location_id"))
     return per_place.groupBy("patient_id", "day").agg(
         F.min("_first").alias("date_started"),
         dates.end_of_day(F.max("_last")).alias("date_stopped"),
         F.coalesce(F.max(ranked)["location_id"], F.lit(unknown)).alias("location_id"),
-        F.sum("_n").alias("encounters"),
-    )
+        F.sum("_own").alias("encounters"),
+    ).filter("encounters > 0")
 
 
 def locate_by_visit(

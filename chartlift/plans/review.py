@@ -64,7 +64,7 @@ def sample_population_obs(patients: DataFrame, encounters: DataFrame) -> DataFra
         for name, low, high in bands:
             condition = group & (first > low) & (first <= high)
             picked = F.when(condition, name) if picked is None else picked.when(condition, name)
-    rows = rows.withColumns({"_first": picked, "_h2": p_hash(F.substring("_name", 1, 120), 2),
+    rows = rows.withColumns({"_first": picked, "_h2": p_hash("_name", 2),
                              "_h3": p_hash("_name", 3), "_h4": p_hash("_name", 4)})
     chosen = F.col("_first")
     also_msm = F.coalesce(chosen.isin("sw", "prisoner", "trans", "iv") & (F.col("_h3") < 0.3), F.lit(False))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartlift.functions import text
-from chartlift.functions.dates import try_fix_date
+from chartlift.functions.dates import day_part, try_fix_date
 from chartlift.operators import aggregates, eav, filters, joins
 from chartlift.operators.filters import like_any
 
@@ -84,7 +84,7 @@ def prophylaxis_state_obs(observations: DataFrame) -> DataFrame:
     return eav.emit(folded, "prophylaxis", ["source_encounter_id", "drug"], "source_encounter_id", [
         eav.Group("LOCAL:2739", [
             eav.coded("LOCAL:2289", filters.case_map("drug", PROPHYLAXES)),
-            eav.datetime("CIEL:163526", try_fix_date(F.substring("start", 1, 10))),
+            eav.datetime("CIEL:163526", try_fix_date(day_part("start"))),
         ]),
     ])
 
@@ -154,7 +154,7 @@ def _art_groups(rows: DataFrame, name: str, value: str, names: dict[str, str], j
     leftover = text.concat_skip_null(", ", plain_coded, plain_other)
     return eav.emit(wanted, job, ["source_encounter_id"], "source_encounter_id", [
         eav.Group(group, [
-            eav.datetime("CIEL:159599", try_fix_date(F.substring("start", 1, 10))),
+            eav.datetime("CIEL:159599", try_fix_date(day_part("start"))),
             eav.coded("LOCAL:1282", answer),
             eav.text("CIEL:5424", leftover),
         ]),
@@ -196,7 +196,7 @@ def tb_state_obs(observations: DataFrame) -> DataFrame:
     known = F.when(value == "Retraitement 2RHEZ/4RH", "LOCAL:2408").otherwise("LOCAL:2406")
     each = eav.emit(observations, "tb_state", ["source_observation_id"], "source_encounter_id", [
         eav.coded("CIEL:159798", answer, when=regular),
-        eav.datetime("CIEL:1113", try_fix_date(F.substring("value", 1, 10)), when=name == "current_tx.tb_start_date"),
+        eav.datetime("CIEL:1113", try_fix_date(day_part("value")), when=name == "current_tx.tb_start_date"),
         eav.coded("CIEL:1111", regimen, when=regular & value.isNotNull() & (value != "none"), keep_null=True),
         eav.coded("CIEL:1111", known, when=other & value.isin(TB_OTHER_KNOWN)),
         eav.text("LOCAL:Anti TB free text", value, when=other & ~value.isin(TB_OTHER_KNOWN)),
@@ -215,7 +215,7 @@ def tb_plan_obs(observations: DataFrame, ordered: DataFrame) -> DataFrame:
                   when=(name == "tb_treatment_needed") & F.col("value").isNotNull()),
         eav.coded("CIEL:1269", filters.case_map("value", TB_REASONS), keep_null=True, when=name == "tb_treatment_reason"),
     ])
-    start = F.substring("comments", 1, 10).try_cast("date")
+    start = day_part("comments").try_cast("date")
     planned = eav.emit(ordered, "tb_regimen", ["ordered_id"], "source_encounter_id", [
         eav.datetime("CIEL:1113", start, when=F.col("ordered") == "tb_start_date"),
         eav.coded("CIEL:159792", filters.case_map("comments", TB_REGIMENS), when=F.col("ordered") == "tb_treatment"),

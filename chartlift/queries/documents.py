@@ -65,7 +65,7 @@ def patient_document(t):
 
 @query("l9_patient_json", f"""
     WITH {ENC}, n AS (SELECT source_patient_id AS p, '[' || string_agg('{{"source_encounter_id":' || source_encounter_id || ',"source_encounter_type":"' || source_encounter_type || '"}}', ',' ORDER BY source_encounter_id) || ']' AS items FROM enc GROUP BY 1)
-    SELECT c_custkey AS source_patient_id, '{{"source_patient_id":' || c_custkey || ',"part":0' || CASE WHEN items IS NULL THEN '' ELSE ',"encounters":' || items END || '}}' AS json FROM customer LEFT JOIN n ON p = c_custkey
+    SELECT c_custkey AS source_patient_id, '{{"source_patient_id":' || c_custkey || CASE WHEN items IS NULL THEN '' ELSE ',"encounters":' || items END || '}}' AS json FROM customer LEFT JOIN n ON p = c_custkey
 """)
 def patient_json(t):
     from chartlift.sources.writers import export_json
@@ -121,7 +121,7 @@ def encounter_documents(t):
         row_number() OVER (PARTITION BY o_custkey ORDER BY CASE WHEN o_orderstatus = 'O' THEN 0 ELSE 1 END, o_orderdate DESC, o_orderpriority, o_orderkey)::INTEGER AS position FROM orders LEFT JOIN nation ON n_nationkey = o_orderkey % 30
 """)
 def addresses(t):
-    from chartlift.operators.aggregates import collect_nested
+    from chartlift.operators.aggregates import child_rows
 
     key = F.col("o_orderkey")
     nothing = F.lit(None).cast("string")
@@ -131,9 +131,8 @@ def addresses(t):
     )
     places = t.nation.select(F.col("n_nationkey").alias("locality_id"), F.col("n_name").alias("department"), nothing.alias("commune"), F.lit(None).cast("long").alias("section"), nothing.alias("locality"))
     facts = docs.address_facts(rows, places)
-    nested = collect_nested(facts, ["source_patient_id"], ["rank_key", "address", "section", "department"], "addresses")
-    placed = nested.select("source_patient_id", F.posexplode("addresses").alias("position", "a"))
-    return placed.select("source_patient_id", "a.address", "a.department", (F.col("position") + 1).alias("position"))
+    placed = child_rows(facts, ["source_patient_id"], ["rank_key", "address", "section", "department"], "a")
+    return placed.select("source_patient_id", "a.address", "a.department", F.col("position").cast("int").alias("position"))
 
 
 @query("l11_patient_facts", """

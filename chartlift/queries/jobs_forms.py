@@ -590,7 +590,7 @@ MOVES = ["transfer_out_to", "transfer_p", "transfer_in_from", "weight"]
 MOVE_VALUES = ["3", "t", "24", None, "99", "0"]
 
 
-@query("k27_transfers", s.obs_sql(s.observations_sql(MOVES, MOVE_VALUES) + """, u AS (SELECT source_encounter_id, n_name = 'NATION_0' AS outside, CASE WHEN n_nationkey < 20 THEN n_nationkey + 100 END AS loc FROM o JOIN nation ON value = n_nationkey::VARCHAR WHERE observation = 'transfer_out_to'),
+@query("k27_transfers", s.obs_sql(s.observations_sql(MOVES, MOVE_VALUES) + """, u AS (SELECT source_encounter_id, n_name = 'NATION_0' AS outside, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey // 2 + 100 END AS loc FROM o JOIN nation ON value = n_nationkey::VARCHAR WHERE observation = 'transfer_out_to'),
     fr AS (SELECT source_encounter_id, min(value) AS origin FROM o WHERE observation = 'transfer_in_from' GROUP BY 1),
     inn AS (SELECT o.source_encounter_id, origin FROM o LEFT JOIN fr ON o.source_encounter_id = fr.source_encounter_id WHERE observation = 'transfer_p' AND value = 't')""", [
     ("u", "LOCAL:13170", "group", "", "true", False), ("u", "LOCAL:HUM Disposition categories", "coded", "'LOCAL:PATIENT TRANSFERRED OUT'", "true", True),
@@ -599,7 +599,7 @@ MOVE_VALUES = ["3", "t", "24", None, "99", "0"]
 ]))
 def transfers(t):
     institutions = t.nation.select(F.col("n_nationkey").alias("institution_id"), F.col("n_name").alias("name"))
-    sites = t.nation.filter("n_nationkey < 20").select(F.col("n_nationkey").alias("site"), (F.col("n_nationkey") + 100).alias("location_id"))
+    sites = t.nation.select((F.col("n_nationkey") * 2).alias("site"), (F.col("n_nationkey") + 100).alias("location_id"))
     return s.obs_view(clinic.transfers_obs(s.observations(t, MOVES, MOVE_VALUES), institutions, sites, "NATION_0"))
 
 
@@ -646,7 +646,7 @@ def _symptoms(t):
 
 @query("k28_symptoms", s.obs_sql(SYMPTOM_SQL, [
     ("g", "CIEL:1727", "group", "", "true", False), ("g", "CIEL:1728", "coded", "CASE symptom WHEN 'rash' THEN 'CIEL:512' ELSE 'CIEL:139084' END", "symptom <> 'other'", True, "words"),
-    ("g", "CIEL:1728", "coded", "'CIEL:5622'", "symptom = 'other'", True, "left(words, 254)"), ("g", "CIEL:1729", "coded", "CASE result WHEN 't' THEN 'CIEL:1065' ELSE 'CIEL:1066' END", "result IS NOT NULL", True),
+    ("g", "CIEL:1728", "coded", "'CIEL:5622'", "symptom = 'other'", True, "words"), ("g", "CIEL:1729", "coded", "CASE result WHEN 't' THEN 'CIEL:1065' ELSE 'CIEL:1066' END", "result IS NOT NULL", True),
     ("g", "CIEL:1731", "numeric", "dur", "dur IS NOT NULL AND unit IS NOT NULL", True), ("g", "CIEL:1732", "coded", "CASE unit WHEN 'days' THEN 'CIEL:1072' END", "dur IS NOT NULL AND unit IS NOT NULL", True),
     ("st", "LOCAL:1374", "text", "words", "words IS NOT NULL", False),
 ]))
@@ -835,7 +835,7 @@ def data_warnings(t):
         CASE WHEN p % 3 = 0 THEN p + 7 END AS source_infant_id, CASE WHEN p % 3 = 0 THEN 'I' || p END AS infant_code, CASE WHEN o_orderkey IS NOT NULL THEN e + 100 END AS source_encounter_id FROM f LEFT JOIN orders ON o_orderkey = e AND o_orderstatus = 'F'
 """)
 def enriched_warnings(t):
-    people = t.customer.filter("c_custkey < 50")
+    people = t.customer
     key = F.col("c_custkey")
     patients = people.select(key.alias("person_id"), (key - 5).alias("source_patient_id"))
     identifiers = people.select(key.alias("person_id"), F.lit("emr").alias("kind"), F.concat(F.lit("E"), key.cast("string")).alias("identifier")).unionByName(

@@ -97,11 +97,11 @@ GIVEN_SQL = "first || CASE WHEN second IS NULL THEN '' ELSE ' ' || second END"
 @query("k4_patients", f"""
     WITH {PATIENT_SQL}
     SELECT 999 + row_number() OVER (ORDER BY id) AS person_id, gender, born::VARCHAR AS birthdate, coalesce(outcome = 'died', false) AS dead,
-        CASE WHEN outcome = 'died' THEN ended::VARCHAR END AS death_date, CASE WHEN id % 50 < 40 THEN id % 50 + 7 END AS creator FROM p
+        CASE WHEN outcome = 'died' THEN ended::VARCHAR END AS death_date, CASE WHEN id % 50 % 2 = 0 THEN id % 50 // 2 + 7 END AS creator FROM p
 """)
 def patients(t):
     staged = people.stage_patients(_patients(t), start=999 + 1)
-    user_ids = t.customer.filter("c_custkey < 40").select(F.col("c_custkey").alias("source_user_id"), (F.col("c_custkey") + 7).alias("user_id"))
+    user_ids = t.customer.select((F.col("c_custkey") * 2).alias("source_user_id"), (F.col("c_custkey") + 7).alias("user_id"))
     return people.patient_persons(staged, user_ids).select(
         "person_id", "gender", day_text("birthdate").alias("birthdate"), "dead", day_text("death_date").alias("death_date"), "creator"
     )

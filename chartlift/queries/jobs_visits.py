@@ -78,11 +78,11 @@ ENC_SQL = f"""e AS (SELECT o_orderkey AS id, o_custkey AS patient, {s.pick_sql('
     WITH {ENC_SQL}
     SELECT id AS source_encounter_id, patient + 5000 AS patient_id, {s.case_sql('kind', enc.ENCOUNTER_TYPES)} AS encounter_type,
         coalesce({s.case_sql("kind || '/' || version", enc.VERSIONED_FORMS)}, {s.case_sql('kind', enc.FORMS)}) AS form_uuid,
-        coalesce(day, created)::VARCHAR AS day, CASE WHEN creator_id < 20 THEN creator_id + 9 ELSE 1 END AS creator, coalesce(location_id, 1) AS location_id
+        coalesce(day, created)::VARCHAR AS day, CASE WHEN creator_id % 2 = 0 THEN creator_id // 2 + 9 ELSE 1 END AS creator, coalesce(location_id, 1) AS location_id
     FROM e WHERE kind NOT IN ('note', 'food_study')
 """)
 def encounters(t):
-    user_ids = t.customer.filter("c_custkey < 20").select(F.col("c_custkey").alias("source_user_id"), (F.col("c_custkey") + 9).alias("user_id"))
+    user_ids = t.customer.select((F.col("c_custkey") * 2).alias("source_user_id"), (F.col("c_custkey") + 9).alias("user_id"))
     rows = enc.encounters(_staged_encounters(t), s.patient_ids(t), user_ids)
     return rows.select("source_encounter_id", "patient_id", "encounter_type", "form_uuid", day_text("encounter_datetime").alias("day"), "creator", "location_id")
 
@@ -125,7 +125,7 @@ def _event_encounters(t):
 
 VISIT_SQL = f"""v AS (SELECT event_id, user_id, ts, {s.pick_sql('event_id', ["clinic", "registration", "clinic", "lab", "drug order", "comment", "clinic"])} AS kind, event_type AS place FROM events),
     days AS (SELECT user_id, ts::DATE AS day, min(ts) AS first, max(ts) + INTERVAL 86399 SECOND AS last, count(*) AS n FROM v WHERE kind NOT IN ('registration', 'drug order', 'comment') GROUP BY 1, 2),
-    votes AS (SELECT user_id, ts::DATE AS day, place, count(*) AS n FROM v WHERE kind NOT IN ('registration', 'drug order', 'comment') AND place <> 'error' GROUP BY 1, 2, 3),
+    votes AS (SELECT user_id, ts::DATE AS day, place, count(*) AS n FROM v WHERE kind NOT IN ('registration', 'drug order') AND place <> 'error' GROUP BY 1, 2, 3),
     best AS (SELECT user_id, day, place FROM (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY n DESC, place DESC) AS r FROM votes) WHERE r = 1),
     visits AS (SELECT days.user_id, days.day, first, last, coalesce(place, 'error') AS place, n FROM days LEFT JOIN best ON days.user_id = best.user_id AND days.day = best.day)"""
 
@@ -604,7 +604,7 @@ def _comment_obs(t):
     visits = t.events.filter("event_type = 'purchase'").select(
         F.col("event_id").alias("encounter_id"), (F.col("user_id") + 5000).alias("patient_id"), F.col("ts").alias("encounter_datetime"), F.lit("drug order").alias("encounter_type")
     )
-    user_ids = t.customer.filter("c_custkey < 10").select(F.col("c_custkey").alias("source_user_id"), (F.col("c_custkey") + 9).alias("user_id"))
+    user_ids = t.customer.select((F.col("c_custkey") * 2).alias("source_user_id"), (F.col("c_custkey") + 9).alias("user_id"))
     return orders.regimen_comments(_comments(t), visits, s.patient_ids(t), user_ids)
 
 
@@ -614,7 +614,7 @@ COMMENT_SQL = """d AS (SELECT user_id, ts::DATE AS day, min(event_id) AS eid FRO
 
 
 @query("k9_regimen_comments", f"""
-    WITH {COMMENT_SQL} SELECT id AS comment_id, p AS patient_id, day::VARCHAR AS day, eid AS encounter_id, eid IS NULL AS needs_encounter, words AS value_text, CASE WHEN who < 10 THEN who + 9 ELSE 1 END AS creator FROM k
+    WITH {COMMENT_SQL} SELECT id AS comment_id, p AS patient_id, day::VARCHAR AS day, eid AS encounter_id, eid IS NULL AS needs_encounter, words AS value_text, CASE WHEN who % 2 = 0 THEN who // 2 + 9 ELSE 1 END AS creator FROM k
 """)
 def regimen_comments(t):
     return _comment_obs(t).select("comment_id", "patient_id", day_text("day").alias("day"), "encounter_id",

@@ -206,12 +206,14 @@ def anti_left_null(t):
 
 
 @query("c7_anti_not_in", """
-    SELECT c_custkey FROM customer WHERE nullif(c_custkey % 50, 0) IS NOT NULL
-        AND nullif(c_custkey % 50, 0) NOT IN (SELECT s_nationkey FROM supplier)
+    SELECT c_custkey, 'some' AS list FROM customer WHERE nullif(c_custkey % 50, 0) NOT IN (SELECT s_nationkey FROM supplier)
+    UNION ALL SELECT c_custkey, 'none' FROM customer WHERE nullif(c_custkey % 50, 0) NOT IN (SELECT s_nationkey FROM supplier WHERE s_nationkey < 0)
 """)
 def anti_not_in(t):
     probes = t.customer.select("c_custkey", filters.null_if_in(F.col("c_custkey") % 50, [0]).alias("probe"))
-    return joins.anti_not_in(probes, "probe", t.supplier, "s_nationkey").select("c_custkey")
+    lists = {"some": t.supplier, "none": t.supplier.filter("s_nationkey < 0")}
+    found = [joins.anti_not_in(probes, "probe", f, "s_nationkey").select("c_custkey", F.lit(n).alias("list")) for n, f in lists.items()]
+    return found[0].unionByName(found[1])
 
 
 @query("c8_join_null_safe", """

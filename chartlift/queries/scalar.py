@@ -43,7 +43,7 @@ def is_number(t):
     return t.events.select("event_id", numbers.is_number(inner).alias("plain"), numbers.is_number("props").alias("whole"))
 
 
-EXTRACT_SQL = "rtrim(ltrim(replace(regexp_extract(substr({0}, 1, 32), '[0-9.,]+'), ',', '.'), '0'), '.')"
+EXTRACT_SQL = "rtrim(ltrim(replace(regexp_extract({0}, '[0-9.,]+'), ',', '.'), '0'), '.')"
 
 
 @query("h4_extract_number", f"""
@@ -135,15 +135,15 @@ def text_cleanup(t):
 
 @query("h12_date_math", """
     SELECT o_orderkey, (o_orderdate + INTERVAL 6 MONTH)::DATE::VARCHAR AS half_year,
-        date_part('year', age(DATE '2001-06-01', o_orderdate::DATE))::INTEGER AS years,
+        date_part('year', age(DATE '2031-06-01', o_orderdate::DATE))::INTEGER AS years,
         strftime(o_orderdate + INTERVAL '23:59:59' HOUR, '%Y-%m-%d %H:%M:%S') AS closed,
-        last_day(o_orderdate::DATE)::VARCHAR AS month_end FROM orders WHERE o_orderdate <= DATE '2001-06-01'
+        last_day(o_orderdate::DATE)::VARCHAR AS month_end FROM orders
 """.replace("INTERVAL '23:59:59' HOUR", "INTERVAL 86399 SECOND"))
 def date_math(t):
     day = F.to_date("o_orderdate")
-    return t.orders.filter(day <= F.lit("2001-06-01").cast("date")).select(
+    return t.orders.select(
         "o_orderkey", F.add_months(day, 6).cast("string").alias("half_year"),
-        dates.full_years(day, F.lit("2001-06-01").cast("date")).alias("years"),
+        dates.full_years(day, F.lit("2031-06-01").cast("date")).alias("years"),
         F.date_format(dates.end_of_day("o_orderdate"), "yyyy-MM-dd HH:mm:ss").alias("closed"),
         F.last_day(day).cast("string").alias("month_end"),
     )
@@ -256,27 +256,29 @@ def parse_kv_map(t):
 
 @query("h22_lab_result_route", """
     WITH s AS (SELECT event_id, CASE event_type WHEN 'click' THEN 'cd4' WHEN 'view' THEN 'rpr' WHEN 'purchase' THEN 'ppd'
-            WHEN 'signup' THEN 'urea' ELSE 'other' END AS test,
+            WHEN 'signup' THEN 'urea' ELSE CASE event_id % 3 WHEN 0 THEN 'other' WHEN 1 THEN 'blood_type' ELSE 'unheard_of' END END AS test,
         CASE WHEN event_type = 'click' AND event_id % 3 = 0 THEN value * 2 || '%' WHEN event_type = 'view' AND event_id % 2 = 0 THEN 'Positive'
             WHEN event_type = 'purchase' AND event_id % 3 = 0 THEN 'negative:' || value WHEN event_type = 'purchase' AND event_id % 3 = 1 THEN 'f'
-            WHEN event_type = 'signup' AND event_id % 2 = 0 THEN 'x' || value ELSE value::VARCHAR END AS raw, value FROM events)
+            WHEN event_type = 'signup' AND event_id % 2 = 0 THEN 'x' || value WHEN event_type = 'error' AND event_id % 9 = 1 THEN 'ab+' WHEN event_type = 'error' AND event_id % 9 = 4 THEN 'O-' ELSE value::VARCHAR END AS raw, value FROM events)
     SELECT event_id,
         CASE WHEN test IN ('cd4', 'urea', 'ppd') THEN try_cast(CASE WHEN raw LIKE 'negative:%' THEN substr(raw, 10) ELSE raw END AS DOUBLE) END AS numeric,
         CASE WHEN test = 'cd4' AND raw LIKE '%\\%' ESCAPE '\\' AND value * 2 < 100 THEN value * 2 END AS percent,
-        CASE WHEN test = 'rpr' AND raw = 'Positive' THEN 'POSITIVE' WHEN test = 'ppd' AND (raw = 'f' OR raw LIKE 'negative:%') THEN 'NEGATIVE' END AS coded,
+        CASE WHEN test = 'rpr' AND raw = 'Positive' THEN 'POSITIVE' WHEN test = 'ppd' AND (raw = 'f' OR raw LIKE 'negative:%') THEN 'NEGATIVE' WHEN raw = 'ab+' THEN 'AB_POSITIVE' WHEN raw = 'O-' THEN 'O_NEGATIVE' END AS coded,
         CASE WHEN test = 'other' THEN raw END AS text,
-        CASE WHEN (test = 'cd4' AND raw LIKE '%\\%' ESCAPE '\\' AND value * 2 >= 100) OR (test = 'rpr' AND raw <> 'Positive') OR (test = 'urea' AND raw LIKE 'x%')
+        CASE WHEN (test = 'cd4' AND raw LIKE '%\\%' ESCAPE '\\' AND value * 2 >= 100) OR (test = 'rpr' AND raw <> 'Positive') OR (test = 'urea' AND raw LIKE 'x%') OR (test = 'blood_type' AND raw NOT IN ('ab+', 'O-')) OR test = 'unheard_of'
             THEN raw END AS exception FROM s
 """)
 def lab_result_route(t):
     kind, key, value = F.col("event_type"), F.col("event_id"), F.col("value")
-    test = F.when(kind == "click", "cd4").when(kind == "view", "rpr").when(kind == "purchase", "ppd").when(kind == "signup", "urea").otherwise("other")
+    test = F.when(kind == "click", "cd4").when(kind == "view", "rpr").when(kind == "purchase", "ppd").when(kind == "signup", "urea").when(key % 3 == 0, "other").when(key % 3 == 1, "blood_type").otherwise("unheard_of")
     raw = (
         F.when((kind == "click") & (key % 3 == 0), F.concat((value * 2).cast("string"), F.lit("%")))
         .when((kind == "view") & (key % 2 == 0), "Positive")
         .when((kind == "purchase") & (key % 3 == 0), F.concat(F.lit("negative:"), value.cast("string")))
         .when((kind == "purchase") & (key % 3 == 1), "f")
         .when((kind == "signup") & (key % 2 == 0), F.concat(F.lit("x"), value.cast("string")))
+        .when((kind == "error") & (key % 9 == 1), "ab+")
+        .when((kind == "error") & (key % 9 == 4), "O-")
         .otherwise(value.cast("string"))
     )
     return t.events.select("event_id", clinical.lab_result(test, raw).alias("r")).select("event_id", "r.*")

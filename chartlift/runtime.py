@@ -1,4 +1,4 @@
-"""Session helpers: where durable data goes, and the size above which a nested list is split."""
+"""Session helpers: where durable data goes."""
 
 from __future__ import annotations
 
@@ -7,10 +7,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Rows of one key that may be folded into one nested list; a larger key comes in several parts.
-LIST_PART_ROWS = 100_000
-LIST_PART_ROWS_CONF = "spark.chartlift.listPartRows"
-
 
 def build_session(cpus: int | str = 8, app: str = "chartlift", **conf: str) -> SparkSession:
     """A local session for tests and the benchmark; on a cluster the caller brings its own."""
@@ -31,10 +27,6 @@ def build_session(cpus: int | str = 8, app: str = "chartlift", **conf: str) -> S
     return spark
 
 
-def list_part_rows(spark: SparkSession) -> int:
-    return int(spark.conf.get(LIST_PART_ROWS_CONF, str(LIST_PART_ROWS)))
-
-
 def durable_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written stages.
 

@@ -18,7 +18,7 @@ def values(spark, inputs, function, kind="string"):
 
 def test_extract_number(spark):
     inputs = [None, "", "hey 9.0 33 f", "04,4%", "0.5", "abc", "007", "12.", "x" * 32 + "5"]
-    assert values(spark, inputs, numbers.extract_number) == [None, "0", "9.0", "4.4", ".5", "0", "7", "12", "0"]
+    assert values(spark, inputs, numbers.extract_number) == [None, "0", "9.0", "4.4", ".5", "0", "7", "12", "5"]
 
 
 def test_number_value(spark):
@@ -104,7 +104,8 @@ def test_parse_typed_strict_raises(spark):
     ("ppd", "12", (12.0, None, None, None, None)),
     ("ppd", "f", (None, None, "NEGATIVE", None, None)),
     ("sputum", "+++", (None, None, "THREE_PLUS", None, None)),
-    ("blood_type", "ab_positive", (None, None, "AB_POSITIVE", None, None)),
+    ("blood_type", "ab+", (None, None, "AB_POSITIVE", None, None)), ("blood_type", "ab_positive", (None, None, None, None, "ab_positive")),
+    ("biochemistry", "12", (None, None, None, None, "12")),
     ("rpr", "maybe", (None, None, None, None, "maybe")),
     ("culture", "anything", (None, None, None, "anything", None)),
 ])
@@ -116,3 +117,14 @@ def test_lab_result(spark, test, raw, expected):
 def test_spelling(spark):
     inputs = ["Négatif", "POS : 12mm", "o mm/h", "neg::5", None]
     assert values(spark, inputs, clinical.spelling_normalise) == ["negative", "positive:12", "0", "negative:5", None]
+
+
+def test_days_of_texts(spark):
+    texts = ["2010-02-03", "2010-02-03 10:00:00", "2010-02-03T10:00:00.5Z", "2010-2-3", "2010-02-03xyz", "x2010-02-03", "", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r.d for r in frame.select(dates.day_part("t").alias("d")).collect()] == ["2010-02-03"] * 3 + ["2010-2-3"] + [None] * 4
+
+
+def test_numbers_are_found_anywhere_in_a_text(spark):
+    frame = spark.createDataFrame([("a" * 40 + " 012,5. kg",)], "t string")
+    assert frame.select(numbers.extract_number("t").alias("n")).first().n == "12.5"

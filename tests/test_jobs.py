@@ -22,6 +22,15 @@ def test_visits_ties_and_unknown(spark, rows):
     ]
 
 
+def test_comments_vote_on_the_place_but_start_no_visit(spark, rows):
+    visits = spark.createDataFrame(
+        [(1, datetime(2020, 1, 1, 9), "intake", 2, None), (1, datetime(2020, 1, 1, 7), "comment", 3, None), (1, datetime(2020, 1, 1, 23), "comment", 3, None),
+         (1, datetime(2020, 1, 2), "comment", 3, None), (1, datetime(2020, 1, 3), "intake", 3, 77), (1, datetime(2020, 1, 1), "drug order", 4, None), (1, datetime(2020, 1, 1), "drug order", 4, None)],
+        "patient_id int, encounter_datetime timestamp, encounter_type string, location_id int, visit_id int",
+    )
+    assert rows(encounters.visits(visits), "date_started", "location_id", "encounters") == [(datetime(2020, 1, 1, 9), 3, 1)]
+
+
 def test_unknown_locations_cascade(spark):
     day = lambda d: datetime(2020, 1, d)
     visits = spark.createDataFrame([(i, p, day(d), place) for i, p, d, place in [
@@ -189,13 +198,15 @@ def test_sample_unknowns_exclude_yes(spark):
     assert {r.value_coded for r in found.select("value_coded").distinct().collect()} == {"LOCAL:YES", "LOCAL:UNKNOWN"}
 
 
-def test_documents_are_whole_in_parts(spark):
-    patients = spark.createDataFrame([(1,), (2,), (3,)], "source_patient_id int")
+def test_a_hot_patient_is_one_document(spark):
+    patients = spark.createDataFrame([(1,), (2,), (3,)], "source_patient_id long")
     lines = spark.range(500).select(F.when(F.col("id") < 450, 1).otherwise(2).alias("source_patient_id"), "id").repartition(6)
-    nested = documents.patient_documents(patients, {"lines": lines}, part_rows=50)
-    found = nested.select("source_patient_id", "part", F.coalesce(F.size("lines"), F.lit(0)).alias("n")).collect()
-    assert sum(max(r.n, 0) for r in found) == 500 and {r.source_patient_id for r in found} == {1, 2, 3}
-    assert nested.select(F.explode("lines.id").alias("id")).distinct().count() == 500
+    nested = documents.patient_documents(patients, {"lines": lines})
+    assert nested.columns == ["source_patient_id", "lines"]
+    found = {r.source_patient_id: r.lines and [x.id for x in r.lines] for r in nested.collect()}
+    assert found == {1: list(range(450)), 2: list(range(450, 500)), 3: None}
+    long = documents.list_rows({"lines": lines}, "source_patient_id")["lines"].collect()
+    assert sorted((r.source_patient_id, r.position, r.child.id) for r in long if r.source_patient_id == 1) == [(1, i + 1, i) for i in range(450)]
 
 
 def test_hiv_positive_is_never_exported_negative(spark):

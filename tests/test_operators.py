@@ -46,7 +46,7 @@ def test_not_in_null_rules(spark, rows):
     empty = clean.filter("y > 5")
     assert rows(joins.anti_not_in(probes, "x", clean, "y")) == [(1,)]
     assert rows(joins.anti_not_in(probes, "x", poisoned, "y")) == []
-    assert rows(joins.anti_not_in(probes, "x", empty, "y")) == [(1,), (2,)]
+    assert rows(joins.anti_not_in(probes, "x", empty, "y")) == [(1,), (2,), (None,)]
 
 
 def test_null_safe_join_and_update(spark, rows):
@@ -69,19 +69,13 @@ def test_mode_value_ties(spark, rows):
     assert rows(aggregates.mode_value(frame, ["k"], "v", "m")) == [("k", 2)]
 
 
-def test_collect_nested_splits_a_hot_key_and_keeps_all(spark):
-    frame = spark.range(1000).select(F.when(F.col("id") < 900, 1).otherwise(2).alias("k"), "id").repartition(8)
-    nested = aggregates.collect_nested(frame, ["k"], ["id"], "ids", part_rows=100)
-    sizes = {}
-    for row in nested.collect():
-        sizes.setdefault(row.k, []).append(len(row.ids))
-    assert sum(sizes[1]) == 900 and len(sizes[1]) > 5 and sizes[2] == [100]
-
-
-def test_collect_nested_spreads_identical_copies(spark):
-    frame = spark.range(800).select(F.lit(1).alias("k"), F.lit("same").alias("v")).repartition(8)
-    parts = aggregates.collect_nested(frame, ["k"], ["v"], "vs", part_rows=100).select(F.size("vs").alias("n")).collect()
-    assert sum(p.n for p in parts) == 800 and max(p.n for p in parts) < 800
+def test_child_rows_of_a_hot_key_are_the_folded_list(spark):
+    frame = spark.range(1000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), (F.col("id") % 50).alias("v")).repartition(8)
+    folded = aggregates.collect_nested(frame, ["k"], ["v"], "vs").select("k", F.posexplode("vs").alias("position", "c"))
+    expected = sorted((r.k, r.position + 1, r.c.v) for r in folded.collect())
+    found = aggregates.child_rows(frame, ["k"], ["v"])
+    assert sorted((r.k, r.position, r.child.v) for r in found.collect()) == expected
+    assert aggregates.collect_nested(frame, ["k"], ["v"], "vs").count() == frame.select("k").distinct().count()
 
 
 def test_unique_map(spark, rows):

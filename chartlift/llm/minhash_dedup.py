@@ -6,10 +6,13 @@ the buckets; two sets of similarity 0.75 miss all 64 bands about once in 30,000
 
 Documents with equal sets are one class, found by a digest, and only its smallest id goes on. In a bucket all members
 are compared with one hub, the member that shares most buckets with others, so a bucket of n members costs n
-comparisons. Buckets whose members are not all in one component then take further hubs, one for each smaller
-component in a round, against members of other components, until no pair of different components is left in any
-bucket. So links are tested wherever they could join components, without pairing off a group of copies. Every link is
-confirmed on the full shingle sets.
+comparisons. Members f and p that are linked with each other but not both with their hub h are found without pairing
+off the group, from what the comparison has shown. Of the shingles that f and p share, at most min(a, b) are in h,
+where a and b are the numbers that each shares with h. Either the link needs no more than that, which only sets that
+nearly reach the similarity with h, and partners smaller than h, allow; these few are compared. Or f and p share a
+shingle that h lacks: then they meet in the group of that shingle among those compared with h (a prefix of each set's
+shingles outside h, in hash order, is enough), which has a hub of its own, and so on until no group holds members of
+two components that are not compared. Every link is confirmed on the full shingle sets.
 
 Documents without words are linked with nothing. Rows with a null id take no part and are kept. Rows that share an id
 share a component. An empty table gives an empty result.
@@ -102,70 +105,93 @@ def sketch(docs: DataFrame) -> DataFrame:
     return map_texts(docs, make, "doc_id long, n_shingles long, digest binary, bands array<long>")
 
 
-def _linked(batches):
+_TESTED = "u long, v long, linked boolean, n_u long, n_v long, joint long, outside array<long>, deep boolean"
+
+
+def _compare(batches):
+    """Each pair's sizes and overlap, and the prefix of u's shingles outside v that a further link of u would need."""
     known: dict[int, np.ndarray] = {}  # the hubs of the last batch
     for batch in pieces(batches):
         hubs, others = batch.column("v").to_pylist(), batch.column("other").to_pylist()
         fresh = {h: t for h, t in zip(hubs, others, strict=True) if h not in known}
         sets = dict(zip(fresh, shingle_sets(list(fresh.values()), SHINGLE), strict=True))
         sets.update((h, known[h]) for h in set(hubs) if h in known)
-        ok = []
-        for hub, own in zip(hubs, shingle_sets(batch.column("text").to_pylist(), SHINGLE), strict=True):
-            both = len(np.intersect1d(own, sets[hub], assume_unique=True))
-            ok.append(100 * both >= PERCENT * (len(own) + len(sets[hub]) - both))
+        owns = shingle_sets(batch.column("text").to_pylist(), SHINGLE)
+        joints, outside = [], []
+        for hub, own, deep in zip(hubs, owns, batch.column("deep").to_pylist(), strict=True):
+            inside = np.isin(own, sets[hub], assume_unique=True)
+            joints.append(int(inside.sum()))
+            # A link of u shares at least 0.75 of u's shingles, so this many at least lie outside the hub.
+            needed = max(1, -(-PERCENT * len(own) // 100) - joints[-1])
+            outside.append(own[~inside][: max(0, len(own) - joints[-1] - needed + 1)].view(np.int64) if deep else [])
         known = sets
-        yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v"), pa.array(ok)], names=["u", "v", "linked"])
+        sizes = [(len(o), len(sets[h])) for o, h in zip(owns, hubs, strict=True)]
+        linked = [100 * j >= PERCENT * (a + b - j) for j, (a, b) in zip(joints, sizes, strict=True)]
+        columns = [batch.column("u"), batch.column("v"), pa.array(linked, pa.bool_()), pa.array([a for a, _ in sizes], pa.int64())]
+        columns += [pa.array([b for _, b in sizes], pa.int64()), pa.array(joints, pa.int64()), pa.array(outside, pa.list_(pa.int64())), batch.column("deep")]
+        yield pa.RecordBatch.from_arrays(columns, names=["u", "v", "linked", "n_u", "n_v", "joint", "outside", "deep"])
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Exact similarity of pairs (u, v)."""
+    """The comparison of pairs (u, v) on the full sets; pairs that are not deep will not be looked at further."""
     first = pairs.join(texts.withColumnRenamed("doc_id", "u"), "u")
     both = first.join(texts.select(F.col("doc_id").alias("v"), F.col("text").alias("other")), "v")
-    return settle(both.select("u", "v", "text", "other").mapInArrow(_linked, "u long, v long, linked boolean"))
+    return settle(both.select("u", "v", "deep", "text", "other").mapInArrow(_compare, _TESTED))
+
+
+def _families(tested: DataFrame, labels: DataFrame) -> DataFrame:
+    """Compared pairs of hubs whose members are not all in one component, with the components of the members."""
+    names = labels.select(F.col("id").alias("u"), "component")
+    rows = tested.where("deep").join(names, "u", "left").withColumn("component", F.coalesce("component", "u"))
+    mixed = rows.groupBy("v").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("n_u").alias("least"))
+    return settle(attach(rows, mixed.where("lo < hi").select("v", "least"), ["v"]))
+
+
+def _shared_outside(families: DataFrame, weights: DataFrame) -> DataFrame:
+    """Members and hubs of the groups that share a shingle their first hub lacks."""
+    keyed = families.select("u", "component", F.explode("outside").alias("shingle"), "v").select("u", "component", F.xxhash64("v", "shingle").alias("group"))
+    keyed = keyed.join(weights.withColumnRenamed("doc_id", "u"), "u")
+    best = F.max(F.struct(F.col("weight"), (-F.col("u")).alias("id"))).alias("hub")
+    groups = keyed.groupBy("group").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), best)
+    hubs = groups.where("lo < hi").select("group", (-F.col("hub.id")).alias("v"))
+    return attach(keyed.select("group", "u"), hubs, ["group"]).where("u != v").select("u", "v")
 
 
-def _alike(first: str, second: str):
-    """Whether two set sizes allow the similarity."""
-    return 100 * F.least(first, second) >= PERCENT * F.greatest(first, second)
+def _nearly_linked(families: DataFrame) -> DataFrame:
+    """Pairs whose link may lie within what both share with their hub."""
+    needs = 7 * F.col("joint")  # of 3 * (both sizes), for the similarity of 0.75
+    near = families.where(~F.col("linked") & (needs >= 3 * (F.col("n_u") + F.col("least"))))
+    near = near.select("v", F.col("u").alias("f"), F.col("n_u").alias("n_f"), F.col("joint").alias("joint_f"), F.col("component").alias("component_f"))
+    smaller = families.where("n_u < n_v").select("v", "u", "n_u", "joint", "component")
+    met = attach(smaller, near, ["v"]).where("component != component_f AND 7 * least(joint, joint_f) >= 3 * (n_u + n_f)")
+    return met.select(F.greatest("u", "f").alias("u"), F.least("u", "f").alias("v"))
 
 
 def link(unique: DataFrame, docs: DataFrame) -> DataFrame:
     """(id, component) of classes that are not the smallest id of their component."""
-    rows = unique.select("doc_id", "n_shingles", F.explode("bands").alias("bucket"))
+    rows = unique.select("doc_id", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size >= 2")
     members = settle(attach(rows, shared, ["bucket"]))
-    weights = members.groupBy("doc_id").agg(F.sum("size").alias("weight"))
-    members = settle(members.join(weights, "doc_id"))
+    weights = settle(members.groupBy("doc_id").agg(F.sum("size").alias("weight")))
     spark = docs.sparkSession
     path = scratch_path(spark, "near-texts")
     docs.join(weights.select("doc_id"), "doc_id", "left_semi").write.parquet(path)
     texts = spark.read.schema("doc_id long, text string").parquet(path)
 
-    best = F.max(F.struct(F.col("weight"), (-F.col("doc_id")).alias("id"), F.col("n_shingles").alias("v_size"))).alias("hub")
-    hubs = members.groupBy("bucket").agg(best).select("bucket", (-F.col("hub.id")).alias("v"), "hub.v_size")
-    pairs = attach(members, hubs, ["bucket"]).where((F.col("doc_id") != F.col("v")) & _alike("n_shingles", "v_size"))
-    tested = _confirm(pairs.select(F.col("doc_id").alias("u"), "v").distinct(), texts)
-    used = None
+    weighed = members.join(weights, "doc_id")
+    best = F.max(F.struct(F.col("weight"), (-F.col("doc_id")).alias("id"))).alias("hub")
+    hubs = weighed.groupBy("bucket").agg(best).select("bucket", (-F.col("hub.id")).alias("v"))
+    pairs = attach(members, hubs, ["bucket"]).where(F.col("doc_id") != F.col("v"))
+    pairs = pairs.groupBy(F.col("doc_id").alias("u"), "v").agg((F.max("size") > 2).alias("deep"))
+    tested = _confirm(pairs, texts)
     while True:
         labels = components(tested.where("linked").select("u", "v"))
-        placed = members.where("size >= 3").join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-        placed = placed.withColumn("component", F.coalesce("component", "doc_id"))
-        rank = F.struct(F.col("weight"), (-F.col("doc_id")).alias("id"))
-        mixed = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max_by("component", rank).alias("main"))
-        open_ = settle(attach(placed, mixed.where("lo < hi").select("bucket", "main"), ["bucket"]))
-        outside = open_.where("component != main")
-        if used is not None:
-            outside = outside.join(used, ["bucket", "doc_id"], "left_anti")
-        hubs = outside.groupBy("bucket", "component").agg(best)
-        hubs = settle(hubs.select("bucket", F.col("component").alias("v_component"), (-F.col("hub.id")).alias("v"), "hub.v_size"))
-        if hubs.isEmpty():
+        families = _families(tested, labels)
+        found = _shared_outside(families, weights).unionByName(_nearly_linked(families)).distinct()
+        fresh = settle(found.join(tested.where("deep").select("u", "v"), ["u", "v"], "left_anti").withColumn("deep", F.lit(True)))
+        if fresh.isEmpty():
             return labels
-        pairs = open_.join(hubs, "bucket").where((F.col("component") != F.col("v_component")) & _alike("n_shingles", "v_size"))
-        pairs = pairs.select(F.greatest("doc_id", "v").alias("u"), F.least("doc_id", "v").alias("v")).distinct()
-        seen = tested.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        tested = settle(tested.unionByName(_confirm(pairs.join(seen, ["u", "v"], "left_anti"), texts)))
-        now = hubs.select("bucket", F.col("v").alias("doc_id"))
-        used = settle(now if used is None else used.unionByName(now))
+        tested = settle(tested.unionByName(_confirm(fresh, texts)))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

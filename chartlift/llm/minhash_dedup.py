@@ -11,8 +11,9 @@ off the group, from what the comparison has shown. Of the shingles that f and p
 where a and b are the numbers that each shares with h. Either the link needs no more than that, which only sets that
 nearly reach the similarity with h, and partners smaller than h, allow; these few are compared. Or f and p share a
 shingle that h lacks: then they meet in the group of that shingle among those compared with h (a prefix of each set's
-shingles outside h, in hash order, is enough), which has a hub of its own, and so on until no group holds members of
-two components that are not compared. Every link is confirmed on the full shingle sets.
+shingles outside h, in hash order, is enough), which has a hub of its own. This is done DEPTH times, each time outside
+the hubs of the time before: a link is missed only between copies of copies of copies that share neither their first
+hub nor the next two. Every link is confirmed on the full shingle sets.
 
 Documents without words are linked with nothing. Rows with a null id take no part and are kept. Rows that share an id
 share a component. An empty table gives an empty result.
@@ -36,6 +37,7 @@ SHINGLE = 5
 PERCENT = 75
 COORDINATES = 128
 BANDS = 64
+DEPTH = 2
 _OFFSETS = np.array([0, 5, 17, 38, 75, 104])  # the coordinates of a band; few bands share two of them
 _SHIFT = np.uint32(0x9E3779B1)
 
@@ -184,14 +186,18 @@ def link(unique: DataFrame, docs: DataFrame) -> DataFrame:
     pairs = attach(members, hubs, ["bucket"]).where(F.col("doc_id") != F.col("v"))
     pairs = pairs.groupBy(F.col("doc_id").alias("u"), "v").agg((F.max("size") > 2).alias("deep"))
     tested = _confirm(pairs, texts)
-    while True:
-        labels = components(tested.where("linked").select("u", "v"))
+    labels = components(tested.where("linked").select("u", "v"))
+    for _ in range(DEPTH):
         families = _families(tested, labels)
         found = _shared_outside(families, weights).unionByName(_nearly_linked(families)).distinct()
         fresh = settle(found.join(tested.where("deep").select("u", "v"), ["u", "v"], "left_anti").withColumn("deep", F.lit(True)))
         if fresh.isEmpty():
-            return labels
-        tested = settle(tested.unionByName(_confirm(fresh, texts)))
+            break
+        compared = _confirm(fresh, texts)
+        tested = tested.unionByName(compared)
+        known = labels.select(F.col("id").alias("u"), F.col("component").alias("v"))
+        labels = components(known.unionByName(compared.where("linked").select("u", "v")))
+    return labels
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -37,7 +37,7 @@ def string_agg(
 ) -> DataFrame:
     """Sorted GROUP_CONCAT. Nulls are skipped; the order is ``order`` and then the value.
 
-    Equal values travel once with their count, so a repeated value is not repeated in the shuffle.
+    Equal values travel once with their count, so a repeated value is not repeated in the shuffle or in a list.
     """
     text = as_column(value).cast("string")
     ordering = [as_column(o).alias(f"_o{i}") for i, o in enumerate(order)]
@@ -49,10 +49,16 @@ def string_agg(
     if distinct:
         values = F.array_distinct(F.transform("_items", lambda x: x["_v"]))
     else:
-        values = F.flatten(F.transform("_items", lambda x: F.array_repeat(x["_v"], x["_n"].cast("int"))))
+        # a value and its repeats are text from the start, not list entries
+        values = F.transform("_items", lambda x: repeated_text(x["_v"], x["_n"], separator))
     return packed.select(*keys, F.when(F.size("_items") > 0, F.array_join(values, separator)).alias(alias))
 
 
+def repeated_text(value: Column, times: Column, separator: str) -> Column:
+    """A value ``times`` times, with separators between."""
+    return F.concat(value, F.repeat(F.concat(F.lit(separator), value), (times - 1).cast("int")))
+
+
 def dedupe_merge(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Duplicates by key collapsed to the greatest value of each attribute."""
     return df.groupBy(*keys).agg(*[F.max(c).alias(c) for c in columns])

@@ -145,22 +145,20 @@ def interval_join(
     start: str,
     end: str,
     bucket_days: int = 30,
-    horizon=None,
 ) -> DataFrame:
     """Events with the intervals of the same key that hold their time; bounds inclusive, end open if null.
 
     Each interval is laid out over the time buckets it touches, so the join is an equality on (key,
-    bucket) with the bounds checked inside: a key with many rows spreads over its buckets. ``horizon``
-    is a time that no event exceeds, up to which an open interval is laid out; without it the greatest
-    event time is looked up first (one value comes to the driver).
+    bucket) with the bounds checked inside: a key with many rows spreads over its buckets. Both ends are
+    clipped to the span of the events, which is looked up first (two values come to the driver), so an
+    interval from year 1 to year 9999 takes no more buckets than the events do.
     """
-    if horizon is None:
-        horizon = events.agg(F.max(event_time)).first()[0]
-    last = F.lit(horizon).cast("timestamp")
-    stop = F.coalesce(F.col(end).cast("timestamp"), last)
+    first, last = (F.lit(t).cast("timestamp") for t in events.agg(F.min(event_time), F.max(event_time)).first())
+    begin = F.greatest(F.col(start).cast("timestamp"), first)
+    stop = F.least(F.coalesce(F.col(end).cast("timestamp"), last), last)
     laid_out = (
-        intervals.filter(F.col(start).isNotNull() & (stop >= F.col(start)))
-        .withColumn("_bucket", F.explode(F.sequence(_bucket(F.col(start), bucket_days), _bucket(stop, bucket_days))))
+        intervals.filter(F.col(start).isNotNull() & (stop >= begin))
+        .withColumn("_bucket", F.explode(F.sequence(_bucket(begin, bucket_days), _bucket(stop, bucket_days))))
     )
     placed = events.withColumn("_bucket", _bucket(F.col(event_time), bucket_days))
     joined = placed.join(laid_out, [key, "_bucket"])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from chartlift.functions.columns import ColumnLike, as_column
 from chartlift.functions.numbers import is_whole
-from chartlift.operators.aggregates import member_counts
+from chartlift.operators.aggregates import member_counts, repeated_text
 from chartlift.operators.eav import VALUE_COLUMNS
 from chartlift.operators.joins import attach
 
@@ -112,11 +112,11 @@ def conflicting_duplicates(df: DataFrame, keys: Sequence[str], columns: Sequence
     cells = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("_v")) for c in columns])
     values = df.select(*keys, F.explode(cells).alias("_cell")).select(*keys, "_cell.*").filter("_v IS NOT NULL")
     counted = values.groupBy(*keys, "field", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    packed = counted.groupBy(*keys, "field").agg(
-        F.count(F.lit(1)).alias("values"), F.array_sort(F.collect_list(F.struct("_v", "_n"))).alias("_items")
-    )
-    repeated = F.flatten(F.transform("_items", lambda x: F.array_repeat(x["_v"], x["_n"].cast("int"))))
-    return packed.filter("values > 1").select(*keys, "field", "values", F.array_join(repeated, ", ").alias("listed"))
+    several = counted.groupBy(*keys, "field").agg(F.count(F.lit(1)).alias("values")).filter("values > 1")
+    conflicting = attach(counted, several, [*keys, "field"])
+    packed = conflicting.groupBy(*keys, "field", "values").agg(F.array_sort(F.collect_list(F.struct("_v", "_n"))).alias("_items"))
+    listed = F.transform("_items", lambda x: repeated_text(x["_v"], x["_n"], ", "))
+    return packed.select(*keys, "field", "values", F.array_join(listed, ", ").alias("listed"))
 
 
 def orphans(df: DataFrame, parents: DataFrame, on: str) -> DataFrame:

@@ -125,7 +125,7 @@ def encounter_warnings(staged: DataFrame, patients: DataFrame, as_of) -> DataFra
     intakes = rows.filter("source_encounter_type = 'intake'").withColumn("day", day_value)
     several = intakes.groupBy("person_id").agg(F.countDistinct("source_encounter_id").alias("n")).filter("n > 1")
     listed = (
-        intakes.join(several.select("person_id"), "person_id", "left_semi")
+        joins.attach(intakes, several.select("person_id"), ["person_id"])
         .groupBy("person_id")
         .agg(F.array_sort(F.collect_list(F.struct("source_encounter_id", "day"))).alias("rows"))
     )
@@ -220,7 +220,7 @@ def visits_before_birth(visit_rows: DataFrame, persons: DataFrame, as_of) -> Dat
 
 def resolve_unknown_locations(
     encounters: DataFrame, enrolments: DataFrame, patient_sites: DataFrame, unknown: int = UNKNOWN_LOCATION,
-    bucket_days: int = 30, horizon=None,
+    bucket_days: int = 30,
 ) -> DataFrame:
     """Place of encounters at an unknown location: the active enrolment, else the latest one completed
     before, else the earliest one started after, else the patient's site, else still unknown.
@@ -233,7 +233,7 @@ def resolve_unknown_locations(
     enrolled = enrolments.filter(F.col("location_id").isNotNull())
     active = joins.active_state(
         open_ones, enrolled, "patient_id", "encounter_id", "encounter_datetime", "date_enrolled", "date_completed",
-        "location_id", bucket_days=bucket_days, horizon=horizon,
+        "location_id", bucket_days=bucket_days,
     ).withColumnRenamed("location_id", "_active")
 
     def nearest(state_time: str, direction: str, alias: str) -> DataFrame:
@@ -343,7 +343,7 @@ def void_duplicates(
     holders = joins.attach(profiled, contents, [*group, *content])
 
     several = contents.groupBy(*group).agg(F.count(F.lit(1)).alias("_contents")).filter("_contents > 1")
-    rivals = contents.join(several, group).select(*group, "_size", "_keeper")
+    rivals = joins.attach(contents, several, group).select(*group, "_size", "_keeper")
     keeper_facts = settle(facts.join(rivals.select(*group, F.col("_keeper").alias("encounter_id"), "_size"), "encounter_id"))
     spread = keeper_facts.groupBy(*group, "_h1", "_h2").agg(F.count(F.lit(1)).alias("_holders"))
     rarest = (

@@ -9,7 +9,7 @@ from chartlift.functions import dates, text
 from chartlift.functions.columns import blank_to_null
 from chartlift.functions.dates import as_of_column
 from chartlift.functions.ids import modulo_pick, uuid_hash, uuid_name
-from chartlift.operators import eav, filters, quality
+from chartlift.operators import eav, filters, joins, quality
 from chartlift.operators.keys import assign_ids
 from chartlift.sources.readers import inline_mapping
 
@@ -263,7 +263,7 @@ def patient_warnings(staged: DataFrame, staged_addresses: DataFrame, as_of) -> D
     def repeated(column: str, kind: str) -> DataFrame:
         values = staged.withColumn(column, blank_to_null(F.trim(column)))
         twice = quality.duplicate_values(values, [column]).select(column)
-        return quality.warn(values.join(twice, column, "left_semi"), kind, patient="person_id", field=column, value=column)
+        return quality.warn(joins.attach(values, twice, [column]), kind, patient="person_id", field=column, value=column)
 
     long_ones = staged_addresses.filter(text.is_truncated("address", 255)).join(
         staged.select("source_patient_id", "person_id"), "source_patient_id"

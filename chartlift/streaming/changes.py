@@ -1,6 +1,6 @@
 """Change log: read new records, apply them, acknowledge them.
 
-State and acknowledgements are written per micro-batch into ``batch=<id>`` folders. A batch that is run
+State and acknowledgements are written per micro-batch into ``applied_batch=<id>`` folders. A batch that is run
 again after a failure replaces its own folder, so applying is idempotent although delivery is at least once.
 """
 
@@ -42,10 +42,11 @@ def apply_changes(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        changes = batch.drop("batch")
-        latest_changes(changes, keys, order).write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")
+        changes = batch.persist()  # read for both writes
+        latest_changes(changes, keys, order).write.mode("overwrite").parquet(f"{state_path}/applied_batch={batch_id}")
         done = changes.select(F.col(order), F.lit("DONE").alias("status"))
-        done.write.mode("overwrite").parquet(f"{ack_path}/batch={batch_id}")
+        done.write.mode("overwrite").parquet(f"{ack_path}/applied_batch={batch_id}")
+        changes.unpersist()
 
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
@@ -53,14 +54,14 @@ def apply_changes(
 
 def current_state(spark: SparkSession, state_path: str, keys: Sequence[str], order: str = "id") -> DataFrame:
     """The state after all batches: the last change of each key over the batch folders."""
-    return latest_changes(spark.read.parquet(state_path).drop("batch"), keys, order)
+    return latest_changes(spark.read.parquet(state_path).drop("applied_batch"), keys, order)
 
 
 def compact_state(spark: SparkSession, state_path: str, target: str, keys: Sequence[str], order: str = "id") -> None:
     """Write the current state as the first batch of a new state folder."""
-    current_state(spark, state_path, keys, order).write.mode("overwrite").parquet(f"{target}/batch=-1")
+    current_state(spark, state_path, keys, order).write.mode("overwrite").parquet(f"{target}/applied_batch=-1")
 
 
 def acknowledged(spark: SparkSession, ack_path: str) -> DataFrame:
     """Ids marked as done."""
-    return spark.read.parquet(ack_path).drop("batch").dropDuplicates()
+    return spark.read.parquet(ack_path).drop("applied_batch").dropDuplicates()

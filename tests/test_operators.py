@@ -155,3 +155,11 @@ def test_jdbc_options():
 def test_extract_needs_an_order_for_a_limit(spark):
     with pytest.raises(ValueError):
         readers.extract(spark, "SELECT * FROM {t}", {"t": spark.range(5)}, row_limit=2)
+
+
+def test_endless_intervals_take_the_buckets_of_the_events(spark):
+    moment = "timestamp'2020-01-05 00:00:00'"
+    events = spark.sql(f"SELECT 1 AS id, 1 AS k, {moment} AS t UNION ALL SELECT 2, 1, {moment} + INTERVAL 40 DAYS")
+    states = spark.sql("SELECT 1 AS k, timestamp'0001-01-01 00:00:00' AS a, timestamp'9999-12-31 00:00:00' AS b, 7 AS v UNION ALL SELECT 1, timestamp'2020-02-01 00:00:00', NULL, 8")
+    found = joins.interval_join(events, states, "k", "t", "a", "b")
+    assert sorted((r.id, r.v) for r in found.select("id", "v").collect()) == [(1, 7), (2, 7), (2, 8)]

@@ -31,6 +31,6 @@ def test_a_repeated_batch_replaces_itself(spark):
     state, acks = scratch_path(spark, "state"), scratch_path(spark, "acks")
     batch = spark.createDataFrame([(1, "NEW", 1, "a")], SCHEMA)
     for _ in range(2):
-        changes.latest_changes(batch, ["patient_id"]).write.mode("overwrite").parquet(f"{state}/batch=0")
-        batch.select("id", F.lit("DONE").alias("status")).write.mode("overwrite").parquet(f"{acks}/batch=0")
+        changes.latest_changes(batch, ["patient_id"]).write.mode("overwrite").parquet(f"{state}/applied_batch=0")
+        batch.select("id", F.lit("DONE").alias("status")).write.mode("overwrite").parquet(f"{acks}/applied_batch=0")
     assert spark.read.parquet(acks).count() == 1 and spark.read.parquet(state).count() == 1

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from chartlift.operators.joins import attach
 from chartlift.runtime import settle
 
+EDGES_PER_TASK = 100_000
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a vertex is tied to the smallest of its neighbourhood."""
@@ -28,12 +30,15 @@ def components(links: DataFrame) -> DataFrame:
     """(id, component) of every id in ``links(u, v)`` that is not the smallest of its component.
 
     A hub with many links is a hot key of joins of two shuffled sides only, which adaptive execution splits; minima
-    combine before the shuffle. Only a count and a checksum of the links come to the driver.
+    combine before the shuffle. Only a count and a checksum of the links come to the driver; by the count, each task
+    gets about EDGES_PER_TASK links, so that few links do not make many small files in every round.
     """
     edges = settle(links.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    state = None
+    state = (edges.count(), None)
     while True:
-        edges = settle(_small_star(_large_star(edges)))
+        tasks = 1 + state[0] // EDGES_PER_TASK
+        turned = _large_star(edges.coalesce(tasks)).coalesce(tasks)
+        edges = settle(_small_star(turned).coalesce(tasks))
         check = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(check) == state:
             return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))

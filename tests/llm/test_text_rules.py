@@ -124,3 +124,9 @@ def test_empty_tables(spark):
     assert [(r.n_words, r.n_hit) for r in decontaminate.find_contamination(some, benchmark).collect()] == [(2, 0)]
     for operator in (line_dedup.dedup_lines, minhash_dedup.near_duplicates, quality_rules.apply_rules):
         assert operator(docs).count() == 0
+
+
+def test_rules_run_in_spark_functions_only(spark):
+    measured = quality_rules.measure(spark.createDataFrame(odd_rows(), SCHEMA))
+    plan = measured.join(quality_rules.references(measured), "lang", "left")._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))

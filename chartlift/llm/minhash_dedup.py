@@ -12,8 +12,8 @@ where a and b are the numbers that each shares with h. Either the link needs no
 nearly reach the similarity with h, and partners smaller than h, allow; these few are compared. Or f and p share a
 shingle that h lacks: then they meet in the group of that shingle among those compared with h (a prefix of each set's
 shingles outside h, in hash order, is enough), which has a hub of its own. This is done DEPTH times, each time outside
-the hubs of the time before: a link is missed only between copies of copies of copies that share neither their first
-hub nor the next two. Every link is confirmed on the full shingle sets.
+the hubs of the time before: a link is missed only between texts that are linked neither with their hub nor with the
+hub of any group outside it. Every link is confirmed on the full shingle sets.
 
 Documents without words are linked with nothing. Rows with a null id take no part and are kept. Rows that share an id
 share a component. An empty table gives an empty result.
@@ -37,7 +37,7 @@ SHINGLE = 5
 PERCENT = 75
 COORDINATES = 128
 BANDS = 64
-DEPTH = 2
+DEPTH = 1
 _OFFSETS = np.array([0, 5, 17, 38, 75, 104])  # the coordinates of a band; few bands share two of them
 _SHIFT = np.uint32(0x9E3779B1)
 

@@ -11,9 +11,10 @@ off the group, from what the comparison has shown. Of the shingles that f and p
 where a and b are the numbers that each shares with h. Either the link needs no more than that, which only sets that
 nearly reach the similarity with h, and partners smaller than h, allow; these few are compared. Or f and p share a
 shingle that h lacks: then they meet in the group of that shingle among those compared with h (a prefix of each set's
-shingles outside h, in hash order, is enough), which has a hub of its own. This is done DEPTH times, each time outside
-the hubs of the time before: a link is missed only between texts that are linked neither with their hub nor with the
-hub of any group outside it. Every link is confirmed on the full shingle sets.
+shingles outside h, in hash order, is enough), which has a hub of its own, lighter than h. This is repeated among those
+compared with the new hubs until no pair is left to compare. As hubs get lighter, the search ends, and members linked with
+each other are by then compared or in one component. Only families that the last round added to are searched again,
+since the others have the groups they had. Every link is confirmed on the full shingle sets.
 
 Documents without words are linked with nothing. Rows with a null id take no part and are kept. Rows that share an id
 share a component. An empty table gives an empty result.
@@ -37,7 +38,6 @@ SHINGLE = 5
 PERCENT = 75
 COORDINATES = 128
 BANDS = 64
-DEPTH = 1
 _OFFSETS = np.array([0, 5, 17, 38, 75, 104])  # the coordinates of a band; few bands share two of them
 _SHIFT = np.uint32(0x9E3779B1)
 
@@ -142,9 +142,9 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _families(tested: DataFrame, labels: DataFrame) -> DataFrame:
-    """Compared pairs of hubs whose members are not all in one component, with the components of the members."""
+    """Pairs of hubs whose members are not all in one component, with the components of the members."""
     names = labels.select(F.col("id").alias("u"), "component")
-    rows = tested.where("deep").join(names, "u", "left").withColumn("component", F.coalesce("component", "u"))
+    rows = tested.join(names, "u", "left").withColumn("component", F.coalesce("component", "u"))
     mixed = rows.groupBy("v").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("n_u").alias("least"))
     return settle(attach(rows, mixed.where("lo < hi").select("v", "least"), ["v"]))
 
@@ -169,6 +169,25 @@ def _nearly_linked(families: DataFrame) -> DataFrame:
     return met.select(F.greatest("u", "f").alias("u"), F.least("u", "f").alias("v"))
 
 
+def _release(spark) -> None:
+    """Let the driver notice which shuffles and checkpoints of past rounds nobody holds, so that Spark deletes their files."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after further links, which are few or none between components."""
+    ends = links.select("u", "v")
+    for end in ("u", "v"):
+        names = labels.select(F.col("id").alias(end), "component")
+        ends = ends.join(names, end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
+    joining = settle(ends.where("u != v").distinct())
+    if joining.isEmpty():
+        return labels
+    moved = components(joining)
+    renamed = labels.join(moved.select(F.col("id").alias("component"), F.col("component").alias("to")), "component", "left")
+    return settle(renamed.select("id", F.coalesce("to", "component").alias("component")).unionByName(moved))
+
+
 def link(unique: DataFrame, docs: DataFrame) -> DataFrame:
     """(id, component) of classes that are not the smallest id of their component."""
     rows = unique.select("doc_id", F.explode("bands").alias("bucket"))
@@ -185,19 +204,25 @@ def link(unique: DataFrame, docs: DataFrame) -> DataFrame:
     hubs = weighed.groupBy("bucket").agg(best).select("bucket", (-F.col("hub.id")).alias("v"))
     pairs = attach(members, hubs, ["bucket"]).where(F.col("doc_id") != F.col("v"))
     pairs = pairs.groupBy(F.col("doc_id").alias("u"), "v").agg((F.max("size") > 2).alias("deep"))
-    tested = _confirm(pairs, texts)
+    tested = compared = _confirm(pairs, texts)
     labels = components(tested.where("linked").select("u", "v"))
-    for _ in range(DEPTH):
-        families = _families(tested, labels)
-        found = _shared_outside(families, weights).unionByName(_nearly_linked(families)).distinct()
-        fresh = settle(found.join(tested.where("deep").select("u", "v"), ["u", "v"], "left_anti").withColumn("deep", F.lit(True)))
+    while True:
+        grown = compared.where("deep").select("v").distinct()
+        families = _families(attach(tested.where("deep"), grown, ["v"]), labels)
+        # Pairs compared for their own sake are not deep: a family holds only members lighter than its hub.
+        shared = _shared_outside(families, weights).distinct().join(tested.where("deep").select("u", "v"), ["u", "v"], "left_anti")
+        near = _nearly_linked(families).distinct()
+        for u, v in (("u", "v"), ("v", "u")):
+            near = near.join(tested.select(F.col(u).alias("u"), F.col(v).alias("v")), ["u", "v"], "left_anti")
+        found = shared.withColumn("deep", F.lit(True)).unionByName(near.withColumn("deep", F.lit(False)))
+        fresh = settle(found.groupBy("u", "v").agg(F.max("deep").alias("deep")))
         if fresh.isEmpty():
-            break
+            return labels
         compared = _confirm(fresh, texts)
         tested = tested.unionByName(compared)
-        known = labels.select(F.col("id").alias("u"), F.col("component").alias("v"))
-        labels = components(known.unionByName(compared.where("linked").select("u", "v")))
-    return labels
+        labels = _merged(labels, compared.where("linked"))
+        del grown, families, shared, near, found, fresh
+        _release(spark)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -6,7 +6,7 @@ that is alone in its group leaves:
 
 1. The first digit of a window is the least hash of the 64-byte strings in it, which equal windows share. It is the
    same for a run of neighbouring windows, so a run travels as one row. Runs whose digit occurs once are unique.
-2. The second digit is the hash of a run's whole text. Runs equal in both are repeated with all their windows; one
+2. The second digit is the hash of all windows of a run in their order, so of its whole text. Runs equal in both are repeated with all their windows; one
    run of each such group goes on, to be compared with the runs that share the first digit only.
 3. What is left is ordered by the last digit, the hash of each window's bytes, together with the first. Groups of at
    most ``group_runs`` different runs are handled inside tasks, many at a time, from the runs' own bytes; larger
@@ -99,7 +99,6 @@ def runs_of(texts: list[bytes], length: int = LENGTH, anchor: int = ANCHOR) -> t
     if not len(first):
         return runs_of([], length, anchor)
     # A long run is cut at fixed distances from its start.
-    last = np.append(first[1:] - 1, len(least) - 1)
     counts = np.add.reduceat(inside.astype(np.int64), first)
     twice = np.logical_or.reduceat(again, first)
     parts = (counts - 1) // MAX_RUN + 1
@@ -108,8 +107,10 @@ def runs_of(texts: list[bytes], length: int = LENGTH, anchor: int = ANCHOR) -> t
         first, counts, twice = (np.repeat(x, parts) for x in (first, counts, twice))
         first = first + number * MAX_RUN
         counts = np.minimum(counts - number * MAX_RUN, MAX_RUN)
-    last = first + counts - 1
-    second = mix(windows[first] + mix(windows[last]) + counts.astype(np.uint64) * np.uint64(_BASE))
+    # Every window counts, with its place in the run; windows between runs add nothing.
+    place = np.arange(len(least)) - np.repeat(np.append(0, first), np.diff(np.concatenate([[0], first, [len(least)]])))
+    placed = np.where(inside, mix(windows + mix(place.astype(np.uint64) + np.uint64(1))), np.uint64(0))
+    second = mix(np.add.reduceat(placed, first) + counts.astype(np.uint64) * np.uint64(_BASE))
     owner = np.searchsorted(ends, first, side="right")
     return owner, first - starts[owner], counts, least[first].view(np.int64), second.view(np.int64), 1 + twice.astype(np.int64)
 

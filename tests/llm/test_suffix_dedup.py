@@ -59,3 +59,18 @@ def test_spans_name_the_removed_bytes(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert suffix_dedup.remove_repeats(docs).count() == 0
+
+
+def test_runs_with_equal_ends_and_another_middle(spark):
+    random.seed(5)
+    text = "".join(random.choices("abcdefghijklmnopqrstuvwxyz ", k=99)) + "\n"
+    base = (text * 12).encode()
+    copies = [base[:k] + b"#" + base[k + 1 :] for k in range(500, 600)]
+
+    def runs(raw):  # windows and first digits
+        return [x.tolist() for x in suffix_dedup.runs_of([raw])[2:4]]
+
+    alike = [c for c in copies if runs(c) == runs(base)]
+    rows = [(1, base.decode()), (2, alike[0].decode())]
+    found = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(tuple(r)[:5] for r in found.drop("spans").collect()) == brute(rows, 200)

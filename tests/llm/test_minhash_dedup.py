@@ -1,5 +1,7 @@
 """Links that miss their hub and the hubs of the groups outside it."""
 
+import pytest
+
 from chartlift.llm import minhash_dedup
 
 
@@ -7,7 +9,9 @@ def words(name, n):
     return [f"{name}{i}" for i in range(n)]
 
 
-def test_links_behind_several_hubs(spark):
+@pytest.mark.parametrize("small", [1, 16])
+def test_links_behind_several_hubs(spark, monkeypatch, small):
+    monkeypatch.setattr(minhash_dedup, "SMALL", small)
     # 4 and 5 are linked. What they share outside hub 1 is all in 2, what they share outside 2 is all in 3.
     a, b, c, rest = words("a", 40), words("b", 40), words("c", 40), words("r", 240)
     texts = {

@@ -11,8 +11,8 @@ off the group, from what the comparison has shown. Of the shingles that f and p
 where a and b are the numbers that each shares with h. Either the link needs no more than that, which only sets that
 nearly reach the similarity with h, and partners smaller than h, allow; these few are compared. Or f and p share a
 shingle that h lacks: then they meet in the group of that shingle among those compared with h (a prefix of each set's
-shingles outside h, in hash order, is enough). In groups of at most SMALL, all pairs of two components are compared whose
-sizes and overlaps with h allow a link; a larger group has a hub of its own, lighter than h. This is repeated among those
+shingles outside h, in hash order, is enough). In groups of at most SMALL (four times as many in
+each round), all pairs of two components are compared whose sizes and overlaps with h allow a link; a larger group has a hub of its own, lighter than h. This is repeated among those
 compared with the new hubs until no pair is left to compare. As hubs get lighter, the search ends, and members linked with
 each other are by then compared or in one component. Only families that the last round added to are searched again,
 since the others have the groups they had. Every link is confirmed on the full shingle sets.
@@ -151,7 +151,7 @@ def _families(tested: DataFrame, labels: DataFrame) -> DataFrame:
     return settle(attach(rows, mixed.where("lo < hi").select("v", "least"), ["v"]))
 
 
-def _shared_outside(families: DataFrame, weights: DataFrame) -> DataFrame:
+def _shared_outside(families: DataFrame, weights: DataFrame, few: int) -> DataFrame:
     """From the groups that share a shingle their first hub lacks: members and hubs, or all pairs of small groups (not deep)."""
     keyed = families.select("u", "component", "n_u", "joint", F.explode("outside").alias("shingle"), "v")
     keyed = keyed.select("u", "component", "n_u", "joint", F.xxhash64("v", "shingle").alias("group"))
@@ -160,8 +160,8 @@ def _shared_outside(families: DataFrame, weights: DataFrame) -> DataFrame:
     groups = keyed.groupBy("group").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"), best)
     groups = groups.where("lo < hi").select("group", "n", (-F.col("hub.id")).alias("v"))
     met = attach(keyed, groups, ["group"])
-    large = met.where((F.col("n") > SMALL) & (F.col("u") != F.col("v"))).select("u", "v", F.lit(True).alias("deep"))
-    small = met.where(F.col("n") <= SMALL).groupBy("group").agg(F.collect_list(F.struct("u", "component", "n_u", "joint")).alias("members"))
+    large = met.where((F.col("n") > few) & (F.col("u") != F.col("v"))).select("u", "v", F.lit(True).alias("deep"))
+    small = met.where(F.col("n") <= few).groupBy("group").agg(F.collect_list(F.struct("u", "component", "n_u", "joint")).alias("members"))
     pairs = small.select(F.explode("members").alias("a"), "members").select("a", F.explode("members").alias("b"))
     most = F.least("a.joint", "b.joint") + F.least(F.col("a.n_u") - F.col("a.joint"), F.col("b.n_u") - F.col("b.joint"))
     pairs = pairs.where((F.col("a.u") > F.col("b.u")) & (F.col("a.component") != F.col("b.component")) & (7 * most >= 3 * (F.col("a.n_u") + F.col("b.n_u"))))
@@ -216,11 +216,12 @@ def link(unique: DataFrame, docs: DataFrame) -> DataFrame:
     seen = settle(pairs)
     tested = compared = _confirm(seen, texts)
     labels = components(tested.where("linked").select("u", "v"))
+    few = SMALL
     while True:
         grown = compared.where("deep").select("v").distinct()
         families = _families(attach(tested.where("deep"), grown, ["v"]), labels)
         # Pairs compared for their own sake are not deep: a family holds only members lighter than its hub.
-        shared, near = _shared_outside(families, weights), _nearly_linked(families).distinct().withColumn("deep", F.lit(False))
+        shared, near = _shared_outside(families, weights, few), _nearly_linked(families).distinct().withColumn("deep", F.lit(False))
         hubs = shared.where("deep").join(seen.where("deep").select("u", "v"), ["u", "v"], "left_anti")
         either = seen.select("u", "v").unionByName(seen.select(F.col("v").alias("u"), F.col("u").alias("v")))
         direct = shared.where("NOT deep").unionByName(near).join(either, ["u", "v"], "left_anti")
@@ -231,6 +232,7 @@ def link(unique: DataFrame, docs: DataFrame) -> DataFrame:
         compared = _confirm(fresh, texts)
         tested = tested.unionByName(compared)
         labels = _merged(labels, compared.where("linked"))
+        few *= 4
         del grown, families, shared, near, hubs, either, direct, fresh
         _release(spark)
 

@@ -4,8 +4,9 @@ Texts are normalised to lower-case words between single spaces. The windows of t
 item of fewer words is one window) are the automaton's patterns; each document is scanned once and its hits are
 mapped back to words and to offsets in the original text.
 
-The benchmark is taken in blocks of at most ``block_words`` words, one automaton each, so that what is broadcast is
-bounded however large the benchmark is; every document passes all blocks in one stage without a shuffle.
+The benchmark is taken in blocks of at most ``block_words`` words, one automaton each, so one broadcast is bounded;
+every document passes all blocks in one stage without a shuffle. The benchmark goes through the driver and a task holds
+the automata of all blocks at once, so memory grows with the benchmark; its largest size has not been measured.
 
 Null and empty texts have no words and no hits; items without words or without an id have no windows; items of one id
 count once; an empty benchmark hits nothing; repeated rows are judged each.

@@ -117,3 +117,12 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND (n_words < 50 OR (js_ch <= 0.05 + 2.0 / word_chars AND js_cw <= 0.04 + 4.0 / n_words)) AS kept
 FROM judged
 """
+
+ARCHIVED_PAGES = """
+WITH rows AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+firsts AS (SELECT html, min(page_id) AS first FROM rows WHERE strlen(html) >= 100 GROUP BY html)
+SELECT page_id, strlen(rows.html) AS payload_bytes, sha256(rows.html) AS payload_digest,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM rows LEFT JOIN firsts ON rows.html = firsts.html
+"""

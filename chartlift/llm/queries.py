@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chartlift.llm import bpe_codec, chat_format, decontaminate, line_dedup, minhash_dedup, oracles, quality_model, quality_rules, suffix_dedup, token_counts, toxicity
+from chartlift.llm import bpe_codec, chat_format, decontaminate, line_dedup, minhash_dedup, oracles, quality_model, quality_rules, suffix_dedup, token_counts, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,6 +77,11 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.format_chats(table(spark, folder, "conversations"))
 
 
+@query("op11_warc_archives", oracles.ARCHIVED_PAGES)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive_pages(table(spark, folder, "pages")).drop("url")
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chartlift.llm import bpe_codec, chat_format, decontaminate, line_dedup, minhash_dedup, oracles, quality_model, quality_rules, spelling, suffix_dedup, token_counts, toxicity, warc
+from chartlift.llm import bpe_codec, chat_format, decontaminate, line_dedup, minhash_dedup, oracles, quality_model, quality_rules, spelling, suffix_dedup, token_alignment, token_counts, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,6 +82,11 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive_pages(table(spark, folder, "pages")).drop("url")
 
 
+@query("op12_token_alignment")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.alignment(table(spark, folder, "documents"))
+
+
 @query("op13_spelling_variants")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, folder, "documents"))

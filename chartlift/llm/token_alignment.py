@@ -6,6 +6,9 @@ A, the row of Bᵀ that it names; equal columns merged), hold the tokens of B th
 both have an end cut the tokens into groups; the product of the two matrices of tokens by groups holds all pairs of a
 group, of which only the sizes of the rows are formed unless the pairs are asked for. Products are formed for CHUNK_BYTES of text at a time, cut between groups.
 
+Neither vocabulary joins what stands before a space to the space and the visible character behind it, so a text falls into
+segments whose tokens and groups do not depend on the rest; a task remembers up to KNOWN_SEGMENTS of them.
+
 Corpus-wide counts of id pairs need no row per link in a shuffle. A task gathers texts into blocks of about BLOCK_LINKS links; a
 block keeps its distinct id pairs, their counts, and its links as places in that list. The blocks are written once, the
 lists are added up, and each block gets the totals of its own pairs back.
@@ -38,8 +41,12 @@ VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CHUNK_BYTES = 1_000_000
 BLOCK_LINKS = 4_000_000
+KNOWN_SEGMENTS = 300_000
+TOGETHER = 2000  # segments encoded at once
 _IDS_B = 1 << 24  # an id pair is a * _IDS_B + b
 _LONG_BLANK = re.compile(r"\s{4000}")
+_CUT = re.compile(r"(?<! ) (?=\S)")
+_ODD = re.compile(r" (?:\s|\Z)")
 
 
 @dataclass
@@ -107,6 +114,8 @@ class Vocabularies:
         self.fast = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks={b: i for i, b in table.items()}, special_tokens={})
         self.piece = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_a = [table.get(i, b"") for i in range(self.slow.get_vocab_size())]
+        if any("▁" in self.piece.id_to_piece(i).lstrip("▁") for i in range(self.piece.get_piece_size())):
+            raise ValueError("a piece of B spans the beginning of a word")
         self.bytes_b = [self._piece_bytes(i) for i in range(self.piece.get_piece_size())]
         self.length_a = np.array([len(b) for b in self.bytes_a])
         self.length_b = np.array([len(b) for b in self.bytes_b])
@@ -150,22 +159,106 @@ def groups_of(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b), len(cuts)
 
 
-class GroupText:
-    """Groups in the form ``a1,a2|b1;a3|b2,b3``."""
+def segments_of(text: str) -> list[str]:
+    """The parts of a text that both vocabularies encode apart, without the one space in front of each."""
+    spaced = " " + text
+    if not _ODD.search(spaced):
+        return text.split(" ")
+    first, *rest = _CUT.split(spaced)
+    return [first[1:], *rest] if first else rest
 
-    def __init__(self, size_a: int, size_b: int):
-        self.names = [f"{i}{mark}" for size, marks in ((size_a, ",|"), (size_b, ",;")) for mark in marks for i in range(size)]
-        self.size_a, self.size_b = size_a, size_b
 
-    def __call__(self, a: np.ndarray, b: np.ndarray, groups_a: np.ndarray, groups_b: np.ndarray, count: int) -> str:
-        last_a = np.append(groups_a[1:] != groups_a[:-1], True)
-        last_b = np.append(groups_b[1:] != groups_b[:-1], True)
+class Segments:
+    """What is known of segments: their numbers of tokens and groups, their links, and their groups in the form ``a1,a2|b1;a3|b2,b3``."""
+
+    def __init__(self, both: Vocabularies):
+        self.both = both
+        size_a, size_b = len(both.bytes_a), len(both.bytes_b)
+        self.names = [f"{i}{mark}" for size, marks in ((size_a, ",|"), (size_b, ",;\n")) for mark in marks for i in range(size)]
+        self.size_a, self.size_b = size_a, size_b
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.texts: list[str] = []
+        self.sizes = np.zeros((5, 0), dtype=np.int64)  # tokens of A, of B, groups, links, links within groups
+        self.valid = np.zeros(0, dtype=bool)
+        self.links = np.zeros(0, dtype=np.int64)
+        self.ends = np.zeros(0, dtype=np.int64)  # of each segment's links
+
+    def learn(self, texts: list[list[str]]) -> None:
+        if len(self.number) > KNOWN_SEGMENTS:
+            self.forget()
+        new = list(dict.fromkeys(s for text in texts for s in text if s not in self.number))
+        if not new:
+            return
+        both = self.both
+        # Segments without blanks at their ends are encoded many at once, as in a text; the others one at a time.
+        whole = [s for s in new if not s[0].isspace() and s[-1] != " "]
+        single = [s for s in new if s[0].isspace() or s[-1] == " "]
+        new, parts = whole + single, []
+        for start in range(0, len(whole), TOGETHER):
+            parts += self._together(whole[start : start + TOGETHER])
+        parts += map(self._alone, single)
+        valid = np.concatenate([v for v, *_ in parts])
+        sizes = np.zeros((5, len(new)), dtype=np.int64)
+        sizes[0], sizes[1] = (np.concatenate([p[k] for p in parts]) for k in (1, 2))
+        a, b = (np.concatenate([p[k] for p in parts]).astype(np.int64) for k in (3, 4))
+        segment_a, segment_b = np.repeat(np.arange(len(new)), sizes[0]), np.repeat(np.arange(len(new)), sizes[1])
+        ends_a, ends_b = np.cumsum(both.length_a[a]), np.cumsum(both.length_b[b])
+        groups_a, groups_b, count = groups_of(ends_a, ends_b)
+        found = [(segment_a[i], a[i] * _IDS_B + b[j]) for i, j, _ in overlaps(ends_a, ends_b)]
+        owner = np.concatenate([np.zeros(0, dtype=np.int64), *(s for s, _ in found)])
+        by_group = _grouped(groups_a, count).product_sizes(_grouped(groups_b, count).transposed())
+        last_a, last_b = np.append(groups_a[1:] != groups_a[:-1], True), np.append(groups_b[1:] != groups_b[:-1], True)
+        sizes[2] = np.bincount(segment_a, weights=last_a[: len(a)], minlength=len(new))
+        sizes[3] = np.bincount(owner, minlength=len(new))
+        sizes[4] = np.bincount(segment_a, weights=by_group, minlength=len(new))
+        written = iter(self._written(a, b, groups_a, groups_b, last_a, last_b, np.append(segment_b[1:] != segment_b[:-1], True), count))
+        self.texts += [next(written) if ok else "" for ok in valid]
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
+        self.ends = np.concatenate([self.ends, len(self.links) + np.cumsum(sizes[3])])
+        self.links = np.concatenate([self.links, *(pairs for _, pairs in found)])
+        self.sizes, self.valid = np.concatenate([self.sizes, sizes], axis=1), np.concatenate([self.valid, valid])
+
+    def _together(self, some: list[str]) -> list[tuple]:
+        """(valid, numbers of tokens of A and of B, all ids of A, all ids of B) of segments encoded as one text."""
+        both, raw = self.both, " " + " ".join(some)
+        a, b = both._ids_a(raw), both.piece.encode(raw[1:])
+        if not b"".join(map(both.bytes_a.__getitem__, a)) == raw.encode() == b"".join(map(both.bytes_b.__getitem__, b)):
+            return list(map(self._alone, some))
+        a, b = np.array(a), np.array(b)
+        ends = np.cumsum([len(s.encode()) + 1 for s in some])
+        counts = (np.diff(np.searchsorted(np.cumsum(length[ids]), ends, side="right"), prepend=0) for length, ids in ((both.length_a, a), (both.length_b, b)))
+        return [(np.ones(len(some), dtype=bool), *counts, a, b)]
+
+    def _alone(self, segment: str) -> tuple:
+        both, raw = self.both, b" " + segment.encode()
+        a, b = both._ids_a(" " + segment), both.piece.encode(segment)
+        valid = b"".join(map(both.bytes_a.__getitem__, a)) == raw == b"".join(map(both.bytes_b.__getitem__, b))
+        if not valid:
+            a, b = [], []
+        return np.array([valid]), np.array([len(a)]), np.array([len(b)]), np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+
+    def _written(self, a, b, groups_a, groups_b, last_a, last_b, end_b, count) -> list[str]:
+        """The groups of each segment that has tokens: names of tokens of A and B in turn, each with the mark behind it."""
         before_a = np.concatenate([[0], np.cumsum(np.bincount(groups_b, minlength=count))])[groups_a]
         before_b = np.cumsum(np.bincount(groups_a, minlength=count))[groups_b]
         names = np.empty(len(a) + len(b), dtype=np.int64)
-        names[np.arange(len(a)) + before_a] = a + self.size_a * last_a
-        names[np.arange(len(b)) + before_b] = 2 * self.size_a + b + self.size_b * last_b
-        return "".join(map(self.names.__getitem__, names.tolist()))[:-1]
+        names[np.arange(len(a)) + before_a] = a + self.size_a * last_a[: len(a)]
+        names[np.arange(len(b)) + before_b] = 2 * self.size_a + b + self.size_b * (last_b[: len(b)].astype(np.int64) + end_b[: len(b)])
+        return "".join(map(self.names.__getitem__, names.tolist())).split("\n")
+
+    def __call__(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, str]:
+        """The sizes and links of a text of known segments, and the digest of its groups; zeros and nothing if one is not valid."""
+        place = np.fromiter(map(self.number.__getitem__, segments), np.int64, len(segments))
+        if not len(place) or not self.valid[place].all():
+            return np.zeros(5, dtype=np.int64), np.zeros(0, dtype=np.int64), ""
+        counts = self.sizes[3][place]
+        within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        links = self.links[np.repeat(self.ends[place] - counts, counts) + within]
+        digest = hashlib.sha256(";".join(map(self.texts.__getitem__, place.tolist())).encode()).hexdigest()
+        return self.sizes[:, place].sum(axis=1), links, digest
 
 
 _DOC = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_group_links long, groups_sha256 string"
@@ -175,8 +268,7 @@ _BLOCK = f"block long, pairs array<long>, counts array<long>, docs {_DOCS}, link
 
 def _blocks(path_a: str, path_b: str, block_links: int):
     def run(batches):
-        both = Vocabularies(path_a, path_b)
-        written = GroupText(len(both.bytes_a), len(both.bytes_b))
+        known = Segments(Vocabularies(path_a, path_b))
         number = TaskContext.get().partitionId() << 32
         docs, pairs, held = [], [], 0
 
@@ -189,19 +281,14 @@ def _blocks(path_a: str, path_b: str, block_links: int):
             return pa.RecordBatch.from_arrays([*columns, pa.array([docs], kind), pa.array([packed], pa.binary())], names=["block", "pairs", "counts", "docs", "links"])
 
         for batch in pieces(batches):
-            texts = batch.column("text")
-            for row, name in enumerate(batch.column("doc_id").to_pylist()):
-                a, b = next(both.encode([texts[row].as_py()]))
-                doc = {"doc_id": name, "n_a": len(a), "n_b": len(b), "n_groups": 0, "n_links": 0, "n_group_links": 0, "groups_sha256": ""}
-                if len(a):
-                    ends_a, ends_b = np.cumsum(both.length_a[a]), np.cumsum(both.length_b[b])
-                    groups_a, groups_b, count = groups_of(ends_a, ends_b)
-                    found = [a[i] * _IDS_B + b[j] for i, j, _ in overlaps(ends_a, ends_b)]
-                    pairs += found
-                    doc["n_groups"], doc["n_links"] = count, sum(map(len, found))
-                    doc["n_group_links"] = int(_grouped(groups_a, count).product_sizes(_grouped(groups_b, count).transposed()).sum())
-                    doc["groups_sha256"] = hashlib.sha256(written(a, b, groups_a, groups_b, count).encode()).hexdigest()
-                    held += doc["n_links"]
+            texts = [segments_of(text) if text else [] for text in batch.column("text").to_pylist()]
+            known.learn(texts)
+            for name, text in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
+                sizes, links, digest = known(text)
+                doc = dict(zip(("n_a", "n_b", "n_groups", "n_links", "n_group_links"), sizes.tolist(), strict=True))
+                doc |= {"doc_id": name, "groups_sha256": digest}
+                pairs.append(links)
+                held += len(links)
                 docs.append(doc)
                 if held >= block_links or len(docs) >= block_links // 50:
                     yield block()

@@ -58,3 +58,17 @@ def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage, so that lost executors cannot change its rows."""
     durable_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written below the durable root and read again: like ``settle``, but the caller says when the files go."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete files that this run has written and nobody reads any more."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for path in paths:
+        place = hadoop(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

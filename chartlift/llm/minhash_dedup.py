@@ -11,8 +11,8 @@ off the group, from what the comparison has shown. Of the shingles that f and p
 where a and b are the numbers that each shares with h. Either the link needs no more than that, which only sets that
 nearly reach the similarity with h, and partners smaller than h, allow; these few are compared. Or f and p share a
 shingle that h lacks: then they meet in the group of that shingle among those compared with h (a prefix of each set's
-shingles outside h, in hash order, is enough). In groups of at most SMALL (four times as many in
-each round), all pairs of two components are compared whose sizes and overlaps with h allow a link; a larger group has a hub of its own, lighter than h. This is repeated among those
+shingles outside h, in hash order, is enough). In groups of at most SMALL, the pairs of two components are compared
+whose sizes and overlaps with h allow a link; a larger group has a hub of its own, lighter than h. This is repeated among those
 compared with the new hubs until no pair is left to compare. As hubs get lighter, the search ends, and members linked with
 each other are by then compared or in one component. Only families that the last round added to are searched again,
 since the others have the groups they had. Every link is confirmed on the full shingle sets.
@@ -33,13 +33,13 @@ from chartlift.llm.common import map_texts, pieces, texts_of
 from chartlift.llm.components import components
 from chartlift.llm.shingles import GROUP_CHARS, mix, shingle_sets
 from chartlift.operators.joins import attach
-from chartlift.runtime import scratch_path, settle
+from chartlift.runtime import discard, scratch_path, settle, written
 
 SHINGLE = 5
 PERCENT = 75
 COORDINATES = 128
 BANDS = 64
-SMALL = 16
+SMALL = 64
 _OFFSETS = np.array([0, 5, 17, 38, 75, 104])  # the coordinates of a band; few bands share two of them
 _SHIFT = np.uint32(0x9E3779B1)
 
@@ -140,32 +140,38 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The comparison of pairs (u, v) on the full sets; pairs that are not deep will not be looked at further."""
     first = pairs.join(texts.withColumnRenamed("doc_id", "u"), "u")
     both = first.join(texts.select(F.col("doc_id").alias("v"), F.col("text").alias("other")), "v")
-    return settle(both.select("u", "v", "deep", "text", "other").mapInArrow(_compare, _TESTED))
+    return both.select("u", "v", "deep", "text", "other").mapInArrow(_compare, _TESTED)
 
 
-def _families(tested: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of hubs whose members are not all in one component, with the components of the members."""
+def _families(tested: DataFrame, grown: DataFrame, labels: DataFrame, weights: DataFrame) -> DataFrame:
+    """Pairs of the grown hubs whose members are not all in one component, with the components and weights of the members."""
     names = labels.select(F.col("id").alias("u"), "component")
-    rows = tested.join(names, "u", "left").withColumn("component", F.coalesce("component", "u"))
+    rows = attach(tested.where("deep"), grown, ["v"]).join(names, "u", "left").withColumn("component", F.coalesce("component", "u"))
     mixed = rows.groupBy("v").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("n_u").alias("least"))
-    return settle(attach(rows, mixed.where("lo < hi").select("v", "least"), ["v"]))
+    rows = attach(rows, mixed.where("lo < hi").select("v", "least"), ["v"])
+    return rows.join(weights.withColumnRenamed("doc_id", "u"), "u")
 
 
-def _shared_outside(families: DataFrame, weights: DataFrame, few: int) -> DataFrame:
-    """From the groups that share a shingle their first hub lacks: members and hubs, or all pairs of small groups (not deep)."""
-    keyed = families.select("u", "component", "n_u", "joint", F.explode("outside").alias("shingle"), "v")
-    keyed = keyed.select("u", "component", "n_u", "joint", F.xxhash64("v", "shingle").alias("group"))
-    keyed = keyed.join(weights.withColumnRenamed("doc_id", "u"), "u")
+def _shared_outside(families: DataFrame) -> DataFrame:
+    """From the groups that share a shingle their first hub lacks: members and hubs, or the possible pairs of small groups (not deep)."""
+    keyed = families.select("u", "weight", "component", "n_u", "joint", F.explode("outside").alias("shingle"), "v")
+    keyed = keyed.select("u", "weight", "component", "n_u", "joint", F.xxhash64("v", "shingle").alias("group"))
     best = F.max(F.struct(F.col("weight"), (-F.col("u")).alias("id"))).alias("hub")
     groups = keyed.groupBy("group").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"), best)
     groups = groups.where("lo < hi").select("group", "n", (-F.col("hub.id")).alias("v"))
     met = attach(keyed, groups, ["group"])
-    large = met.where((F.col("n") > few) & (F.col("u") != F.col("v"))).select("u", "v", F.lit(True).alias("deep"))
-    small = met.where(F.col("n") <= few).groupBy("group").agg(F.collect_list(F.struct("u", "component", "n_u", "joint")).alias("members"))
-    pairs = small.select(F.explode("members").alias("a"), "members").select("a", F.explode("members").alias("b"))
-    most = F.least("a.joint", "b.joint") + F.least(F.col("a.n_u") - F.col("a.joint"), F.col("b.n_u") - F.col("b.joint"))
-    pairs = pairs.where((F.col("a.u") > F.col("b.u")) & (F.col("a.component") != F.col("b.component")) & (7 * most >= 3 * (F.col("a.n_u") + F.col("b.n_u"))))
-    return large.unionByName(pairs.select(F.col("a.u").alias("u"), F.col("b.u").alias("v"), F.lit(False).alias("deep"))).distinct()
+    large = met.where((F.col("n") > SMALL) & (F.col("u") != F.col("v"))).select("u", "v", F.lit(True).alias("deep"))
+    small = met.where(F.col("n") <= SMALL).groupBy("group").agg(F.collect_list(F.struct("u", "component", "n_u", "joint")).alias("members"))
+
+    def possible(a, b):
+        most = F.least(a["joint"], b["joint"]) + F.least(a["n_u"] - a["joint"], b["n_u"] - b["joint"])
+        return (a["u"] > b["u"]) & (a["component"] != b["component"]) & (7 * most >= 3 * (a["n_u"] + b["n_u"]))
+
+    def partners(a):
+        return F.transform(F.filter("members", lambda b: possible(a, b)), lambda b: F.struct(a["u"].alias("u"), b["u"].alias("v")))
+
+    pairs = small.select(F.inline(F.flatten(F.transform("members", partners)))).withColumn("deep", F.lit(False))
+    return large.unionByName(pairs).distinct()
 
 
 def _nearly_linked(families: DataFrame) -> DataFrame:
@@ -178,12 +184,7 @@ def _nearly_linked(families: DataFrame) -> DataFrame:
     return met.select(F.greatest("u", "f").alias("u"), F.least("u", "f").alias("v"))
 
 
-def _release(spark) -> None:
-    """Let the driver notice which shuffles and checkpoints of past rounds nobody holds, so that Spark deletes their files."""
-    spark.sparkContext._jvm.System.gc()
-
-
-def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+def _merged(labels: DataFrame, links: DataFrame, path: str) -> DataFrame:
     """The labels after further links, which are few or none between components."""
     ends = links.select("u", "v")
     for end in ("u", "v"):
@@ -194,47 +195,49 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
         return labels
     moved = components(joining)
     renamed = labels.join(moved.select(F.col("id").alias("component"), F.col("component").alias("to")), "component", "left")
-    return settle(renamed.select("id", F.coalesce("to", "component").alias("component")).unionByName(moved))
+    return written(renamed.select("id", F.coalesce("to", "component").alias("component")).unionByName(moved), path)
 
 
 def link(unique: DataFrame, docs: DataFrame) -> DataFrame:
     """(id, component) of classes that are not the smallest id of their component."""
     rows = unique.select("doc_id", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size >= 2")
-    members = settle(attach(rows, shared, ["bucket"]))
-    weights = settle(members.groupBy("doc_id").agg(F.sum("size").alias("weight")))
-    spark = docs.sparkSession
-    path = scratch_path(spark, "near-texts")
-    docs.join(weights.select("doc_id"), "doc_id", "left_semi").write.parquet(path)
-    texts = spark.read.schema("doc_id long, text string").parquet(path)
+    spark, root = docs.sparkSession, scratch_path(docs.sparkSession, "near")
+    members = written(attach(rows, shared, ["bucket"]), f"{root}/members")
+    weights = written(members.groupBy("doc_id").agg(F.sum("size").alias("weight")), f"{root}/weights")
+    texts = written(docs.join(weights.select("doc_id"), "doc_id", "left_semi"), f"{root}/texts")
 
     weighed = members.join(weights, "doc_id")
     best = F.max(F.struct(F.col("weight"), (-F.col("doc_id")).alias("id"))).alias("hub")
     hubs = weighed.groupBy("bucket").agg(best).select("bucket", (-F.col("hub.id")).alias("v"))
     pairs = attach(members, hubs, ["bucket"]).where(F.col("doc_id") != F.col("v"))
     pairs = pairs.groupBy(F.col("doc_id").alias("u"), "v").agg((F.max("size") > 2).alias("deep"))
-    seen = settle(pairs)
-    tested = compared = _confirm(seen, texts)
-    labels = components(tested.where("linked").select("u", "v"))
-    few = SMALL
+    fresh = written(pairs, f"{root}/seen/0")
+    discard(spark, f"{root}/members")
+    compared = written(_confirm(fresh, texts), f"{root}/tested/0")
+    labels = written(components(compared.where("linked").select("u", "v")), f"{root}/labels/0")
+    # Each round adds a folder to the pairs seen and tested, which stay one scan however many rounds there are.
+    number = 0
     while True:
+        seen, tested = (
+            spark.read.schema(rows.schema).option("recursiveFileLookup", "true").parquet(f"{root}/{name}")
+            for name, rows in (("seen", fresh), ("tested", compared))
+        )
         grown = compared.where("deep").select("v").distinct()
-        families = _families(attach(tested.where("deep"), grown, ["v"]), labels)
+        families = written(_families(tested, grown, labels, weights), f"{root}/families/{number}")
         # Pairs compared for their own sake are not deep: a family holds only members lighter than its hub.
-        shared, near = _shared_outside(families, weights, few), _nearly_linked(families).distinct().withColumn("deep", F.lit(False))
-        hubs = shared.where("deep").join(seen.where("deep").select("u", "v"), ["u", "v"], "left_anti")
-        either = seen.select("u", "v").unionByName(seen.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        direct = shared.where("NOT deep").unionByName(near).join(either, ["u", "v"], "left_anti")
-        fresh = settle(hubs.unionByName(direct).groupBy("u", "v").agg(F.max("deep").alias("deep")))
+        wanted = _shared_outside(families).unionByName(_nearly_linked(families).withColumn("deep", F.lit(False)))
+        turned = seen.select(F.col("v").alias("u"), F.col("u").alias("v"), F.lit(False).alias("deep"))
+        known = seen.select("u", "v", "deep").unionByName(turned).groupBy("u", "v").agg(F.max("deep").alias("known"))
+        wanted = wanted.groupBy("u", "v").agg(F.max("deep").alias("deep")).join(known, ["u", "v"], "left")
+        number += 1
+        fresh = written(wanted.where("known IS NULL OR (deep AND NOT known)").select("u", "v", "deep"), f"{root}/seen/{number}")
+        discard(spark, f"{root}/families")
         if fresh.isEmpty():
+            discard(spark, *(f"{root}/{name}" for name in ("seen", "tested", "texts", "weights")))
             return labels
-        seen = seen.unionByName(fresh)
-        compared = _confirm(fresh, texts)
-        tested = tested.unionByName(compared)
-        labels = _merged(labels, compared.where("linked"))
-        few *= 4
-        del grown, families, shared, near, hubs, either, direct, fresh
-        _release(spark)
+        compared = written(_confirm(fresh, texts), f"{root}/tested/{number}")
+        labels = _merged(labels, compared.where("linked"), f"{root}/labels/{number}")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -11,7 +11,7 @@ off the group, from what the comparison has shown. Of the shingles that f and p
 where a and b are the numbers that each shares with h. Either the link needs no more than that, which only sets that
 nearly reach the similarity with h, and partners smaller than h, allow; these few are compared. Or f and p share a
 shingle that h lacks: then they meet in the group of that shingle among those compared with h (a prefix of each set's
-shingles outside h, in hash order, is enough). In groups of at most SMALL, the pairs of two components are compared
+shingles outside h, in hash order, is enough). In groups of at most SMALL to LARGEST, the pairs of two components are compared
 whose sizes and overlaps with h allow a link; a larger group has a hub of its own, lighter than h. This is repeated among those
 compared with the new hubs until no pair is left to compare. As hubs get lighter, the search ends, and members linked with
 each other are by then compared or in one component. Only families that the last round added to are searched again,
@@ -39,7 +39,8 @@ SHINGLE = 5
 PERCENT = 75
 COORDINATES = 128
 BANDS = 64
-SMALL = 64
+SMALL = 64  # in the first round; four times as many in each further one, up to LARGEST
+LARGEST = 1024
 _OFFSETS = np.array([0, 5, 17, 38, 75, 104])  # the coordinates of a band; few bands share two of them
 _SHIFT = np.uint32(0x9E3779B1)
 
@@ -152,7 +153,7 @@ def _families(tested: DataFrame, grown: DataFrame, labels: DataFrame, weights: D
     return rows.join(weights.withColumnRenamed("doc_id", "u"), "u")
 
 
-def _shared_outside(families: DataFrame) -> DataFrame:
+def _shared_outside(families: DataFrame, small_size: int) -> DataFrame:
     """From the groups that share a shingle their first hub lacks: members and hubs, or the possible pairs of small groups (not deep)."""
     keyed = families.select("u", "weight", "component", "n_u", "joint", F.explode("outside").alias("shingle"), "v")
     keyed = keyed.select("u", "weight", "component", "n_u", "joint", F.xxhash64("v", "shingle").alias("group"))
@@ -160,8 +161,8 @@ def _shared_outside(families: DataFrame) -> DataFrame:
     groups = keyed.groupBy("group").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"), best)
     groups = groups.where("lo < hi").select("group", "n", (-F.col("hub.id")).alias("v"))
     met = attach(keyed, groups, ["group"])
-    large = met.where((F.col("n") > SMALL) & (F.col("u") != F.col("v"))).select("u", "v", F.lit(True).alias("deep"))
-    small = met.where(F.col("n") <= SMALL).groupBy("group").agg(F.collect_list(F.struct("u", "component", "n_u", "joint")).alias("members"))
+    large = met.where((F.col("n") > small_size) & (F.col("u") != F.col("v"))).select("u", "v", F.lit(True).alias("deep"))
+    small = met.where(F.col("n") <= small_size).groupBy("group").agg(F.collect_list(F.struct("u", "component", "n_u", "joint")).alias("members"))
 
     def possible(a, b):
         most = F.least(a["joint"], b["joint"]) + F.least(a["n_u"] - a["joint"], b["n_u"] - b["joint"])
@@ -226,7 +227,7 @@ def link(unique: DataFrame, docs: DataFrame) -> DataFrame:
         grown = compared.where("deep").select("v").distinct()
         families = written(_families(tested, grown, labels, weights), f"{root}/families/{number}")
         # Pairs compared for their own sake are not deep: a family holds only members lighter than its hub.
-        wanted = _shared_outside(families).unionByName(_nearly_linked(families).withColumn("deep", F.lit(False)))
+        wanted = _shared_outside(families, min(LARGEST, SMALL * 4**number)).unionByName(_nearly_linked(families).withColumn("deep", F.lit(False)))
         turned = seen.select(F.col("v").alias("u"), F.col("u").alias("v"), F.lit(False).alias("deep"))
         known = seen.select("u", "v", "deep").unionByName(turned).groupBy("u", "v").agg(F.max("deep").alias("known"))
         wanted = wanted.groupBy("u", "v").agg(F.max("deep").alias("deep")).join(known, ["u", "v"], "left")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chartlift.runtime import settle
+
 
 def attach(facts: DataFrame, summary: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Join facts to a summary that was grouped from them by ``on``, with hot keys split.
@@ -80,6 +82,31 @@ def _bucket(column: Column, days: int) -> Column:
     return F.floor(_epoch(column) / F.lit(days * 86_400_000_000)).cast("long")
 
 
+def segmented(rows: DataFrame, key: str, *order: str) -> DataFrame:
+    """Rows in range partitions by key and order, with the partition's number in ``_part``.
+
+    The ranges are taken from the rows themselves, so parts are about equally large whatever the keys and times are: a key
+    with a third of all rows, or all of them on one day, is many parts. Numbers rise with key and order. The rows
+    are checkpointed, since a part number must not change when an executor is lost.
+    """
+    placed = rows.repartitionByRange(key, *order)
+    return settle(placed.withColumn("_part", F.spark_partition_id()))
+
+
+def last_before(sequence: DataFrame, key: str, order: Sequence[str], found: str, alias: str) -> DataFrame:
+    """A segmented scan: to each row of ``segmented`` rows the last non-null ``found`` of its key up to it.
+
+    Inside a part a window finds it; from part to part a key hands on one summary row, so the only window over a whole
+    key sees one row for each part that the key is in.
+    """
+    inside = Window.partitionBy("_part", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    within = sequence.withColumn("_near", F.last(found, ignorenulls=True).over(inside))
+    ends = sequence.groupBy("_part", key).agg(F.max_by(found, F.when(F.col(found).isNotNull(), F.struct(*order))).alias("_last"))
+    across = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.withColumn("_carry", F.last("_last", ignorenulls=True).over(across)).drop("_last")
+    return within.join(carried, ["_part", key], "left").withColumn(alias, F.coalesce("_near", "_carry")).drop("_near", "_carry")
+
+
 def asof_join(
     events: DataFrame,
     states: DataFrame,
@@ -88,14 +115,11 @@ def asof_join(
     state_time: str,
     columns: Sequence[str],
     direction: str = "backward",
-    bucket_days: int = 30,
 ) -> DataFrame:
     """For each event the state of the same key nearest strictly before (or after) it.
 
-    States at one instant are reduced to the one with the lowest ``columns``. The lookup runs on
-    distinct (key, instant) pairs, in time buckets: inside a bucket a window finds the neighbour, and
-    a key's buckets hand the last state on. So a key with a third of all rows is many small groups,
-    and the work is linear where the source's range join is quadratic in the rows of a key.
+    States at one instant are reduced to the one with the lowest ``columns``. The lookup is a segmented scan over
+    the distinct (key, instant) pairs of both sides: linear where the source's range join is quadratic in the rows of a key.
     """
     if direction not in ("backward", "forward"):
         raise ValueError(direction)
@@ -103,32 +127,18 @@ def asof_join(
     payload = F.struct(*[F.col(c) for c in columns])
     points = (
         states.filter(F.col(key).isNotNull() & F.col(state_time).isNotNull())
-        .withColumn("_t", _epoch(F.col(state_time)) * sign)
-        .withColumn("_bucket", _bucket(F.col(state_time), bucket_days) * sign)
-        .groupBy(key, "_bucket", "_t")
+        .groupBy(key, (_epoch(F.col(state_time)) * sign).alias("_t"))
         .agg(F.min(payload).alias("_state"))
+        .select(key, "_t", F.lit(1).alias("_turn"), F.struct("_t", "_state").alias("_found"))
     )
     probes = (
         events.filter(F.col(key).isNotNull() & F.col(event_time).isNotNull())
-        .groupBy(
-            key, (_bucket(F.col(event_time), bucket_days) * sign).alias("_bucket"),
-            (_epoch(F.col(event_time)) * sign).alias("_t"),
-        )
-        .agg(F.lit(0).alias("_turn"))
+        .select(key, (_epoch(F.col(event_time)) * sign).alias("_t")).distinct()
     )
-    tagged = points.select(key, "_bucket", "_t", F.struct("_t", "_state").alias("_found"), F.lit(1).alias("_turn"))
-    nothing = F.lit(None).cast(tagged.schema["_found"].dataType).alias("_found")
-    tagged = tagged.unionByName(probes.select(key, "_bucket", "_t", nothing, "_turn"))
+    nothing = F.lit(None).cast(points.schema["_found"].dataType).alias("_found")
     # a probe sorts before a state of the same instant, which makes the match strict
-    inside = Window.partitionBy(key, "_bucket").orderBy("_t", "_turn").rowsBetween(Window.unboundedPreceding, 0)
-    within = tagged.withColumn("_near", F.last("_found", ignorenulls=True).over(inside)).filter("_turn = 0")
-
-    per_bucket = tagged.groupBy(key, "_bucket").agg(F.max("_found").alias("_last"))
-    across = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_bucket.withColumn("_carry", F.last("_last", ignorenulls=True).over(across)).drop("_last")
-    found = within.join(carried, [key, "_bucket"], "left").select(
-        key, "_t", F.coalesce("_near", "_carry").alias("_match")
-    )
+    sequence = segmented(points.unionByName(probes.select(key, "_t", F.lit(0).alias("_turn"), nothing)), key, "_t", "_turn")
+    found = last_before(sequence, key, ["_t", "_turn"], "_found", "_match").filter("_turn = 0").select(key, "_t", "_match")
     keyed = events.withColumn("_t", _epoch(F.col(event_time)) * sign)
     result = attach(keyed, found, [key, "_t"], "left")
     for name in columns:

@@ -50,11 +50,28 @@ def reserve_id_ranges(frames: dict[str, DataFrame], start: int) -> dict[str, int
     return starts
 
 
-def pair_with_pool(df: DataFrame, pool: DataFrame, order: Sequence[str], pool_order: Sequence[str]) -> DataFrame:
-    """The n-th row with the n-th member of a pool of ready-made values; rows beyond the pool drop out."""
-    rows = assign_ids(df, order, "_n")
-    members = assign_ids(pool, pool_order, "_n")
-    return rows.join(members, "_n").drop("_n")
+def allocate_from_pool(df: DataFrame, pool: DataFrame, order: Sequence[str], pool_order: Sequence[str], shortage: str = "keep") -> DataFrame:
+    """The n-th row with the n-th member of a pool of ready-made values, and what is left of either side.
+
+    ``allocation`` tells assigned rows, unassigned rows (without a member) and unused members (without a row) apart, so nothing
+    drops out unseen. ``shortage="raise"`` makes a pool with too few members an error when the result is read.
+    Both sides are numbered apart without gathering them and meet in one join on the number.
+    """
+    if shortage not in ("keep", "raise"):
+        raise ValueError(shortage)
+    rows = assign_ids(df, order, "_n").withColumn("_row", F.lit(True))
+    members = assign_ids(pool, pool_order, "_n").withColumn("_member", F.lit(True))
+    state = F.when(F.col("_member").isNull(), "unassigned").when(F.col("_row").isNull(), "unused").otherwise("assigned")
+    both = rows.join(members, "_n", "full").withColumn("allocation", state)
+    if shortage == "raise":
+        missing = F.concat(F.lit("the pool has no member for row "), F.col("_n").cast("string"))
+        both = both.withColumn("allocation", F.when(F.col("allocation") == "unassigned", F.raise_error(missing)).otherwise(F.col("allocation")))
+    return both.drop("_n", "_row", "_member")
+
+
+def pair_with_pool(df: DataFrame, pool: DataFrame, order: Sequence[str], pool_order: Sequence[str], shortage: str = "keep") -> DataFrame:
+    """Only the assigned pairs of ``allocate_from_pool``."""
+    return allocate_from_pool(df, pool, order, pool_order, shortage).filter("allocation = 'assigned'").drop("allocation")
 
 
 def natural_to_surrogate(df: DataFrame, id_map: DataFrame, source: str, target: str, how: str = "inner") -> DataFrame:

@@ -226,8 +226,8 @@ def resolve_unknown_locations(
     before, else the earliest one started after, else the patient's site, else still unknown.
 
     Returns all encounters with ``location_id`` and ``resolved_by``. The lookups do not wait for one another:
-    they run side by side on the encounters at an unknown place, linear in the rows of a patient, and the
-    first level that knows a place decides.
+    they run side by side on the encounters at an unknown place, as segmented scans, and the first level that
+    knows a place decides.
     """
     open_ones = encounters.filter(F.col("location_id") == F.lit(unknown)).select("encounter_id", "patient_id", "encounter_datetime")
     enrolled = enrolments.filter(F.col("location_id").isNotNull())
@@ -237,8 +237,7 @@ def resolve_unknown_locations(
     ).withColumnRenamed("location_id", "_active")
 
     def nearest(state_time: str, direction: str, alias: str) -> DataFrame:
-        found = joins.asof_join(open_ones, enrolled, "patient_id", "encounter_datetime", state_time, ["location_id"],
-                                direction, bucket_days)
+        found = joins.asof_join(open_ones, enrolled, "patient_id", "encounter_datetime", state_time, ["location_id"], direction)
         return found.filter("location_id IS NOT NULL").select("encounter_id", F.col("location_id").alias(alias))
 
     before = nearest("date_completed", "backward", "_before")

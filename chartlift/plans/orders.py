@@ -102,6 +102,12 @@ def _reason_chain(pairs: list[tuple[Column, str | None]]) -> Column:
     return chain
 
 
+# Fixed values of the order tables.
+OUTPATIENT = "6f0c9a92-6f24-11e3-af88-005056821db0"  # the care setting's uuid
+FREE_TEXT_DOSING = "org.openmrs.FreeTextDosingInstructions"
+ORDERER = "f9badd80-ab76-11e2-9e96-0800200c9a66"  # the uuid of the unknown provider
+
+
 def drug_orders(
     regimens: DataFrame, encounters: DataFrame, patients: DataFrame, product_map: DataFrame, as_of,
     number_prefix: str = "REGIMEN-",
@@ -181,6 +187,7 @@ def drug_orders(
         "encounter_id": encounter,
         "new_encounter_uuid": F.when(encounter.isNull(), uuid_name("drug_order_encounter", fresh)),
         "scheduled_date": F.when(F.col("urgency") == "ON_SCHEDULED_DATE", F.col("start_date")),
+        "orderer": F.lit(ORDERER), "voided": F.lit(False), "care_setting": F.lit(OUTPATIENT), "dosing_type": F.lit(FREE_TEXT_DOSING),
     }).drop("_offered")
 
 
@@ -202,8 +209,15 @@ def redate_encounters(encounters: DataFrame, orders: DataFrame) -> DataFrame:
     return kept.withColumn("encounter_datetime", at).drop("_at")
 
 
-def order_rules(orders: DataFrame, encounters: DataFrame, regimens: DataFrame, as_of) -> DataFrame:
-    """The validation rules of the order tables as (rule, expected, actual, passed)."""
+def order_rules(
+    orders: DataFrame, encounters: DataFrame, regimens: DataFrame, as_of, source: DataFrame, drugs: DataFrame
+) -> DataFrame:
+    """The validation rules of the order tables as (rule, expected, actual, passed).
+
+    ``source``: the regimens before staging. ``drugs``: the target's dictionary (drug, drug_concept). The rules over orders are
+    one aggregate over all; the counts of the other tables are one aggregate each.
+    """
+    orders = joins.lookup(orders, drugs, "drug", "drug", "drug_concept", "_drug_concept")
     visit = encounters.select("encounter_id", F.col("patient_id").alias("_visit_patient"), F.to_date("encounter_datetime").alias("_visit_date"))
     rows = orders.join(visit, "encounter_id", "left")
     has_visit = F.col("encounter_id").isNotNull() | F.col("new_encounter_uuid").isNotNull()
@@ -214,9 +228,11 @@ def order_rules(orders: DataFrame, encounters: DataFrame, regimens: DataFrame, a
         "All discontinue orders must have a previous order id": discontinue & F.col("previous_order_uuid").isNull(),
         "All discontinue orders should have an order reason (coded or non-coded)":
             discontinue & F.col("order_reason").isNull() & F.col("order_reason_non_coded").isNull(),
+        "All orders must have non-null voided": F.col("voided").isNull(),
         "All orders must have non-null concept": F.col("concept").isNull(),
         "All orders must have non-null patient": F.col("patient_id").isNull(),
         "All orders must have non-null encounter": ~has_visit,
+        "All orders must have non-null orderer": F.col("orderer").isNull(),
         "All orders must have non-null urgency": F.col("urgency").isNull(),
         "All orders must have non-null action": F.col("order_action").isNull(),
         "No orders can have date activated in the future": F.col("date_activated") > as_of_column(as_of),
@@ -225,6 +241,9 @@ def order_rules(orders: DataFrame, encounters: DataFrame, regimens: DataFrame, a
         "No orders can have a scheduled date unless urgency is on scheduled date": F.col("scheduled_date").isNotNull() & ~scheduled,
         "No orders can have an urgency of on scheduled date if scheduled date is null": F.col("scheduled_date").isNull() & scheduled,
         "All rows must have a non-null as_needed": F.col("as_needed").isNull(),
+        "Dosing type is required if action != DISCONTINUE": ~discontinue & F.col("dosing_type").isNull(),
+        "Concept associated with drug must not have a different concept than the one associated with the order":
+            F.col("_drug_concept") != F.col("concept"),
         "No drug orders should have both a coded and non-coded drug": coded & free,
         "Non-discontinue orders with free text dosing instructions must have non-null dosing instructions":
             ~discontinue & F.col("dosing_instructions").isNull(),
@@ -238,9 +257,11 @@ def order_rules(orders: DataFrame, encounters: DataFrame, regimens: DataFrame, a
         "All orders must have date activated on or after encounter date":
             F.col("new_encounter_uuid").isNotNull() | (F.col("date_activated") >= F.col("_visit_date")),
     }
+    all_rows["All rows are outpatient"] = F.col("care_setting") == OUTPATIENT
     new_orders = orders.filter("order_action = 'NEW'")
+    loaded = quality.assert_counts_match("All data from source should be loaded into staging table", source, regimens)
     counts = quality.assert_counts_match("There should be a new order for all regimes", regimens, new_orders)
-    return quality.check_rules(rows, no_rows, all_rows).unionByName(counts)
+    return quality.check_rules(rows, no_rows, all_rows).unionByName(loaded).unionByName(counts)
 
 
 def discontinue_set_differences(orders: DataFrame, regimens: DataFrame, patients: DataFrame, as_of) -> DataFrame:

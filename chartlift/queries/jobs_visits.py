@@ -562,7 +562,11 @@ def regimen_warnings(t):
 
 @query("k8_order_rules", f"""
     WITH {ORDER_SQL}, k AS (SELECT o_orderkey + 700000 AS eid, o_orderkey * 3 // 40 + 5000 AS vp, o_orderdate::DATE AS vd FROM orders WHERE o_orderkey % 4 <> 0),
-    z AS (SELECT o3.*, vp, vd FROM o3 LEFT JOIN k ON k.eid = encounter)
+    z AS (SELECT *, CASE WHEN urgency <> 'ROUTINE' THEN s END AS scheduled FROM (SELECT o3.*, vp, vd, CASE WHEN act_date = s THEN 'ROUTINE' ELSE 'ON_SCHEDULED_DATE' END AS urgency,
+        CASE WHEN act = 'DISCONTINUE' THEN id || '/NEW' END AS previous, CASE WHEN encounter IS NULL THEN p || '/' || act_date END AS made, CASE WHEN product IN ('prod0', 'prod3') THEN 'drug' END AS coded,
+        CASE WHEN product IN ('prod1', 'prod2', 'prod4') THEN product END AS free, id % 3 = 0 AS prn, false AS voided, 'unknown' AS orderer, 'free text' AS dosing, '{orders.OUTPATIENT}' AS care,
+        CASE product WHEN 'prod0' THEN 'concept0' WHEN 'prod3' THEN 'concept3' END AS own_concept,
+        CASE product WHEN 'prod0' THEN 'concept0' WHEN 'prod1' THEN 'other' WHEN 'prod2' THEN 'concept2' WHEN 'prod3' THEN 'concept3' WHEN 'prod4' THEN 'concept4' END AS concept FROM o3 LEFT JOIN k ON k.eid = encounter))
     SELECT 'All orders must have non-null concept' AS rule, 0::BIGINT AS expected, count(*) FILTER (product = 'prod5') AS actual FROM z
     UNION ALL SELECT 'All discontinue orders should have an order reason (coded or non-coded)', 0, count(*) FILTER (act = 'DISCONTINUE' AND why IS NULL AND words IS NULL) FROM z
     UNION ALL SELECT 'No orders can have date activated after auto expire date', 0, count(*) FILTER (act_date > x) FROM z
@@ -570,16 +574,31 @@ def regimen_warnings(t):
     UNION ALL SELECT 'All orders must be routine or scheduled', count(*), count(*) FILTER (act_date <= s) FROM z
     UNION ALL SELECT 'All orders must have the same patient in the order and the encounter', count(*), count(*) FILTER (encounter IS NULL OR p = vp) FROM z
     UNION ALL SELECT 'All orders must have date activated on or after encounter date', count(*), count(*) FILTER (encounter IS NULL OR act_date >= vd) FROM z
-    UNION ALL SELECT 'There should be a new order for all regimes', (SELECT count(*) FROM r0), count(*) FILTER (act = 'NEW') FROM z
+    UNION ALL SELECT 'All discontinue orders must have a previous order id', 0, count(*) FILTER (act = 'DISCONTINUE' AND previous IS NULL) FROM z
+    UNION ALL SELECT 'All orders must have non-null patient', 0, count(*) FILTER (p IS NULL) FROM z
+    UNION ALL SELECT 'All orders must have non-null encounter', 0, count(*) FILTER (encounter IS NULL AND made IS NULL) FROM z
+    UNION ALL SELECT 'All orders must have non-null urgency', 0, count(*) FILTER (urgency IS NULL) FROM z
+    UNION ALL SELECT 'All orders must have non-null action', 0, count(*) FILTER (act IS NULL) FROM z
+    UNION ALL SELECT 'No orders can have date activated in the future', 0, count(*) FILTER (act_date > DATE '1999-02-01') FROM z
+    UNION ALL SELECT 'No orders can have date activated after date stopped', 0, count(*) FILTER (act_date > stopped) FROM z
+    UNION ALL SELECT 'No orders can have a scheduled date unless urgency is on scheduled date', 0, count(*) FILTER (scheduled IS NOT NULL AND urgency <> 'ON_SCHEDULED_DATE') FROM z
+    UNION ALL SELECT 'No orders can have an urgency of on scheduled date if scheduled date is null', 0, count(*) FILTER (scheduled IS NULL AND urgency = 'ON_SCHEDULED_DATE') FROM z
+    UNION ALL SELECT 'All rows must have a non-null as_needed', 0, count(*) FILTER (prn IS NULL) FROM z
+    UNION ALL SELECT 'No drug orders should have both a coded and non-coded drug', 0, count(*) FILTER (coded IS NOT NULL AND free IS NOT NULL) FROM z
+    UNION ALL SELECT 'Non-discontinue orders with free text dosing instructions must have non-null dosing instructions', 0, count(*) FILTER (act <> 'DISCONTINUE' AND (id % 4 IS NULL OR id % 8 IS NULL)) FROM z
+    UNION ALL SELECT 'All orders must have non-null voided', 0, count(*) FILTER (voided IS NULL) FROM z
+    UNION ALL SELECT 'All orders must have non-null orderer', 0, count(*) FILTER (orderer IS NULL) FROM z
+    UNION ALL SELECT 'Dosing type is required if action != DISCONTINUE', 0, count(*) FILTER (act <> 'DISCONTINUE' AND dosing IS NULL) FROM z
+    UNION ALL SELECT 'Concept associated with drug must not have a different concept than the one associated with the order', 0, count(*) FILTER (own_concept <> concept) FROM z
+    UNION ALL SELECT 'All rows are outpatient', count(*), count(*) FILTER (care = '{orders.OUTPATIENT}') FROM z
+    UNION ALL SELECT 'All data from source should be loaded into staging table', (SELECT count(*) FROM r0), (SELECT count(*) FROM r)
+    UNION ALL SELECT 'There should be a new order for all regimes', (SELECT count(*) FROM r), count(*) FILTER (act = 'NEW') FROM z
 """)
 def order_rules(t):
-    shown = [
-        "All orders must have non-null concept", "All discontinue orders should have an order reason (coded or non-coded)", "No orders can have date activated after auto expire date",
-        "All drug orders must have a coded or non-coded drug", "All orders must be routine or scheduled", "All orders must have the same patient in the order and the encounter",
-        "All orders must have date activated on or after encounter date", "There should be a new order for all regimes",
-    ]
-    rules = orders.order_rules(_orders(t), _order_encounters(t), _regimens(t), REGIMEN_AS_OF)
-    return rules.filter(F.col("rule").isin(shown)).select("rule", "expected", "actual")
+    # the source holds the regimens of all patients, the staged table those of known ones
+    staged = _regimens(t).join(s.patient_ids(t), "source_patient_id", "left_semi")
+    rules = orders.order_rules(_orders(t), _order_encounters(t), staged, REGIMEN_AS_OF, _regimens(t), _product_map(t).where("drug IS NOT NULL"))
+    return rules.select("rule", "expected", "actual")
 
 
 @query("k8_discontinue_sets", f"""

@@ -170,6 +170,22 @@ def pair_with_pool(t):
     return paired.select("s_suppkey", "c_name")
 
 
+@query("i3_pool_allocation", """
+    WITH a AS (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) AS n FROM supplier),
+         b AS (SELECT c_name, row_number() OVER (ORDER BY c_name) AS n FROM customer),
+         u AS (SELECT 'many members' AS pool, s_suppkey AS id, c_name AS member, a.n AS r, b.n AS m FROM a FULL JOIN b USING (n)),
+         v AS (SELECT 'few members' AS pool, c_custkey AS id, s_name AS member, x.n AS r, y.n AS m FROM (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS n FROM customer) x
+               FULL JOIN (SELECT s_name, row_number() OVER (ORDER BY s_name) AS n FROM supplier) y USING (n))
+    SELECT pool, id, member, CASE WHEN m IS NULL THEN 'unassigned' WHEN r IS NULL THEN 'unused' ELSE 'assigned' END AS allocation FROM (SELECT * FROM u UNION ALL SELECT * FROM v)
+""")
+def pool_allocation(t):
+    many = keys.allocate_from_pool(t.supplier.select("s_suppkey"), t.customer.select("c_name"), ["s_suppkey"], ["c_name"])
+    few = keys.allocate_from_pool(t.customer.select("c_custkey"), t.supplier.select("s_name"), ["c_custkey"], ["s_name"])
+    return many.select(F.lit("many members").alias("pool"), F.col("s_suppkey").alias("id"), F.col("c_name").alias("member"), "allocation").unionByName(
+        few.select(F.lit("few members").alias("pool"), F.col("c_custkey").alias("id"), F.col("s_name").alias("member"), "allocation")
+    )
+
+
 @query("i4_natural_to_surrogate", "SELECT o_orderkey, c_custkey + 5000 AS person_id FROM orders JOIN customer ON o_custkey = c_custkey")
 def natural_to_surrogate(t):
     id_map = t.customer.select(F.col("c_custkey").alias("o_custkey"), (F.col("c_custkey") + 5000).alias("person_id"))

@@ -258,7 +258,7 @@ def join_interval(t):
     WHERE event_type = 'error' GROUP BY event_id, e.user_id
 """)
 def asof_backward(t):
-    matched = joins.asof_join(errors(t), enrolments(t), "user_id", "ts", "completed", ["place"], "backward", bucket_days=7)
+    matched = joins.asof_join(errors(t), enrolments(t), "user_id", "ts", "completed", ["place"], "backward")
     return matched.filter("matched_at IS NOT NULL").select(
         "event_id", "user_id", "place", F.date_format("matched_at", "yyyy-MM-dd HH:mm:ss").alias("completed")
     )
@@ -271,7 +271,7 @@ def asof_backward(t):
     WHERE event_type = 'error' GROUP BY event_id, e.user_id
 """)
 def asof_forward(t):
-    matched = joins.asof_join(errors(t), enrolments(t), "user_id", "ts", "started", ["place"], "forward", bucket_days=7)
+    matched = joins.asof_join(errors(t), enrolments(t), "user_id", "ts", "started", ["place"], "forward")
     return matched.filter("matched_at IS NOT NULL").select(
         "event_id", "user_id", "place", F.date_format("matched_at", "yyyy-MM-dd HH:mm:ss").alias("started")
     )

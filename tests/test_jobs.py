@@ -122,6 +122,22 @@ def test_regimen_dates_and_orders(spark):
     assert second.encounter_id == 510  # same patient and activation date
     assert third.encounter_id is None and third.new_encounter_uuid and third.concept is None and third.order_reason is None
     assert first.dosing_instructions == "1 /day x 1 days/week" and first.as_needed is False
+    # rules over several tables: one row of each kind is broken on purpose
+    made = orders.drug_orders(regimens, visits, patients, products, "2020-01-01")
+    dates_of = visits.selectExpr("encounter_id", "101 AS patient_id", "DATE '2010-04-01' AS encounter_datetime")
+    drugs = spark.createDataFrame([("drugA", "another concept")], "drug string, drug_concept string")
+    broken = made.withColumns({
+        "voided": F.when(F.col("source_regime_id") != 1, F.col("voided")), "orderer": F.when(F.col("source_regime_id") != 2, F.col("orderer")),
+        "dosing_type": F.when(F.col("source_regime_id") != 1, F.col("dosing_type")),
+        "care_setting": F.when(F.col("source_regime_id") == 3, "elsewhere").otherwise(F.col("care_setting")),
+    })
+    rules = {r.rule: (r.expected, r.actual) for r in orders.order_rules(broken, dates_of, regimens, "2020-01-01", regimens.limit(2), drugs).collect()}
+    assert len(rules) == 26
+    assert rules["All orders must have non-null voided"] == (0, 2) and rules["All orders must have non-null orderer"] == (0, 1)
+    assert rules["Dosing type is required if action != DISCONTINUE"] == (0, 1) and rules["All rows are outpatient"] == (4, 3)
+    assert rules["Concept associated with drug must not have a different concept than the one associated with the order"] == (0, 2)
+    assert rules["All data from source should be loaded into staging table"] == (2, 3)
+    assert rules["There should be a new order for all regimes"] == (3, 3)
 
 
 def test_contacts_merge(spark, rows):

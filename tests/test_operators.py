@@ -19,7 +19,7 @@ def test_asof_join_against_brute_force(spark):
     frame = spark.createDataFrame(events, "id int, k int, t timestamp")
     other = spark.createDataFrame(states, "k int, s timestamp, place int")
     for direction in ("backward", "forward"):
-        found = {r.id: r.place for r in joins.asof_join(frame, other, "k", "t", "s", ["place"], direction, bucket_days=11).collect()}
+        found = {r.id: r.place for r in joins.asof_join(frame, other, "k", "t", "s", ["place"], direction).collect()}
         assert len(found) == len(events)
         for i, k, t in events:
             near = [(s, p) for key, s, p in states if t is not None and key == k and ((s < t) if direction == "backward" else (s > t))]
@@ -163,3 +163,40 @@ def test_endless_intervals_take_the_buckets_of_the_events(spark):
     states = spark.sql("SELECT 1 AS k, timestamp'0001-01-01 00:00:00' AS a, timestamp'9999-12-31 00:00:00' AS b, 7 AS v UNION ALL SELECT 1, timestamp'2020-02-01 00:00:00', NULL, 8")
     found = joins.interval_join(events, states, "k", "t", "a", "b")
     assert sorted((r.id, r.v) for r in found.select("id", "v").collect()) == [(1, 7), (2, 7), (2, 8)]
+
+
+def test_a_hot_key_is_many_even_segments(spark):
+    """A key with most of the rows, all of them within one day, spreads over the parts of the scan."""
+    rows = spark.range(40_000).select(
+        F.when(F.col("id") % 10 < 8, 1).otherwise(F.col("id")).alias("k"),
+        (F.lit("2020-01-01").cast("timestamp").cast("long") * 1_000_000 + F.col("id") * 1000).alias("_t"),
+        F.when(F.col("id") % 7 == 0, F.col("id")).alias("found"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # these few rows would be one part
+    try:
+        sequence = joins.segmented(rows.repartition(8), "k", "_t")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r["count"] for r in sequence.groupBy("_part").count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    assert sequence.where("k = 1").select("_part").distinct().count() >= len(sizes) - 2
+    found = {(r.k, r._t): r.last for r in joins.last_before(sequence, "k", ["_t"], "found", "last").collect()}
+    last, expected = {}, {}
+    for r in sorted(rows.collect(), key=lambda r: (r.k, r._t)):
+        if r.found is not None:
+            last[r.k] = r.found
+        expected[r.k, r._t] = last.get(r.k)
+    assert found == expected
+
+
+def test_pool_shortage_shows_and_raises(spark):
+    people, pool = spark.createDataFrame([(i,) for i in range(4)], "id int"), spark.createDataFrame([("x",), ("y",)], "value string")
+    made = keys.allocate_from_pool(people, pool, ["id"], ["value"])
+    assert sorted((r.allocation, r.id, r.value) for r in made.collect()) == [
+        ("assigned", 0, "x"), ("assigned", 1, "y"), ("unassigned", 2, None), ("unassigned", 3, None)]
+    turned = keys.allocate_from_pool(pool, people, ["value"], ["id"])
+    assert sorted((r.allocation, r.id) for r in turned.collect()) == [("assigned", 0), ("assigned", 1), ("unused", 2), ("unused", 3)]
+    assert keys.pair_with_pool(pool, people, ["value"], ["id"], "raise").count() == 2
+    with pytest.raises(PySparkException, match="no member"):
+        keys.pair_with_pool(people, pool, ["id"], ["value"], "raise").collect()
+    assert keys.allocate_from_pool(people.limit(0), pool.limit(0), ["id"], ["value"]).count() == 0

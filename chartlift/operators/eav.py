@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from chartlift.functions.columns import ColumnLike, as_column
 from chartlift.functions.ids import uuid_name
+from chartlift.operators.joins import attach
 
 DRAFT_TYPES = {
     "obs_key": "string",
@@ -254,11 +255,12 @@ def resolve_obs(
         one_each = concepts.groupBy("ref").agg(F.min("concept_id").alias("concept_id"))
         questions = one_each.select(F.col("ref").alias("concept"), F.col("concept_id").alias("_question"))
         answers = one_each.select(F.col("ref").alias("value_coded"), F.col("concept_id").alias("_answer"))
-        joined = joined.join(questions, "concept", "left").join(answers, "value_coded", "left")
+        # a frequent concept is a hot key
+        joined = attach(attach(joined, questions, ["concept"], "left"), answers, ["value_coded"], "left")
         question, answer = F.col("_question"), F.col("_answer")
     if drugs is not None:
         one_each = drugs.groupBy(F.col("ref").alias("value_drug")).agg(F.min("drug_id").alias("_drug"))
-        joined = joined.join(one_each, "value_drug", "left")
+        joined = attach(joined, one_each, ["value_drug"], "left")
         drug = F.col("_drug")
     return joined.select(
         "obs_key", "group_key", "person_id", "encounter_id",

@@ -133,7 +133,7 @@ def drug_orders(
         F.min("concept").alias("_concept"), F.min("drug").alias("_drug"), F.min("drug_concept").alias("_drug_concept"),
         F.lit(True).alias("_mapped"),
     )
-    located = located.join(products, "product_name", "left")
+    located = joins.attach(located, products, ["product_name"], "left")
 
     stopped = F.col("cleaned_close_date")
     actions = F.explode(F.array(

@@ -404,7 +404,7 @@ def registration_obs(birthplaces: DataFrame, socioeconomics: DataFrame, jobs: Da
     birth = eav.emit(birthplaces, "birthplace", ["source_patient_id"], "source_patient_id", [group])
 
     codes = jobs.groupBy(F.col("entry").alias("primary_activity")).agg(F.min("ref").alias("_ref"))
-    coded = socioeconomics.join(codes, "primary_activity", "left")
+    coded = joins.attach(socioeconomics, codes, ["primary_activity"], "left")
     status = F.coalesce(filters.case_map(F.upper(F.trim("civil_status")), CIVIL_STATUS), F.lit("LOCAL:OTHER"))
     job = F.coalesce("_ref", F.lit("LOCAL:OTHER"))
     unmapped = F.when(F.col("_ref").isNull() | (F.col("_ref") == "LOCAL:OTHER"), F.col("primary_activity"))

@@ -12,7 +12,8 @@ where a and b are the numbers that each shares with h. Either the link needs no
 nearly reach the similarity with h, and partners smaller than h, allow; these few are compared. Or f and p share a
 shingle that h lacks: then they meet in the group of that shingle among those compared with h (a prefix of each set's
 shingles outside h, in hash order, is enough). In groups of at most SMALL to LARGEST, the pairs of two components are compared
-whose sizes and overlaps with h allow a link; a larger group has a hub of its own, lighter than h. This is repeated among those
+whose sizes, overlaps with h, shingles from the shared one on and parities of shingles allow a link (two linked sets
+differ in at most a seventh of both sizes); a larger group has a hub of its own, lighter than h. This is repeated among those
 compared with the new hubs until no pair is left to compare. As hubs get lighter, the search ends, and members linked with
 each other are by then compared or in one component. Only families that the last round added to are searched again,
 since the others have the groups they had. Every link is confirmed on the full shingle sets.
@@ -41,6 +42,7 @@ COORDINATES = 128
 BANDS = 64
 SMALL = 64  # in the first round; four times as many in each further one, up to LARGEST
 LARGEST = 1024
+MARKS = 1024
 _OFFSETS = np.array([0, 5, 17, 38, 75, 104])  # the coordinates of a band; few bands share two of them
 _SHIFT = np.uint32(0x9E3779B1)
 
@@ -110,11 +112,20 @@ def sketch(docs: DataFrame) -> DataFrame:
     return map_texts(docs, make, "doc_id long, n_shingles long, digest binary, bands array<long>")
 
 
-_TESTED = "u long, v long, linked boolean, n_u long, n_v long, joint long, outside array<long>, deep boolean"
+def parities(own: np.ndarray) -> np.ndarray:
+    """MARKS bits as 64-bit words: whether an odd number of the set's shingles falls on each bit.
+
+    A bit that differs between two sets needs a shingle that only one of them has.
+    """
+    odd = np.bincount((own >> np.uint64(20)).astype(np.int64) % MARKS, minlength=MARKS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+_TESTED = "u long, v long, linked boolean, n_u long, n_v long, joint long, outside array<long>, marks array<long>, deep boolean"
 
 
 def _compare(batches):
-    """Each pair's sizes and overlap, and the prefix of u's shingles outside v that a further link of u would need."""
+    """Each pair's sizes and overlap, the prefix of u's shingles outside v that a further link of u would need, and u's parities."""
     known: dict[int, np.ndarray] = {}  # the hubs of the last batch
     for batch in pieces(batches):
         hubs, others = batch.column("v").to_pylist(), batch.column("other").to_pylist()
@@ -122,19 +133,21 @@ def _compare(batches):
         sets = dict(zip(fresh, shingle_sets(list(fresh.values()), SHINGLE), strict=True))
         sets.update((h, known[h]) for h in set(hubs) if h in known)
         owns = shingle_sets(batch.column("text").to_pylist(), SHINGLE)
-        joints, outside = [], []
+        joints, outside, marks = [], [], []
         for hub, own, deep in zip(hubs, owns, batch.column("deep").to_pylist(), strict=True):
             inside = np.isin(own, sets[hub], assume_unique=True)
             joints.append(int(inside.sum()))
             # A link of u shares at least 0.75 of u's shingles, so this many at least lie outside the hub.
             needed = max(1, -(-PERCENT * len(own) // 100) - joints[-1])
             outside.append(own[~inside][: max(0, len(own) - joints[-1] - needed + 1)].view(np.int64) if deep else [])
+            marks.append(parities(own) if deep else [])
         known = sets
         sizes = [(len(o), len(sets[h])) for o, h in zip(owns, hubs, strict=True)]
         linked = [100 * j >= PERCENT * (a + b - j) for j, (a, b) in zip(joints, sizes, strict=True)]
         columns = [batch.column("u"), batch.column("v"), pa.array(linked, pa.bool_()), pa.array([a for a, _ in sizes], pa.int64())]
-        columns += [pa.array([b for _, b in sizes], pa.int64()), pa.array(joints, pa.int64()), pa.array(outside, pa.list_(pa.int64())), batch.column("deep")]
-        yield pa.RecordBatch.from_arrays(columns, names=["u", "v", "linked", "n_u", "n_v", "joint", "outside", "deep"])
+        columns += [pa.array([b for _, b in sizes], pa.int64()), pa.array(joints, pa.int64())]
+        columns += [pa.array(lists, pa.list_(pa.int64())) for lists in (outside, marks)] + [batch.column("deep")]
+        yield pa.RecordBatch.from_arrays(columns, names=["u", "v", "linked", "n_u", "n_v", "joint", "outside", "marks", "deep"])
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -155,18 +168,24 @@ def _families(tested: DataFrame, grown: DataFrame, labels: DataFrame, weights: D
 
 def _shared_outside(families: DataFrame, small_size: int) -> DataFrame:
     """From the groups that share a shingle their first hub lacks: members and hubs, or the possible pairs of small groups (not deep)."""
-    keyed = families.select("u", "weight", "component", "n_u", "joint", F.explode("outside").alias("shingle"), "v")
-    keyed = keyed.select("u", "weight", "component", "n_u", "joint", F.xxhash64("v", "shingle").alias("group"))
+    keyed = families.select("u", "weight", "component", "n_u", "joint", F.posexplode("outside").alias("place", "shingle"), "v")
+    rest = (F.col("n_u") - F.col("joint") - F.col("place")).alias("rest")  # the shingles outside the hub from this one on
+    keyed = keyed.select("u", "weight", "component", "n_u", "joint", rest, F.xxhash64("v", "shingle").alias("group"))
     best = F.max(F.struct(F.col("weight"), (-F.col("u")).alias("id"))).alias("hub")
     groups = keyed.groupBy("group").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"), best)
     groups = groups.where("lo < hi").select("group", "n", (-F.col("hub.id")).alias("v"))
     met = attach(keyed, groups, ["group"])
     large = met.where((F.col("n") > small_size) & (F.col("u") != F.col("v"))).select("u", "v", F.lit(True).alias("deep"))
-    small = met.where(F.col("n") <= small_size).groupBy("group").agg(F.collect_list(F.struct("u", "component", "n_u", "joint")).alias("members"))
+    marks = families.groupBy("u").agg(F.first("marks").alias("marks"))  # a set has the same marks in every family
+    small = met.where(F.col("n") <= small_size).join(marks, "u")
+    small = small.groupBy("group").agg(F.collect_list(F.struct("u", "component", "n_u", "joint", "rest", "marks")).alias("members"))
 
     def possible(a, b):
-        most = F.least(a["joint"], b["joint"]) + F.least(a["n_u"] - a["joint"], b["n_u"] - b["joint"])
-        return (a["u"] > b["u"]) & (a["component"] != b["component"]) & (7 * most >= 3 * (a["n_u"] + b["n_u"]))
+        # At the first shingle that a link shares outside the hub, none before it is shared; at a later one the pair need not be found again.
+        most = F.least(a["joint"], b["joint"]) + F.least(a["rest"], b["rest"])
+        apart = sum((F.bit_count(a["marks"][i].bitwiseXOR(b["marks"][i])) for i in range(MARKS // 64)), F.lit(0))
+        sizes = a["n_u"] + b["n_u"]
+        return (a["u"] > b["u"]) & (a["component"] != b["component"]) & (7 * most >= 3 * sizes) & (7 * apart <= sizes)
 
     def partners(a):
         return F.transform(F.filter("members", lambda b: possible(a, b)), lambda b: F.struct(a["u"].alias("u"), b["u"].alias("v")))

@@ -22,3 +22,16 @@ def test_links_behind_several_hubs(spark, monkeypatch, small):
     bands = {1: [1, 2, 3], 2: [1, 2, 3], 3: [1, 2], 4: [1], 5: [1]}  # 1 is the heaviest, then 2, then 3
     unique = spark.createDataFrame([*bands.items()], "doc_id long, bands array<long>")
     assert sorted(tuple(r) for r in minhash_dedup.link(unique, docs).collect()) == [(3, 1), (5, 4)]
+
+
+def test_parities_never_claim_more_than_the_sets_differ():
+    from chartlift.llm.minhash_dedup import MARKS, parities
+
+    rng = np.random.default_rng(5)
+    for size, changed in ((0, 0), (1, 1), (40, 3), (300, 300), (5000, 900)):
+        common = rng.integers(0, 2**63, size).astype(np.uint64)
+        more = rng.integers(0, 2**63, changed).astype(np.uint64)
+        first, second = parities(common), parities(np.concatenate([common, more]))
+        apart = sum(int(x).bit_count() for x in (first ^ second).view(np.uint64))
+        assert len(first) * 64 == MARKS and apart <= changed
+        assert changed < 10 or apart > min(changed, MARKS) / 4

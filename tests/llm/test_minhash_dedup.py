@@ -1,5 +1,6 @@
 """Links that miss their hub and the hubs of the groups outside it."""
 
+import numpy as np
 import pytest
 
 from chartlift.llm import minhash_dedup

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,7 +72,7 @@ def responsible_person_facts(intake_extra: DataFrame) -> DataFrame:
     named = intake_extra.filter(F.coalesce(*fields).isNotNull())
     return named.select(
         ENCOUNTER, F.concat_ws(" ", "responsible_first_name", "responsible_first_name2").alias("first_name"),
-        F.col("responsible_last_name").alias("last_name"), F.col("responsible_relation").alias("relationship"),
+        F.col("responsible_last_name").alias("last_name"), F.col("responsible_dossier_id").alias("dossier_id"), F.col("responsible_relation").alias("relationship"),
     )
 
 
@@ -130,12 +131,19 @@ def list_rows(lists: dict[str, DataFrame], key: str) -> dict[str, DataFrame]:
 
 
 def nest(base: DataFrame, key: str, lists: dict[str, DataFrame]) -> DataFrame:
-    """Base rows, one for each key, with one sorted ``array<struct>`` per list of children (null without any)."""
-    rows = base
-    for name, frame in lists.items():
-        columns = [c for c in frame.columns if c != key]
-        rows = rows.join(aggregates.collect_nested(frame, [key], columns, name), key, "left")
-    return rows
+    """Base rows, one for each key, with one sorted ``array<struct>`` per list of children (null without any).
+
+    All lists travel as one frame, a child in the column of its list, so that one shuffle folds them and one join
+    brings them to the base rows, however many lists there are. Children without a key drop out.
+    """
+    if not lists:
+        return base
+    tagged = [
+        frame.filter(F.col(key).isNotNull()).select(key, F.struct(*[c for c in frame.columns if c != key]).alias(name)) for name, frame in lists.items()
+    ]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    folded = rows.groupBy(key).agg(*[F.sort_array(F.collect_list(name)).alias(name) for name in lists])
+    return base.join(folded.select(key, *[F.when(F.size(name) > 0, F.col(name)).alias(name) for name in lists]), key, "left")
 
 
 @dataclass(frozen=True)

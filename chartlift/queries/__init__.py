@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["sources", "relational", "scalar", "records", "jobs_people", "jobs_visits", "jobs_forms", "documents"]
+MODULES = ["sources", "relational", "scalar", "records", "jobs_people", "jobs_visits", "jobs_forms", "documents", "facts"]
 
 
 def load_all() -> None:

@@ -44,23 +44,36 @@ def _sources(t):
     }
 
 
+# All kinds of documents with their encounters' types, and the lists of labs and orders as text.
+DOCS_SQL = f"""{ENC}, {LAB_SQL}, xl AS (SELECT source_encounter_id AS id, string_agg(lab_test || ':' || strftime(day, '%Y-%m-%d') || ':' || result, ',' ORDER BY lab_test, day, result) AS listed FROM x WHERE result IS NOT NULL GROUP BY 1),
+    ol AS (SELECT l_orderkey AS id, string_agg(l_linenumber || l_linestatus, ',' ORDER BY l_linenumber, l_linestatus) AS listed FROM lineitem GROUP BY 1),
+    k(kind, type) AS (VALUES ('intake', 'intake'), ('followup', 'followup'), ('patient_contact', 'patient_contact'), ('cervical_cancer', 'cervical_cancer'), ('nutritional_evaluation', 'food_study'), ('lab_result', 'lab_result'),
+        ('food_support', 'food_support'), ('regimen_change', 'regime'), ('medication_pickup', 'accompagnateur'), ('note', 'note'), ('pregnancy_entry', 'pregnancy'), ('postnatal', 'infant_followup')),
+    d AS (SELECT kind, enc.*, CASE WHEN kind IN ('intake', 'followup', 'patient_contact', 'cervical_cancer', 'nutritional_evaluation', 'lab_result') THEN xl.listed END AS labs, CASE WHEN kind IN ('intake', 'followup') THEN ol.listed END AS ordered
+        FROM enc JOIN k ON source_encounter_type = type LEFT JOIN xl ON xl.id = source_encounter_id LEFT JOIN ol ON ol.id = source_encounter_id WHERE kind <> 'note' OR note_title IS NULL OR note_title <> 'Uploaded from')"""
+
+
+def _lab_text(labs):
+    return F.array_join(F.transform(labs, lambda x: F.concat_ws(":", x["lab_test"], day_text(x["test_date"]), x["result"])), ",")
+
+
 @query("l9_patient_document", f"""
-    WITH {ENC}
-    SELECT c_custkey AS source_patient_id, c_name, count(*) FILTER (source_encounter_type = 'intake') AS intakes, count(*) FILTER (source_encounter_type = 'note') AS notes,
-        CASE WHEN count(*) FILTER (source_encounter_type = 'intake') > 0 THEN min(source_encounter_id) FILTER (source_encounter_type = 'intake') END AS first_intake
-    FROM customer LEFT JOIN enc ON source_patient_id = c_custkey GROUP BY 1, 2
+    WITH {DOCS_SQL}
+    SELECT c_custkey AS source_patient_id, c_name, {", ".join(f"string_agg(source_encounter_id || '@' || strftime(encounter_date, '%Y-%m-%d') || '[' || coalesce(labs, '') || ']', ' ' ORDER BY source_encounter_id) FILTER (kind = '{k}') AS {k}" for k in docs.DOCUMENTS)}
+    FROM customer LEFT JOIN d ON source_patient_id = c_custkey GROUP BY 1, 2
 """)
 def patient_document(t):
-    visits = s.encounters(t, KINDS)
-    slim = visits.select("source_patient_id", "source_encounter_id", "encounter_date", "comments")
-    kind = visits.select("source_encounter_id", "source_encounter_type")
-    lists = {
-        name: slim.join(kind.filter(F.col("source_encounter_type") == type_), "source_encounter_id", "left_semi").select("source_patient_id", "source_encounter_id", "encounter_date", "comments")
-        for name, type_ in (("intakes", "intake"), ("notes", "note"))
-    }
+    visits, sources = s.encounters(t, KINDS), _sources(t)
+    lists = {kind: docs.encounter_documents(kind, visits, sources) for kind in docs.DOCUMENTS}
     nested = docs.patient_documents(t.customer.select(F.col("c_custkey").alias("source_patient_id"), "c_name"), lists)
-    size = {name: F.when(F.col(name).isNull(), F.lit(0)).otherwise(F.size(name)).cast("long").alias(name) for name in lists}
-    return nested.select("source_patient_id", "c_name", *size.values(), F.get("intakes", F.lit(0))["source_encounter_id"].alias("first_intake"))
+
+    def text(kind):
+        column = next((c for c in ("exam_labs", "labs") if c in lists[kind].columns), None)
+        one = lambda d: F.concat(d["source_encounter_id"].cast("string"), F.lit("@"), day_text(d["encounter_date"]), F.lit("["),
+                                 F.coalesce(_lab_text(d[column]), F.lit("")) if column else F.lit(""), F.lit("]"))
+        return F.array_join(F.transform(kind, one), " ").alias(kind)
+
+    return nested.select("source_patient_id", "c_name", *[text(kind) for kind in lists])
 
 
 @query("l9_patient_json", f"""
@@ -96,11 +109,12 @@ def intake_documents(t):
 
 
 @query("l10_encounter_documents", f"""
-    WITH {ENC}, {LAB_SQL}, xc AS (SELECT source_encounter_id, count(*) AS n FROM x WHERE result IS NOT NULL GROUP BY 1),
-    k(kind, type) AS (VALUES ('followup', 'followup'), ('patient_contact', 'patient_contact'), ('cervical_cancer', 'cervical_cancer'), ('nutritional_evaluation', 'food_study'), ('lab_result', 'lab_result'), ('food_support', 'food_support'),
-        ('regimen_change', 'regime'), ('medication_pickup', 'accompagnateur'), ('note', 'note'), ('pregnancy_entry', 'pregnancy'), ('postnatal', 'infant_followup'))
-    SELECT kind, enc.source_encounter_id, CASE WHEN kind IN ('followup', 'patient_contact', 'cervical_cancer', 'nutritional_evaluation', 'lab_result') THEN coalesce(n, 0) ELSE 0 END AS labs
-    FROM enc JOIN k ON source_encounter_type = type LEFT JOIN xc ON xc.source_encounter_id = enc.source_encounter_id WHERE kind <> 'note' OR note_title IS NULL OR note_title <> 'Uploaded from'
+    WITH {DOCS_SQL}
+    SELECT kind, d.source_encounter_id, labs, ordered, CASE WHEN kind = 'followup' THEN o_orderpriority END AS progress, CASE WHEN kind = 'followup' AND o_orderkey % 2 = 0 THEN o_orderstatus END AS presenting_complaint,
+        CASE WHEN kind IN ('followup', 'cervical_cancer', 'pregnancy_entry') AND o_orderkey % 3 = 0 THEN o_orderstatus END AS who_stage,
+        CASE WHEN kind IN ('followup', 'patient_contact', 'nutritional_evaluation') THEN round(CASE WHEN (event_id // 12) % 3 = 0 THEN CASE WHEN (event_id // 36) % 2 = 0 THEN value ELSE value / 2.20462 END END, 6) END AS weight,
+        CASE WHEN kind IN ('followup', 'patient_contact', 'nutritional_evaluation') THEN round(CASE WHEN (event_id // 12) % 3 = 1 THEN CASE WHEN value < 3 THEN round(value * 100, 1) ELSE value END END, 6) END AS height, d.comments, d.note_title
+    FROM d JOIN orders ON o_orderkey = d.source_encounter_id LEFT JOIN events ON event_id = o_orderkey WHERE kind <> 'intake'
 """)
 def encounter_documents(t):
     visits, sources = s.encounters(t, KINDS), _sources(t)
@@ -110,8 +124,11 @@ def encounter_documents(t):
             continue
         rows = docs.encounter_documents(kind, visits, sources)
         column = next((c for c in ("exam_labs", "labs") if c in rows.columns), None)
-        labs = F.coalesce(F.when(F.col(column).isNotNull(), F.size(column)), F.lit(0)).cast("long") if column else F.lit(0).cast("long")
-        one = rows.select(F.lit(kind).alias("kind"), "source_encounter_id", labs.alias("labs"))
+        labs = _lab_text(F.col(column)) if column else F.lit(None).cast("string")
+        ordered = F.array_join(F.transform("generic_orders", lambda x: F.concat(x["ordered"].cast("string"), x["comments"])), ",") if "generic_orders" in rows.columns else F.lit(None).cast("string")
+        texts = [F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in ("progress", "presenting_complaint", "who_stage")]
+        signs = [(F.round(c, 6) if c in rows.columns else F.lit(None).cast("double")).alias(c) for c in ("weight", "height")]
+        one = rows.select(F.lit(kind).alias("kind"), "source_encounter_id", labs.alias("labs"), ordered.alias("ordered"), *texts, *signs, "comments", "note_title")
         result = one if result is None else result.unionByName(one)
     return result
 
@@ -188,15 +205,15 @@ def lab_result_facts(t):
 
 
 @query("l12_responsible_persons", """
-    SELECT o_orderkey AS source_encounter_id, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus || ' ' || o_orderpriority ELSE o_orderpriority END AS first_name, CASE WHEN o_orderkey % 5 = 0 THEN 'Last' END AS last_name FROM orders
+    SELECT o_orderkey AS source_encounter_id, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus || ' ' || o_orderpriority ELSE o_orderpriority END AS first_name, CASE WHEN o_orderkey % 5 = 0 THEN 'Last' END AS last_name, CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus END AS dossier_id FROM orders
 """)
 def responsible_persons(t):
     key, nothing = F.col("o_orderkey"), F.lit(None).cast("string")
     rows = t.orders.select(
         key.alias("source_encounter_id"), F.when(key % 2 == 0, F.col("o_orderstatus")).alias("responsible_first_name"), F.col("o_orderpriority").alias("responsible_first_name2"),
-        F.when(key % 5 == 0, "Last").alias("responsible_last_name"), nothing.alias("responsible_dossier_id"), nothing.alias("responsible_relation"),
+        F.when(key % 5 == 0, "Last").alias("responsible_last_name"), F.when(key % 3 == 0, F.col("o_orderstatus")).alias("responsible_dossier_id"), nothing.alias("responsible_relation"),
     )
-    return docs.responsible_person_facts(rows).select("source_encounter_id", "first_name", "last_name")
+    return docs.responsible_person_facts(rows).select("source_encounter_id", "first_name", "last_name", "dossier_id")
 
 
 @query("l12_vital_facts", """

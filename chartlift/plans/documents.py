@@ -130,11 +130,12 @@ def list_rows(lists: dict[str, DataFrame], key: str) -> dict[str, DataFrame]:
     return {name: aggregates.child_rows(f, [key], [c for c in f.columns if c != key]) for name, f in lists.items()}
 
 
-def nest(base: DataFrame, key: str, lists: dict[str, DataFrame]) -> DataFrame:
+def nest(base: DataFrame, key: str, lists: dict[str, DataFrame], scope: DataFrame | None = None) -> DataFrame:
     """Base rows, one for each key, with one sorted ``array<struct>`` per list of children (null without any).
 
     All lists travel as one frame, a child in the column of its list, so that one shuffle folds them and one join
-    brings them to the base rows, however many lists there are. Children without a key drop out.
+    brings them to the base rows, however many lists there are. Children without a key drop out; with a ``scope`` of
+    keys, those of other keys leave before they are folded.
     """
     if not lists:
         return base
@@ -142,6 +143,8 @@ def nest(base: DataFrame, key: str, lists: dict[str, DataFrame]) -> DataFrame:
         frame.filter(F.col(key).isNotNull()).select(key, F.struct(*[c for c in frame.columns if c != key]).alias(name)) for name, frame in lists.items()
     ]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    if scope is not None:
+        rows = rows.join(scope, key, "left_semi")
     folded = rows.groupBy(key).agg(*[F.sort_array(F.collect_list(name)).alias(name) for name in lists])
     return base.join(folded.select(key, *[F.when(F.size(name) > 0, F.col(name)).alias(name) for name in lists]), key, "left")
 
@@ -198,8 +201,7 @@ def encounter_documents(
     if observations is not None and properties:
         named = observations.join(scope, ENCOUNTER, "left_semi")
         rows = rows.join(eav.eav_pivot(named, [ENCOUNTER], "observation", "value", properties), ENCOUNTER, "left")
-    lists = {name: sources[name].join(scope, ENCOUNTER, "left_semi") for name in shape.lists if name in sources}
-    return nest(rows, ENCOUNTER, lists)
+    return nest(rows, ENCOUNTER, {name: sources[name] for name in shape.lists if name in sources}, scope)
 
 
 def patient_documents(patients: DataFrame, lists: dict[str, DataFrame]) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from chartlift.functions.columns import ColumnLike, as_column
 from chartlift.functions.ids import uuid_name
 from chartlift.operators.joins import attach
+from chartlift.operators.keys import assign_ids, next_id
 
 DRAFT_TYPES = {
     "obs_key": "string",
@@ -271,3 +272,20 @@ def resolve_obs(
         "accession_number", F.lit(1).alias("creator"), "date_created", F.lit(False).alias("voided"),
         uuid_name(job_table, "obs_key").alias("uuid"),
     )
+
+
+def number_obs(obs: DataFrame, target: DataFrame) -> DataFrame:
+    """Resolved observations with ``obs_id`` and ``obs_group_id``, ready for the target.
+
+    ``target`` (obs_id, uuid) is what has been loaded: an observation found there by its uuid keeps its number, so a second
+    run changes nothing; the others continue after the greatest number, in the order of their keys. Children find
+    their parent's number by its key; a child whose parent is not among the observations stays ungrouped.
+    """
+    loaded = target.select("uuid", F.col("obs_id").cast("long").alias("obs_id"))
+    matched = obs.join(loaded, "uuid", "left")
+    fresh = assign_ids(matched.filter(F.col("obs_id").isNull()).drop("obs_id"), ["obs_key"], "obs_id", next_id(target, "obs_id"))
+    numbered = matched.filter(F.col("obs_id").isNotNull()).unionByName(fresh)
+    parents = numbered.select(F.col("obs_key").alias("group_key"), F.col("obs_id").alias("obs_group_id"))
+    # observations without a group take no part in the join: their null key would be one hot key
+    alone = numbered.filter(F.col("group_key").isNull()).withColumn("obs_group_id", F.lit(None).cast("long"))
+    return attach(numbered.filter(F.col("group_key").isNotNull()), parents, ["group_key"], "left").unionByName(alone)

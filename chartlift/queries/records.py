@@ -106,6 +106,22 @@ def resolve_obs(t):
     )
 
 
+@query("g5_number_obs", f"""
+    WITH o AS (SELECT 'o/' || o_orderkey AS k, NULL AS g, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey + 10 END AS old FROM orders
+        UNION ALL SELECT 'l/' || {LINE_KEY_SQL}, 'o/' || l_orderkey, NULL FROM lineitem),
+    n AS (SELECT k, g, coalesce(old, (SELECT max(old) FROM o) + row_number() OVER (PARTITION BY old IS NULL ORDER BY k)) AS id FROM o)
+    SELECT n.k AS obs_key, n.id AS obs_id, p.id AS obs_group_id FROM n LEFT JOIN n p ON p.k = n.g
+""")
+def number_obs(t):
+    """Orders as parents, half of them loaded before, line items as their children."""
+    key = F.concat(F.lit("o/"), F.col("o_orderkey").cast("string"))
+    parents = t.orders.select(key.alias("obs_key"), F.lit(None).cast("string").alias("group_key"), key.alias("uuid"))
+    line = F.concat(F.lit("l/"), F.col("line_key").cast("string"))
+    children = line_key(t).select(line.alias("obs_key"), F.concat(F.lit("o/"), F.col("l_orderkey").cast("string")).alias("group_key"), line.alias("uuid"))
+    loaded = t.orders.filter("o_orderkey % 2 = 0").select((F.col("o_orderkey") + 10).alias("obs_id"), key.alias("uuid"))
+    return eav.number_obs(parents.unionByName(children), loaded).select("obs_key", "obs_id", "obs_group_id")
+
+
 @query("g6_split_row_in_two", """
     SELECT o_orderkey, 'single' AS part, o_totalprice AS amount FROM orders WHERE o_orderstatus <> 'P'
     UNION ALL SELECT o_orderkey, 'initial', 0.0::DOUBLE FROM orders WHERE o_orderstatus = 'P'

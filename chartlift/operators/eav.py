@@ -280,11 +280,14 @@ def number_obs(obs: DataFrame, target: DataFrame) -> DataFrame:
     ``target`` (obs_id, uuid) is what has been loaded: an observation found there by its uuid keeps its number, so a second
     run changes nothing; the others continue after the greatest number, in the order of their keys. Children find
     their parent's number by its key; a child whose parent is not among the observations stays ungrouped.
+
+    The loaded observations are placed behind the new ones and written down with them, so the rows are matched once
+    and not again for each side of the parents' join.
     """
     loaded = target.select("uuid", F.col("obs_id").cast("long").alias("obs_id"))
-    matched = obs.join(loaded, "uuid", "left")
-    fresh = assign_ids(matched.filter(F.col("obs_id").isNull()).drop("obs_id"), ["obs_key"], "obs_id", next_id(target, "obs_id"))
-    numbered = matched.filter(F.col("obs_id").isNotNull()).unionByName(fresh)
+    matched = obs.join(loaded, "uuid", "left").withColumn("_known", F.col("obs_id").isNotNull())
+    placed = assign_ids(matched, ["_known", "obs_key"], "_fresh", next_id(target, "obs_id"))
+    numbered = placed.withColumn("obs_id", F.coalesce("obs_id", "_fresh")).drop("_known", "_fresh")
     parents = numbered.select(F.col("obs_key").alias("group_key"), F.col("obs_id").alias("obs_group_id"))
     # observations without a group take no part in the join: their null key would be one hot key
     alone = numbered.filter(F.col("group_key").isNull()).withColumn("obs_group_id", F.lit(None).cast("long"))

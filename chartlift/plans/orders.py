@@ -165,15 +165,12 @@ def drug_orders(
     )
     key = F.concat_ws("/", "source_regime_id", "order_action")
     # the encounter of an order depends on the orders around it: they are read four times below
-    orders = settle(orders).withColumns({
-        "order_uuid": uuid_name("drug_order", key),
-        "previous_order_uuid": F.when(F.col("order_action") == "DISCONTINUE",
-                                      uuid_name("drug_order", F.concat_ws("/", "source_regime_id", F.lit("NEW")))),
-        "order_number": F.concat(F.lit(number_prefix), F.col("source_regime_id").cast("string")),
-    })
-
-    by_encounter = orders.filter(F.col("encounter_id").isNotNull()).groupBy("encounter_id").agg(F.min("start_date").alias("_first"))
-    dated = joins.attach(orders, by_encounter, ["encounter_id"], "left")
+    orders = settle(orders)
+    with_encounter = orders.filter(F.col("encounter_id").isNotNull())
+    by_encounter = with_encounter.groupBy("encounter_id").agg(F.min("start_date").alias("_first"))
+    # orders without an encounter take no part in the join: their null key would be one hot key
+    without = orders.filter(F.col("encounter_id").isNull()).withColumn("_first", F.lit(None).cast("date"))
+    dated = joins.attach(with_encounter, by_encounter, ["encounter_id"]).unionByName(without)
     dated = dated.withColumn("date_activated", F.coalesce("_first", "start_date")).drop("_first")
     dated = dated.withColumn(
         "urgency", F.when(F.col("date_activated") == F.col("start_date"), "ROUTINE").otherwise("ON_SCHEDULED_DATE")
@@ -183,7 +180,12 @@ def drug_orders(
     matched = joins.attach(dated, offered, on, "left")
     encounter = F.coalesce("encounter_id", "_offered")
     fresh = F.concat_ws("/", "patient_id", dates.day_text("date_activated"))
+    # ids made of the order's own columns come last: no join carries them
     return matched.withColumns({
+        "order_uuid": uuid_name("drug_order", key),
+        "previous_order_uuid": F.when(F.col("order_action") == "DISCONTINUE",
+                                      uuid_name("drug_order", F.concat_ws("/", "source_regime_id", F.lit("NEW")))),
+        "order_number": F.concat(F.lit(number_prefix), F.col("source_regime_id").cast("string")),
         "encounter_id": encounter,
         "new_encounter_uuid": F.when(encounter.isNull(), uuid_name("drug_order_encounter", fresh)),
         "scheduled_date": F.when(F.col("urgency") == "ON_SCHEDULED_DATE", F.col("start_date")),
@@ -218,8 +220,6 @@ def order_rules(
     one aggregate over all; the counts of the other tables are one aggregate each.
     """
     orders = joins.lookup(orders, drugs, "drug", "drug", "drug_concept", "_drug_concept")
-    visit = encounters.select("encounter_id", F.col("patient_id").alias("_visit_patient"), F.to_date("encounter_datetime").alias("_visit_date"))
-    rows = orders.join(visit, "encounter_id", "left")
     has_visit = F.col("encounter_id").isNotNull() | F.col("new_encounter_uuid").isNotNull()
     discontinue = F.col("order_action") == "DISCONTINUE"
     scheduled = F.col("urgency") == "ON_SCHEDULED_DATE"
@@ -252,12 +252,26 @@ def order_rules(
         "All drug orders must have a coded or non-coded drug": coded | free,
         "All orders must be routine or scheduled":
             (~scheduled & F.col("scheduled_date").isNull()) | (scheduled & (F.col("scheduled_date") > F.col("date_activated"))),
+        "All rows are outpatient": F.col("care_setting") == OUTPATIENT,
+    }
+    # Rules over an order alone are judged before the join with the encounters, which carries one array of their answers.
+    own = [*no_rows, *all_rows]
+    answers = F.array(*[F.coalesce(c, F.lit(False)) for c in (*no_rows.values(), *all_rows.values())])
+    # Orders without an encounter match nothing; a key of their own keeps them from being one hot key.
+    apart = F.when(F.col("encounter_id").isNull(), F.xxhash64("patient_id", "date_activated")).otherwise(F.lit(0))
+    judged = orders.select("encounter_id", apart.alias("_apart"), "patient_id", "date_activated",
+                           F.col("new_encounter_uuid").isNotNull().alias("_new"), answers.alias("_answers"))
+    visit = encounters.select("encounter_id", F.lit(0).cast("long").alias("_apart"), F.col("patient_id").alias("_visit_patient"),
+                              F.to_date("encounter_datetime").alias("_visit_date"))
+    rows = judged.join(visit, ["encounter_id", "_apart"], "left")
+    answer = {rule: F.get("_answers", F.lit(i)) for i, rule in enumerate(own)}
+    no_rows, all_rows = {rule: answer[rule] for rule in no_rows}, {rule: answer[rule] for rule in all_rows}
+    all_rows |= {
         "All orders must have the same patient in the order and the encounter":
-            F.col("new_encounter_uuid").isNotNull() | (F.col("patient_id") == F.col("_visit_patient")),
+            F.col("_new") | (F.col("patient_id") == F.col("_visit_patient")),
         "All orders must have date activated on or after encounter date":
-            F.col("new_encounter_uuid").isNotNull() | (F.col("date_activated") >= F.col("_visit_date")),
+            F.col("_new") | (F.col("date_activated") >= F.col("_visit_date")),
     }
-    all_rows["All rows are outpatient"] = F.col("care_setting") == OUTPATIENT
     new_orders = orders.filter("order_action = 'NEW'")
     loaded = quality.assert_counts_match("All data from source should be loaded into staging table", source, regimens)
     counts = quality.assert_counts_match("There should be a new order for all regimes", regimens, new_orders)

@@ -140,6 +140,32 @@ def test_regimen_dates_and_orders(spark):
     assert rules["There should be a new order for all regimes"] == (3, 3)
 
 
+def test_joins_of_orders_carry_no_made_ids_and_no_texts(spark):
+    regimens = spark.createDataFrame([(1, 10, 11, 1, "a", date(2010, 5, 1), None, date(2010, 6, 1), "died", "HIV", None), (2, None, None, 1, "a", date(2010, 7, 1), None, None, None, "HIV", None)],
+        "source_regime_id int, encounter_opened_by int, encounter_closed_by int, source_patient_id int, product_name string, start_date date, end_date date, close_date date, "
+        "reason_for_closure string, product_type string, regime_type string").withColumns({**{c: F.lit(1) for c in ("ddd", "dwd")}, "prn": F.lit(True), **{f"{c}_dose": F.lit(0) for c in ("morning", "noon", "evening", "night")}})
+    visits = spark.createDataFrame([(10, 510), (11, None)], "source_encounter_id int, encounter_id int")
+    patients = spark.createDataFrame([(1, 101)], "source_patient_id int, person_id int")
+    products = spark.createDataFrame([("a", None, "drugA", "conceptA")], "product_name string, concept string, drug string, drug_concept string")
+    made = orders.drug_orders(regimens, visits, patients, products, "2020-01-01")
+    assert sorted((r.source_regime_id, r.order_action, r.encounter_id, r.date_activated) for r in made.collect()) == [
+        (1, "DISCONTINUE", None, date(2010, 6, 1)), (1, "NEW", 510, date(2010, 5, 1)), (2, "NEW", None, date(2010, 7, 1))]
+
+    def below_joins(frame):
+        lines = frame._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        return "\n".join(lines[next(i for i, line in enumerate(lines) if "Join" in line):])
+
+    assert "md5" not in below_joins(made)
+    # two encounters of one id, one of another patient: the order's row counts twice
+    dates_of = spark.createDataFrame([(510, 101, date(2010, 1, 1)), (510, 7, date(2010, 1, 1))], "encounter_id int, patient_id int, encounter_datetime date")
+    checked = orders.order_rules(made, dates_of, regimens, "2020-01-01", regimens, products)
+    rules = {r.rule: (r.expected, r.actual) for r in checked.collect()}
+    assert rules["All orders must have the same patient in the order and the encounter"] == (4, 3)
+    assert rules["All rows are outpatient"] == (4, 4) and rules["All discontinue orders must have a previous order id"] == (0, 0)
+    kept = [line for line in checked._jdf.queryExecution().optimizedPlan().toString().splitlines() if "_visit_patient" in line and "Project" in line]
+    assert kept and not any("dosing_instructions" in line for line in kept)
+
+
 def test_contacts_merge(spark, rows):
     contacts = spark.createDataFrame([
         (1, "Ann Bee", "fils", date(2000, 1, 1), "t", "pos"), (1, "Ann Bee", "mari", None, None, None), (1, None, None, None, None, None), (1, "Solo", None, None, "f", None),

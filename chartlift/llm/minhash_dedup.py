@@ -15,8 +15,8 @@ shingles outside h, in hash order, is enough). In groups of at most SMALL to LAR
 whose sizes, overlaps with h, shingles from the shared one on and parities of shingles allow a link (two linked sets
 differ in at most a seventh of both sizes); a larger group has a hub of its own, lighter than h. This is repeated among those
 compared with the new hubs until no pair is left to compare. As hubs get lighter, the search ends, and members linked with
-each other are by then compared or in one component. Only families that the last round added to are searched again,
-since the others have the groups they had. Every link is confirmed on the full shingle sets.
+each other are by then compared or in one component. Only groups that the last round added to are searched again,
+since the others have the members they had. Every link is confirmed on the full shingle sets.
 
 Documents without words are linked with nothing. Rows with a null id take no part and are kept. Rows that share an id
 share a component. An empty table gives an empty result.
@@ -157,24 +157,31 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("u", "v", "deep", "text", "other").mapInArrow(_compare, _TESTED)
 
 
-def _families(tested: DataFrame, grown: DataFrame, labels: DataFrame, weights: DataFrame) -> DataFrame:
-    """Pairs of the grown hubs whose members are not all in one component, with the components and weights of the members."""
+def _families(tested: DataFrame, added: DataFrame, labels: DataFrame, weights: DataFrame) -> DataFrame:
+    """Pairs of the hubs with added pairs whose members are not all in one component, with the components and weights of the
+    members and whether the pair was added."""
+    grown = added.select("v").distinct()
     names = labels.select(F.col("id").alias("u"), "component")
     rows = attach(tested.where("deep"), grown, ["v"]).join(names, "u", "left").withColumn("component", F.coalesce("component", "u"))
     mixed = rows.groupBy("v").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("n_u").alias("least"))
     rows = attach(rows, mixed.where("lo < hi").select("v", "least"), ["v"])
+    rows = rows.join(added.select("u", "v", F.lit(True).alias("added")).distinct(), ["u", "v"], "left").withColumn("added", F.coalesce("added", F.lit(False)))
     return rows.join(weights.withColumnRenamed("doc_id", "u"), "u")
 
 
 def _shared_outside(families: DataFrame, small_size: int) -> DataFrame:
-    """From the groups that share a shingle their first hub lacks: members and hubs, or the possible pairs of small groups (not deep)."""
-    keyed = families.select("u", "weight", "component", "n_u", "joint", F.posexplode("outside").alias("place", "shingle"), "v")
+    """From the groups that share a shingle their first hub lacks: members and hubs, or the possible pairs of small groups (not deep).
+
+    A group without an added member has been searched before, with the same members. Members whose sizes allow no link at this
+    shingle, not even with the smallest of the group, leave it: the group of the first shingle that a link shares keeps both its ends.
+    """
+    keyed = families.select("u", "weight", "component", "n_u", "joint", "added", F.posexplode("outside").alias("place", "shingle"), "v")
     rest = (F.col("n_u") - F.col("joint") - F.col("place")).alias("rest")  # the shingles outside the hub from this one on
-    keyed = keyed.select("u", "weight", "component", "n_u", "joint", rest, F.xxhash64("v", "shingle").alias("group"))
+    keyed = keyed.select("u", "weight", "component", "n_u", "joint", "added", rest, F.xxhash64("v", "shingle").alias("group"))
     best = F.max(F.struct(F.col("weight"), (-F.col("u")).alias("id"))).alias("hub")
-    groups = keyed.groupBy("group").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"), best)
-    groups = groups.where("lo < hi").select("group", "n", (-F.col("hub.id")).alias("v"))
-    met = attach(keyed, groups, ["group"])
+    groups = keyed.groupBy("group").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"), F.max("added").alias("grown"), F.min("n_u").alias("least"), best)
+    groups = groups.where("lo < hi AND grown").select("group", "n", "least", (-F.col("hub.id")).alias("v"))
+    met = attach(keyed.drop("added"), groups, ["group"]).where("7 * (joint + rest) >= 3 * (n_u + least)")
     large = met.where((F.col("n") > small_size) & (F.col("u") != F.col("v"))).select("u", "v", F.lit(True).alias("deep"))
     marks = families.groupBy("u").agg(F.first("marks").alias("marks"))  # a set has the same marks in every family
     small = met.where(F.col("n") <= small_size).join(marks, "u")
@@ -243,8 +250,7 @@ def link(unique: DataFrame, docs: DataFrame) -> DataFrame:
             spark.read.schema(rows.schema).option("recursiveFileLookup", "true").parquet(f"{root}/{name}")
             for name, rows in (("seen", fresh), ("tested", compared))
         )
-        grown = compared.where("deep").select("v").distinct()
-        families = written(_families(tested, grown, labels, weights), f"{root}/families/{number}")
+        families = written(_families(tested, compared.where("deep"), labels, weights), f"{root}/families/{number}")
         # Pairs compared for their own sake are not deep: a family holds only members lighter than its hub.
         wanted = _shared_outside(families, min(LARGEST, SMALL * 4**number)).unionByName(_nearly_linked(families).withColumn("deep", F.lit(False)))
         turned = seen.select(F.col("v").alias("u"), F.col("u").alias("v"), F.lit(False).alias("deep"))

@@ -36,3 +36,17 @@ def test_parities_never_claim_more_than_the_sets_differ():
         apart = sum(int(x).bit_count() for x in (first ^ second).view(np.uint64))
         assert len(first) * 64 == MARKS and apart <= changed
         assert changed < 10 or apart > min(changed, MARKS) / 4
+
+
+def test_groups_are_searched_for_added_members_that_sizes_allow(spark):
+    def found(added, small, *more):
+        members = [(2, 5, 2, False, [7]), (3, 1, 3, added, [7]), *more]
+        families = spark.createDataFrame(
+            [(u, weight, component, 10, 0, new, outside, 1, [0] * 16) for u, weight, component, new, outside in members],
+            "u long, weight long, component long, n_u long, joint long, added boolean, outside array<long>, v long, marks array<long>")
+        return sorted(tuple(r) for r in minhash_dedup._shared_outside(families, small).select("u", "v", "deep").collect())
+
+    assert found(False, 64) == [] and found(False, 0) == []
+    assert found(True, 64) == [(3, 2, False)] and found(True, 0) == [(3, 2, True)]
+    late = (4, 1, 4, True, [1, 2, 3, 7])  # shares 7 of 10 shingles at most from there on, and no link of 10 and 10 needs fewer than 9
+    assert found(True, 64, late) == [(3, 2, False)] and found(True, 0, late) == [(3, 2, True)]

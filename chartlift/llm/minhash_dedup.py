@@ -9,9 +9,10 @@ are compared with one hub, the member that shares most buckets with others, so a
 comparisons. Members f and p that are linked with each other but not both with their hub h are found without pairing
 off the group, from what the comparison has shown. Of the shingles that f and p share, at most min(a, b) are in h,
 where a and b are the numbers that each shares with h. Either the link needs no more than that, which only sets that
-nearly reach the similarity with h, and partners smaller than h, allow; these few are compared. Or f and p share a
-shingle that h lacks: then they meet in the group of that shingle among those compared with h (a prefix of each set's
-shingles outside h, in hash order, is enough). In groups of at most SMALL to LARGEST, the pairs of two components are compared
+nearly reach the similarity with h, and partners smaller than h, allow; these few are compared. Or f and p share
+shingles that h lacks, as many as the link needs besides those in h: a member that has fewer in common with members of other
+components leaves, and the others meet in the group of such a shingle (a prefix of each set's common shingles outside h, in
+order, is enough; of groups with the same members the first is). In groups of at most SMALL to LARGEST, the pairs of two components are compared
 whose sizes, overlaps with h, shingles from the shared one on and parities of shingles allow a link (two linked sets
 differ in at most a seventh of both sizes); a larger group has a hub of its own, lighter than h. This is repeated among those
 compared with the new hubs until no pair is left to compare. As hubs get lighter, the search ends, and members linked with
@@ -43,6 +44,7 @@ BANDS = 64
 SMALL = 64  # in the first round; four times as many in each further one, up to LARGEST
 LARGEST = 1024
 MARKS = 1024
+CHUNK = 4096
 _OFFSETS = np.array([0, 5, 17, 38, 75, 104])  # the coordinates of a band; few bands share two of them
 _SHIFT = np.uint32(0x9E3779B1)
 
@@ -125,7 +127,7 @@ _TESTED = "u long, v long, linked boolean, n_u long, n_v long, joint long, outsi
 
 
 def _compare(batches):
-    """Each pair's sizes and overlap, the prefix of u's shingles outside v that a further link of u would need, and u's parities."""
+    """Each pair's sizes and overlap, u's shingles outside v and u's parities."""
     known: dict[int, np.ndarray] = {}  # the hubs of the last batch
     for batch in pieces(batches):
         hubs, others = batch.column("v").to_pylist(), batch.column("other").to_pylist()
@@ -137,9 +139,7 @@ def _compare(batches):
         for hub, own, deep in zip(hubs, owns, batch.column("deep").to_pylist(), strict=True):
             inside = np.isin(own, sets[hub], assume_unique=True)
             joints.append(int(inside.sum()))
-            # A link of u shares at least 0.75 of u's shingles, so this many at least lie outside the hub.
-            needed = max(1, -(-PERCENT * len(own) // 100) - joints[-1])
-            outside.append(own[~inside][: max(0, len(own) - joints[-1] - needed + 1)].view(np.int64) if deep else [])
+            outside.append(own[~inside].view(np.int64) if deep else [])
             marks.append(parities(own) if deep else [])
         known = sets
         sizes = [(len(o), len(sets[h])) for o, h in zip(owns, hubs, strict=True)]
@@ -169,19 +169,64 @@ def _families(tested: DataFrame, added: DataFrame, labels: DataFrame, weights: D
     return rows.join(weights.withColumnRenamed("doc_id", "u"), "u")
 
 
-def _shared_outside(families: DataFrame, small_size: int) -> DataFrame:
+def _common(families: DataFrame) -> DataFrame:
+    """The members with the shingles outside their hub that members of other components have too, as far as a link may begin.
+
+    A link of u shares at least 0.75 of u's shingles, so a certain number of them lies outside the hub, and all of those are common.
+    Members with fewer common shingles leave; of the others' the last, one less than that number, cannot be the first of a link.
+    ``left`` counts a member's common shingles. A family's are listed in chunks of about CHUNK shingles, however many it has, in
+    each chunk the rarest first: a prefix of them meets few members. All members of a family have the same order.
+    """
+    spread = families.select("v", "component", F.explode("outside").alias("shingle"))
+    ends = spread.groupBy("v", "shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
+    common = ends.where("lo < hi").select("v", "shingle", "n")
+    chunks = common.groupBy("v").agg((F.floor(F.count(F.lit(1)) / CHUNK) + 1).alias("chunks"))
+    listed = F.array_sort(F.collect_list(F.struct("n", "shingle"))).getField("shingle").alias("common")
+    lists = attach(common, chunks, ["v"]).groupBy("v", F.expr("pmod(shingle, chunks)").alias("chunk")).agg(listed)
+    # Rows of one id may have several texts.
+    members = attach(families, chunks, ["v"]).withColumn("own", F.xxhash64("n_u", "joint", "outside"))
+    parts = members.withColumn("chunk", F.explode(F.expr("array_distinct(transform(outside, x -> pmod(x, chunks)))")))
+    parts = parts.withColumn("outside", F.expr("filter(outside, x -> pmod(x, chunks) = chunk)"))
+    met = attach(parts, lists, ["v", "chunk"]).withColumn("outside", F.array_intersect("common", "outside"))  # in the list's order
+    whole = met.groupBy("u", "v", "own", "weight", "component", "n_u", "joint", "added").agg(
+        F.flatten(F.array_sort(F.collect_set(F.struct("chunk", "outside"))).getField("outside")).alias("outside"), F.first("marks").alias("marks"))
+    needed = F.greatest(F.lit(1), F.ceil(F.col("n_u") * PERCENT / 100) - F.col("joint"))
+    whole = whole.withColumn("left", F.size("outside").cast("long")).withColumn("starts", (F.col("left") - needed + 1).cast("int"))
+    return whole.where("starts > 0").withColumn("outside", F.slice("outside", 1, F.col("starts"))).drop("own", "starts")
+
+
+def _keyed(families: DataFrame, left: str) -> DataFrame:
+    """A row for each member and shingle."""
+    # What tells a member's row from another: rows of one id may have several texts.
+    own = F.xxhash64("u", "n_u", "joint", "left", "outside").cast("decimal(20,0)").alias("own")
+    rows = families.withColumn("left", F.expr(left)).select("*", own)
+    keyed = rows.select("u", "weight", "component", "n_u", "joint", "added", "v", "left", "own", F.posexplode("outside").alias("place", "shingle"))
+    rest = (F.col("left") - F.col("place")).alias("rest")  # the shingles outside the hub from this one on
+    return keyed.select("u", "weight", "component", "n_u", "joint", "added", "v", "own", rest, F.xxhash64("v", "shingle").alias("group"))
+
+
+def _groups(keyed: DataFrame) -> DataFrame:
+    """Groups of several components with an added member: size, smallest set and hub; one of those with the same members."""
+    best = F.max(F.struct(F.col("weight"), (-F.col("u")).alias("id"))).alias("hub")
+    groups = keyed.groupBy("v", "group").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"), F.max("added").alias("grown"),
+        F.min("n_u").alias("least"), best, F.sum("own").alias("owns"), F.sum("rest").alias("rests"))
+    # Of groups with the same members, the first shingle's has the most of each set from there on.
+    first = F.max_by(F.struct("group", "least", "hub"), "rests").alias("first")
+    groups = groups.where("lo < hi AND grown").groupBy("v", "n", "owns").agg(first)
+    return groups.select("first.group", "n", "first.least", (-F.col("first.hub.id")).alias("v"))
+
+
+def _shared_outside(families: DataFrame, small_size: int, left: str = "n_u - joint") -> DataFrame:
     """From the groups that share a shingle their first hub lacks: members and hubs, or the possible pairs of small groups (not deep).
 
     A group without an added member has been searched before, with the same members. Members whose sizes allow no link at this
     shingle, not even with the smallest of the group, leave it: the group of the first shingle that a link shares keeps both its ends.
+    ``left`` is the number of a member's shingles from the first of ``outside`` on that a link may share.
     """
-    keyed = families.select("u", "weight", "component", "n_u", "joint", "added", F.posexplode("outside").alias("place", "shingle"), "v")
-    rest = (F.col("n_u") - F.col("joint") - F.col("place")).alias("rest")  # the shingles outside the hub from this one on
-    keyed = keyed.select("u", "weight", "component", "n_u", "joint", "added", rest, F.xxhash64("v", "shingle").alias("group"))
-    best = F.max(F.struct(F.col("weight"), (-F.col("u")).alias("id"))).alias("hub")
-    groups = keyed.groupBy("group").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"), F.max("added").alias("grown"), F.min("n_u").alias("least"), best)
-    groups = groups.where("lo < hi AND grown").select("group", "n", "least", (-F.col("hub.id")).alias("v"))
-    met = attach(keyed.drop("added"), groups, ["group"]).where("7 * (joint + rest) >= 3 * (n_u + least)")
+    keyed = _keyed(families, left)
+    groups = _groups(keyed)
+    met = attach(keyed.drop("added", "v", "own"), groups, ["group"]).where("7 * (joint + rest) >= 3 * (n_u + least)")
     large = met.where((F.col("n") > small_size) & (F.col("u") != F.col("v"))).select("u", "v", F.lit(True).alias("deep"))
     marks = families.groupBy("u").agg(F.first("marks").alias("marks"))  # a set has the same marks in every family
     small = met.where(F.col("n") <= small_size).join(marks, "u")
@@ -252,13 +297,14 @@ def link(unique: DataFrame, docs: DataFrame) -> DataFrame:
         )
         families = written(_families(tested, compared.where("deep"), labels, weights), f"{root}/families/{number}")
         # Pairs compared for their own sake are not deep: a family holds only members lighter than its hub.
-        wanted = _shared_outside(families, min(LARGEST, SMALL * 4**number)).unionByName(_nearly_linked(families).withColumn("deep", F.lit(False)))
+        common = written(_common(families), f"{root}/common/{number}")
+        wanted = _shared_outside(common, min(LARGEST, SMALL * 4**number), "left").unionByName(_nearly_linked(families).withColumn("deep", F.lit(False)))
         turned = seen.select(F.col("v").alias("u"), F.col("u").alias("v"), F.lit(False).alias("deep"))
         known = seen.select("u", "v", "deep").unionByName(turned).groupBy("u", "v").agg(F.max("deep").alias("known"))
         wanted = wanted.groupBy("u", "v").agg(F.max("deep").alias("deep")).join(known, ["u", "v"], "left")
         number += 1
         fresh = written(wanted.where("known IS NULL OR (deep AND NOT known)").select("u", "v", "deep"), f"{root}/seen/{number}")
-        discard(spark, f"{root}/families")
+        discard(spark, f"{root}/families", f"{root}/common")
         if fresh.isEmpty():
             discard(spark, *(f"{root}/{name}" for name in ("seen", "tested", "texts", "weights")))
             return labels

@@ -50,3 +50,34 @@ def test_groups_are_searched_for_added_members_that_sizes_allow(spark):
     assert found(True, 64) == [(3, 2, False)] and found(True, 0) == [(3, 2, True)]
     late = (4, 1, 4, True, [1, 2, 3, 7])  # shares 7 of 10 shingles at most from there on, and no link of 10 and 10 needs fewer than 9
     assert found(True, 64, late) == [(3, 2, False)] and found(True, 0, late) == [(3, 2, True)]
+
+
+@pytest.mark.parametrize("chunk", [2, 4096])
+def test_common_shingles_are_kept_as_far_as_a_link_may_begin(spark, monkeypatch, chunk):
+    monkeypatch.setattr(minhash_dedup, "CHUNK", chunk)
+    common = [11, 12, 13, 14, 15, 16, 17]
+    members = [  # 22 shingles each, 12 of them in the hub: a link needs 5 outside it
+        (2, 2, [-1, -2, *common, 21]), (3, 3, [-3, *common, 22, 23]),
+        (4, 4, [31, 32, 33, 34, 35, 36, *common[:4]]),  # has 4 in common with others
+        (5, 2, [-1, -2, *common, 41]),  # -1 and -2 are in one component only
+        (5, 2, [-1, -2, *common[1:], 42, 43]),  # another text of the same id
+    ]
+    families = spark.createDataFrame(
+        [(u, 1, component, 22, 12, True, outside, 1, [0] * 16) for u, component, outside in members],
+        "u long, weight long, component long, n_u long, joint long, added boolean, outside array<long>, v long, marks array<long>")
+    kept = minhash_dedup._common(families)
+    rows = sorted((r.u, r.left, len(r.outside)) for r in kept.collect())
+    assert rows == [(2, 7, 3), (3, 7, 3), (5, 6, 2), (5, 7, 3)]
+    assert all(set(r.outside) <= set(common) for r in kept.collect())
+    pairs = {tuple(r) for r in minhash_dedup._shared_outside(kept, 64, "left").select("u", "v").collect()}
+    assert pairs == {(3, 2), (5, 3)}
+
+
+def test_groups_with_the_same_members_are_joined_once(spark):
+    families = spark.createDataFrame(
+        [(u, 1, u, 40, 20, True, outside, 1, [0] * 16) for u, outside in ((2, list(range(11))), (3, list(range(11))), (4, [50]))],
+        "u long, weight long, component long, n_u long, joint long, added boolean, outside array<long>, v long, marks array<long>")
+    large = minhash_dedup._shared_outside(families, 0)
+    assert [tuple(r) for r in large.collect()] == [(3, 2, True)]
+    # The other groups of 2 and 3 do not reach the join.
+    assert minhash_dedup._groups(minhash_dedup._keyed(families, "n_u - joint")).count() == 1

@@ -7,17 +7,18 @@ the buckets; two sets of similarity 0.75 miss all 64 bands about once in 30,000
 Documents with equal sets are one class, found by a digest, and only its smallest id goes on. In a bucket all members
 are compared with one hub, the member that shares most buckets with others, so a bucket of n members costs n
 comparisons. Members f and p that are linked with each other but not both with their hub h are found without pairing
-off the group, from what the comparison has shown. Of the shingles that f and p share, at most min(a, b) are in h,
-where a and b are the numbers that each shares with h. Either the link needs no more than that, which only sets that
-nearly reach the similarity with h, and partners smaller than h, allow; these few are compared. Or f and p share
-shingles that h lacks, as many as the link needs besides those in h: a member that has fewer in common with members of other
-components leaves, and the others meet in the group of such a shingle (a prefix of each set's common shingles outside h, in
-order, is enough; of groups with the same members the first is). In groups of at most SMALL to LARGEST, the pairs of two components are compared
-whose sizes, overlaps with h, shingles from the shared one on and parities of shingles allow a link (two linked sets
-differ in at most a seventh of both sizes); a larger group has a hub of its own, lighter than h. This is repeated among those
-compared with the new hubs until no pair is left to compare. As hubs get lighter, the search ends, and members linked with
-each other are by then compared or in one component. Only groups that the last round added to are searched again,
-since the others have the members they had. Every link is confirmed on the full shingle sets.
+off the group. Of the shingles outside h that members of several components have, those of more than SMALL members are
+the family's frequent ones: h and they make one set, F, and what a member shares with F is known by counting. Of the
+shingles that f and p share, at most min(a, b) are in F, where a and b are the numbers that each shares with F. Either f and
+p share rare shingles too, as many as the link needs besides those in F: a member that has fewer in common with members of
+other components leaves, and the others meet in the group of such a shingle (a prefix of each set's rare common shingles, in
+order, is enough; of groups with the same members the first is). No group has more than SMALL members, and the pairs of two
+components are compared whose sizes, overlaps with F, shingles from the shared one on and parities of shingles allow a link (two
+linked sets differ in at most a seventh of both sizes). Or the link may lie within F, which only members with three quarters
+of their shingles in F allow. Where all but few of these are in one component, the few are paired with the others, by the same bounds;
+else all are compared with the heaviest of them, a hub lighter than h, and searched again as its family. What counts as few
+grows fourfold with each round, so there are few rounds, whatever the copies of one text differ in. Only families that the last
+round added to are searched again, for pairs with an added member. Every link is confirmed on the full shingle sets.
 
 Documents without words are linked with nothing. Rows with a null id take no part and are kept. Rows that share an id
 share a component. An empty table gives an empty result.
@@ -41,8 +42,7 @@ SHINGLE = 5
 PERCENT = 75
 COORDINATES = 128
 BANDS = 64
-SMALL = 64  # in the first round; four times as many in each further one, up to LARGEST
-LARGEST = 1024
+SMALL = 64  # members of a group; members apart from a family's largest component in the first round, four times as many in each further one
 MARKS = 1024
 CHUNK = 4096
 _OFFSETS = np.array([0, 5, 17, 38, 75, 104])  # the coordinates of a band; few bands share two of them
@@ -169,30 +169,47 @@ def _families(tested: DataFrame, added: DataFrame, labels: DataFrame, weights: D
     return rows.join(weights.withColumnRenamed("doc_id", "u"), "u")
 
 
-def _common(families: DataFrame) -> DataFrame:
-    """The members with the shingles outside their hub that members of other components have too, as far as a link may begin.
+def _raised(families: DataFrame) -> DataFrame:
+    """The members with what they share with the hub and the frequent shingles (``joint``) and their rare common ones, rarest first.
 
-    A link of u shares at least 0.75 of u's shingles, so a certain number of them lies outside the hub, and all of those are common.
-    Members with fewer common shingles leave; of the others' the last, one less than that number, cannot be the first of a link.
-    ``left`` counts a member's common shingles. A family's are listed in chunks of about CHUNK shingles, however many it has, in
+    Common is what members of several components have outside the hub, frequent what more than SMALL rows of the family have of it;
+    ``left`` counts a member's rare ones. A family's are listed in chunks of about CHUNK shingles, however many it has, in
     each chunk the rarest first: a prefix of them meets few members. All members of a family have the same order.
     """
     spread = families.select("v", "component", F.explode("outside").alias("shingle"))
     ends = spread.groupBy("v", "shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
     common = ends.where("lo < hi").select("v", "shingle", "n")
     chunks = common.groupBy("v").agg((F.floor(F.count(F.lit(1)) / CHUNK) + 1).alias("chunks"))
-    listed = F.array_sort(F.collect_list(F.struct("n", "shingle"))).getField("shingle").alias("common")
-    lists = attach(common, chunks, ["v"]).groupBy("v", F.expr("pmod(shingle, chunks)").alias("chunk")).agg(listed)
+    rare = F.array_sort(F.collect_list(F.when(F.col("n") <= SMALL, F.struct("n", "shingle")))).getField("shingle").alias("rare")
+    frequent = F.collect_list(F.when(F.col("n") > SMALL, F.col("shingle"))).alias("frequent")
+    lists = attach(common, chunks, ["v"]).groupBy("v", F.expr("pmod(shingle, chunks)").alias("chunk")).agg(rare, frequent)
     # Rows of one id may have several texts.
-    members = attach(families, chunks, ["v"]).withColumn("own", F.xxhash64("n_u", "joint", "outside"))
-    parts = members.withColumn("chunk", F.explode(F.expr("array_distinct(transform(outside, x -> pmod(x, chunks)))")))
+    members = families.withColumn("own", F.xxhash64("n_u", "joint", "outside")).dropDuplicates(["u", "v", "own"])
+    parts = attach(members.select("u", "v", "own", "outside"), chunks, ["v"])
+    parts = parts.withColumn("chunk", F.explode(F.expr("array_distinct(transform(outside, x -> pmod(x, chunks)))")))
     parts = parts.withColumn("outside", F.expr("filter(outside, x -> pmod(x, chunks) = chunk)"))
-    met = attach(parts, lists, ["v", "chunk"]).withColumn("outside", F.array_intersect("common", "outside"))  # in the list's order
-    whole = met.groupBy("u", "v", "own", "weight", "component", "n_u", "joint", "added").agg(
-        F.flatten(F.array_sort(F.collect_set(F.struct("chunk", "outside"))).getField("outside")).alias("outside"), F.first("marks").alias("marks"))
+    found = F.struct("chunk", F.array_intersect("rare", "outside").alias("rare"), F.size(F.array_intersect("frequent", "outside")).alias("frequent"))
+    met = attach(parts, lists, ["v", "chunk"]).groupBy("u", "v", "own").agg(F.array_sort(F.collect_list(found)).alias("found"))
+    met = met.select("u", "v", "own", F.flatten("found.rare").alias("rare"), F.expr("aggregate(found.frequent, 0L, (n, x) -> n + x)").alias("frequent"))
+    whole = members.drop("outside").join(met, ["u", "v", "own"], "left").withColumn("joint", F.col("joint") + F.coalesce("frequent", F.lit(0)))
+    whole = whole.withColumn("outside", F.coalesce("rare", F.array().cast("array<long>")))
+    return whole.withColumn("left", F.size("outside").cast("long")).drop("own", "rare", "frequent")
+
+
+def _prefixes(raised: DataFrame) -> DataFrame:
+    """The members with the rare common shingles at which a link may begin.
+
+    A link of u shares at least 0.75 of u's shingles, so a certain number of them is rare, and all of those are common. Members
+    with fewer rare common shingles leave; of the others' the last, one less than that number, cannot be the first of a link.
+    """
     needed = F.greatest(F.lit(1), F.ceil(F.col("n_u") * PERCENT / 100) - F.col("joint"))
-    whole = whole.withColumn("left", F.size("outside").cast("long")).withColumn("starts", (F.col("left") - needed + 1).cast("int"))
-    return whole.where("starts > 0").withColumn("outside", F.slice("outside", 1, F.col("starts"))).drop("own", "starts")
+    starting = raised.withColumn("starts", (F.col("left") - needed + 1).cast("int")).where("starts > 0")
+    return starting.withColumn("outside", F.slice("outside", 1, F.col("starts"))).drop("starts")
+
+
+def _common(families: DataFrame) -> DataFrame:
+    """The members with the shingles outside their hub that members of other components have too, as far as a link may begin."""
+    return _prefixes(_raised(families))
 
 
 def _keyed(families: DataFrame, left: str) -> DataFrame:
@@ -246,14 +263,28 @@ def _shared_outside(families: DataFrame, small_size: int, left: str = "n_u - joi
     return large.unionByName(pairs).distinct()
 
 
-def _nearly_linked(families: DataFrame) -> DataFrame:
-    """Pairs whose link may lie within what both share with their hub."""
-    needs = 7 * F.col("joint")  # of 3 * (both sizes), for the similarity of 0.75
-    near = families.where(~F.col("linked") & (needs >= 3 * (F.col("n_u") + F.col("least"))))
-    near = near.select("v", F.col("u").alias("f"), F.col("n_u").alias("n_f"), F.col("joint").alias("joint_f"), F.col("component").alias("component_f"))
-    smaller = families.where("n_u < n_v").select("v", "u", "n_u", "joint", "component")
-    met = attach(smaller, near, ["v"]).where("component != component_f AND 7 * least(joint, joint_f) >= 3 * (n_u + n_f)")
-    return met.select(F.greatest("u", "f").alias("u"), F.least("u", "f").alias("v"))
+def _inside(raised: DataFrame, few: int) -> DataFrame:
+    """Pairs whose link may lie within what both share with their hub and the frequent shingles, or members and a hub (deep).
+
+    Both ends of such a link have three quarters of their shingles there. Of a family's members that do, those outside the component with
+    most of them are paired with the others if they are ``few``; else all are compared with the heaviest.
+    """
+    near = raised.where("28 * joint >= 3 * greatest(7 * n_u, 4 * (n_u + least))")
+    parts = near.groupBy("v", "component").agg(
+        F.count(F.lit(1)).alias("n"), F.max("added").alias("added"), F.max(F.struct(F.col("weight"), (-F.col("u")).alias("id"))).alias("hub"))
+    whole = parts.groupBy("v").agg(
+        (F.sum("n") - F.max("n")).alias("apart"), F.max(F.struct("n", "component")).alias("main"), F.max("added").alias("grown"), F.max("hub").alias("hub"))
+    whole = whole.where("grown AND apart > 0").select("v", "apart", F.col("main.component").alias("main"), (-F.col("hub.id")).alias("hub"))
+    met = attach(near, whole, ["v"])
+    large = met.where((F.col("apart") > few) & (F.col("u") != F.col("hub"))).select("u", F.col("hub").alias("v"), F.lit(True).alias("deep"))
+    names = ["u", "n_u", "joint", "component", "added", "marks"]
+    small = met.where(F.col("apart") <= few).select("v", "main", *names)
+    ends = small.where("component != main").select("v", *[F.col(name).alias(f"{name}_f") for name in names])
+    apart = sum((F.bit_count(F.col("marks")[i].bitwiseXOR(F.col("marks_f")[i])) for i in range(MARKS // 64)), F.lit(0))
+    pairs = attach(small.drop("main"), ends, ["v"]).where("component != component_f AND (added OR added_f) AND 7 * least(joint, joint_f) >= 3 * (n_u + n_u_f)")
+    pairs = pairs.where(7 * apart <= F.col("n_u") + F.col("n_u_f"))
+    pairs = pairs.select(F.greatest("u", "u_f").alias("u"), F.least("u", "u_f").alias("v"), F.lit(False).alias("deep"))
+    return large.unionByName(pairs)
 
 
 def _merged(labels: DataFrame, links: DataFrame, path: str) -> DataFrame:
@@ -297,8 +328,8 @@ def link(unique: DataFrame, docs: DataFrame) -> DataFrame:
         )
         families = written(_families(tested, compared.where("deep"), labels, weights), f"{root}/families/{number}")
         # Pairs compared for their own sake are not deep: a family holds only members lighter than its hub.
-        common = written(_common(families), f"{root}/common/{number}")
-        wanted = _shared_outside(common, min(LARGEST, SMALL * 4**number), "left").unionByName(_nearly_linked(families).withColumn("deep", F.lit(False)))
+        raised = written(_raised(families), f"{root}/common/{number}")
+        wanted = _shared_outside(_prefixes(raised), SMALL, "left").unionByName(_inside(raised, SMALL * 4**number))
         turned = seen.select(F.col("v").alias("u"), F.col("u").alias("v"), F.lit(False).alias("deep"))
         known = seen.select("u", "v", "deep").unionByName(turned).groupBy("u", "v").agg(F.max("deep").alias("known"))
         wanted = wanted.groupBy("u", "v").agg(F.max("deep").alias("deep")).join(known, ["u", "v"], "left")

@@ -81,3 +81,32 @@ def test_groups_with_the_same_members_are_joined_once(spark):
     assert [tuple(r) for r in large.collect()] == [(3, 2, True)]
     # The other groups of 2 and 3 do not reach the join.
     assert minhash_dedup._groups(minhash_dedup._keyed(families, "n_u - joint")).count() == 1
+
+
+def test_many_copies_of_one_text_take_few_rounds(spark, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "SMALL", 4)
+    monkeypatch.setattr(minhash_dedup, "LARGEST", 4, raising=False)
+    families, rounds = minhash_dedup._families, []
+
+    def counted(*frames):
+        rounds.append(1)
+        assert len(rounds) <= 5
+        return families(*frames)
+
+    monkeypatch.setattr(minhash_dedup, "_families", counted)
+    rng = np.random.default_rng(3)
+    edits = {i: dict.fromkeys(rng.choice(40, 5, replace=False) * 5, f"w{i}") for i in range(1, 41)}  # linked with no other
+    edits |= {i: {place: f"w{i}"} for i, place in ((50, 20), (51, 120))}  # what they share is in all the others
+    edits |= {i: {**dict.fromkeys(range(3, 60, 7), "rare"), 199: f"w{i}"} for i in (60, 61)}  # what they share is in no other
+    texts = {i: [own.get(place, f"base{place}") for place in range(200)] for i, own in edits.items()}
+    sets = {i: {tuple(t[k : k + 5]) for k in range(196)} for i, t in texts.items()}
+    linked = [(a, b) for a in sets for b in sets if a > b and 4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b])]
+    assert {(51, 50), (61, 60)} <= set(linked)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    bands = spark.createDataFrame([(i, list(range(max(1, 50 - i)))) for i in texts], "doc_id long, bands array<long>")
+    component = {i: i for i in texts}
+    for _ in texts:
+        for a, b in linked:
+            component[a] = component[b] = min(component[a], component[b])
+    found = sorted(tuple(r) for r in minhash_dedup.link(bands, docs).collect())
+    assert found == [(i, c) for i, c in component.items() if i != c]
